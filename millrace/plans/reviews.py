@@ -195,7 +195,7 @@ def stream_file_arrival(t: Roles) -> DataFrame:
     return t.spark.read.parquet(out)
 
 
-@job("""select 'empty' as outcome, 1 as batches, 0 as reviews
+@job("""select 'empty' as outcome, cast(1 as bigint) as batches, cast(0 as bigint) as reviews
     union all select 'loaded', 1, count(*) from v_reviews""")
 def stream_empty_branch(t: Roles) -> DataFrame:
     """A header-only arrival is logged and skipped, the next one is loaded."""

@@ -26,7 +26,7 @@ def text_postings(t: Roles) -> DataFrame:
 
 
 @job(f"""with {_TERMS_SQL} select doc_id, cast(count(*) as bigint) as occurrences from t
-    where term in ('ation', 'then') group by doc_id having count(distinct term) = 2""")
+    where term in ('ing', 'than') group by doc_id having count(distinct term) = 2""")
 def text_match(t: Roles) -> DataFrame:
     index = ti.postings(t.table("documents"), "doc_id", "text", ti.ENGLISH_STOP_WORDS)
-    return ti.documents_with_all(index, "doc_id", ["ation", "then"])
+    return ti.documents_with_all(index, "doc_id", ["ing", "than"])
