@@ -32,8 +32,14 @@ REVIEW_MISSING = DEFAULT_MISSING + ("none",)
 
 PLACEHOLDER = "-"
 
-# Fixed value: every character a cleaned review may not hold. (?U) makes \s Unicode-aware.
-_NOT_ALLOWED = "(?U)[^A-Za-z0-9\\s.,!?;:'\"-]"
+# The Unicode blanks.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+# Fixed value: runs of characters a cleaned review may not hold. (?U) makes \s Unicode-aware.
+_NOT_ALLOWED = "(?U)[^A-Za-z0-9\\s\\x1c-\\x1f.,!?;:'\"-]+"
 
 
 def missing_to_null(text: Column, tokens: tuple[str, ...] = DEFAULT_MISSING) -> Column:
@@ -42,8 +48,8 @@ def missing_to_null(text: Column, tokens: tuple[str, ...] = DEFAULT_MISSING) ->
 
 
 def trim_blanks(text: Column) -> Column:
-    """Strip all Unicode blanks, where ``trim`` strips spaces only."""
-    return F.regexp_replace(text, "(?U)^\\s+|\\s+$", "")
+    """Strip all Unicode blanks, where a plain ``trim`` strips spaces only."""
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def fill_placeholder(text: Column) -> Column:
@@ -58,7 +64,7 @@ def clean_cell(text: Column, tokens: tuple[str, ...] = REVIEW_MISSING) -> Column
 def clean_text(text: Column) -> Column:
     """Drop characters outside letters, digits, blanks and plain punctuation."""
     kept = trim_blanks(F.regexp_replace(F.coalesce(text, F.lit("")), _NOT_ALLOWED, ""))
-    return F.when(kept == "", F.lit(PLACEHOLDER)).otherwise(kept)
+    return F.coalesce(F.nullif(kept, F.lit("")), F.lit(PLACEHOLDER))
 
 
 def shorter_than(text: Column, limit: int) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.arrays import diagonal_element
+from millrace.sources.readers import literal_rows
 
 
 def _present(df: DataFrame, *cols: str) -> DataFrame:
@@ -60,8 +61,7 @@ def group_sizes(df: DataFrame, group: str, name: str = "n") -> DataFrame:
 
 def group_sizes_declared(df: DataFrame, group: str, labels: Sequence[str], name: str = "n") -> DataFrame:
     """Rows per declared label, zero for a label without rows."""
-    rows = [(i, label) for i, label in enumerate(labels)]
-    declared = df.sparkSession.createDataFrame(rows, f"_order int, {group} string")
+    declared = literal_rows(df.sparkSession, labels, "_order", group)
     sized = declared.join(group_sizes(df, group, name), group, "left")
     return sized.orderBy("_order").select(group, F.coalesce(F.col(name), F.lit(0)).alias(name))
 

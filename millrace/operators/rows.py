@@ -49,11 +49,15 @@ def zero_at_max(df: DataFrame, series: str, value: str, name: str) -> DataFrame:
     return df.join(tops, series).withColumn(name, replaced).drop("_top")
 
 
-def fill_defaults(df: DataFrame, defaults: Mapping[str, Column]) -> DataFrame:
-    """Put a column's default where it is missing, add the column if absent."""
+def fill_defaults(df: DataFrame, defaults: Mapping[str, Any]) -> DataFrame:
+    """Put a column's default where it is missing, add the column if absent.
+
+    A default is a plain value or a column, such as the current date.
+    """
     filled = {}
     for name, default in defaults.items():
-        filled[name] = F.coalesce(F.col(name), default) if name in df.columns else default
+        value = default if isinstance(default, Column) else F.lit(default)
+        filled[name] = F.coalesce(F.col(name), value) if name in df.columns else value
     return df.withColumns(filled)
 
 

@@ -44,17 +44,19 @@ def postings(df: DataFrame, doc: str, text: str, stop_words: tuple[str, ...] = (
     rows, never one list. The groups are keyed by term and document together,
     so a frequent term spreads over all tasks.
     """
-    words = df.select(doc, terms(F.col(text), stop_words=stop_words).alias("_words"))
-    placed = words.select(doc, F.posexplode("_words").alias("_pos", "term"))
-    return placed.groupBy("term", doc).agg(
+    words = terms(F.col(text), stop_words=stop_words)
+    # The outer form keeps the optimizer from splitting every text a second time.
+    placed = df.select(doc, F.posexplode_outer(words).alias("_pos", "term"))
+    return placed.where(F.col("term").isNotNull()).groupBy("term", doc).agg(
         F.count(F.lit(1)).alias("occurrences"), F.min("_pos").alias("first_pos")
     )
 
 
 def document_frequency(df: DataFrame, doc: str, text: str, stop_words: tuple[str, ...] = ()) -> DataFrame:
     """Documents per term. Repeats are dropped within the row, before any shuffle."""
-    once = df.select(F.explode(F.array_distinct(terms(F.col(text), stop_words=stop_words))).alias("term"))
-    return once.groupBy("term").agg(F.count(F.lit(1)).alias("documents"))
+    words = F.array_distinct(terms(F.col(text), stop_words=stop_words))
+    once = df.select(F.explode_outer(words).alias("term"))
+    return once.where(F.col("term").isNotNull()).groupBy("term").agg(F.count(F.lit(1)).alias("documents"))
 
 
 def documents_with_all(index: DataFrame, doc: str, wanted: Sequence[str]) -> DataFrame:

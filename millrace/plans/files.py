@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions import dates
+from millrace.operators import rows
 from millrace.plans.registry import job
 from millrace.plans.roles import AS_OF, Roles
 from millrace.plans.rooms import ALL_REPORTS_SQL, room_reports
@@ -145,35 +147,26 @@ def param_sql(t: Roles) -> DataFrame:
     )
 
 
+# What a film row gets where a column is not given.
+FILM_DEFAULTS = {"rental_duration": 3, "rental_rate": 4.99, "replacement_cost": 19.99, "rating": "G"}
+
+
 @job("""select film_id, title, case when rental_duration = 7 then 3 else rental_duration end as rental_duration,
     case when length > 40 then 4.99 else cast(rental_rate as double) end as rental_rate,
     cast(19.99 as double) as replacement_cost, 'G' as rating from v_film""")
 def fill_defaults(t: Roles) -> DataFrame:
     """Films with gaps and two absent columns get the declared defaults."""
-    from millrace.operators.rows import fill_defaults as fill
-
     gappy = t.film.select(
         "film_id",
         "title",
         F.when(F.col("rental_duration") != 7, F.col("rental_duration")).alias("rental_duration"),
         F.when(F.col("length") <= 40, F.col("rental_rate").cast("double")).alias("rental_rate"),
     )
-    return fill(gappy, FILM_DEFAULTS).select(
+    return rows.fill_defaults(gappy, FILM_DEFAULTS).select(
         "film_id", "title", "rental_duration", "rental_rate", "replacement_cost", "rating"
     )
 
 
-# What a film row gets where a column is not given.
-FILM_DEFAULTS = {
-    "rental_duration": F.lit(3).cast("bigint"),
-    "rental_rate": F.lit(4.99),
-    "replacement_cost": F.lit(19.99),
-    "rating": F.lit("G"),
-}
-
-
 @job("select o_orderkey, last_day(o_orderdate) as month_end from orders")
 def month_end(t: Roles) -> DataFrame:
-    from millrace.functions.dates import month_end as end_of
-
-    return t.table("orders").select("o_orderkey", end_of(F.col("o_orderdate")).alias("month_end"))
+    return t.table("orders").select("o_orderkey", dates.month_end(F.col("o_orderdate")).alias("month_end"))

@@ -10,11 +10,17 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from millrace.sources.readers import literal_rows
 
 AS_OF = "2020-06-15"
 CATEGORIES = ("STANDARD", "ECONOMY", "MEDIUM", "SMALL", "LARGE", "PROMO", "ARCHIVE")
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Roles:
     """Lazily built role tables over one folder of Parquet tables."""
 
@@ -22,7 +28,11 @@ class Roles:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A given table. Its schema is looked up once per path, not per query."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     # --- rooms and students
     @cached_property
@@ -42,8 +52,8 @@ class Roles:
     # --- film rental
     @cached_property
     def category(self) -> DataFrame:
-        rows = list(enumerate(CATEGORIES, start=1))
-        return self.spark.createDataFrame(rows, "category_id int, name string")
+        listed = literal_rows(self.spark, CATEGORIES, "_at", "name")
+        return listed.select((F.col("_at") + 1).alias("category_id"), "name")
 
     @cached_property
     def film(self) -> DataFrame:
@@ -162,8 +172,7 @@ class Roles:
 
     @cached_property
     def store(self) -> DataFrame:
-        rows = [(1, 1, 0), (2, 2, 5)]
-        return self.spark.createDataFrame(rows, "store_id int, manager_staff_id int, city_id int")
+        return self.spark.sql("SELECT * FROM VALUES (1, 1, 0), (2, 2, 5) t(store_id, manager_staff_id, city_id)")
 
     # --- census, series, reviews
     @cached_property

@@ -6,60 +6,77 @@ room with very many students costs no more than any other in the join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from millrace.functions.dates import whole_years
 from millrace.operators.joins import child_counts
 from millrace.plans.registry import job
 from millrace.plans.roles import AS_OF, Roles
+from millrace.session import scratch_dir
 
 _AGES = f"""ages as (select r.name, extract(year from age(date '{AS_OF}', s.birthday)) as years
     from v_rooms r join v_students s on r.id = s.room)"""
 
 
-def _ages(students: DataFrame, as_of: str) -> DataFrame:
+def room_summary(students: DataFrame, as_of: str) -> DataFrame:
+    """One row per room with everything the reports need.
+
+    A report that uses a part of it scans and aggregates only that part.
+    """
     years = whole_years(F.lit(as_of).cast("date"), F.col("birthday"))
-    return students.select("room", "sex", years.alias("years"))
+    ages = students.select("room", "sex", years.alias("years"))
+    return ages.groupBy("room").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("years").alias("years"),
+        F.min("years").alias("youngest"),
+        F.max("years").alias("oldest"),
+        F.min("sex").alias("low_sex"),
+        F.max("sex").alias("high_sex"),
+    )
 
 
-def student_counts(rooms: DataFrame, students: DataFrame) -> DataFrame:
+def student_counts(rooms: DataFrame, summary: DataFrame) -> DataFrame:
     """Students per room, empty rooms included; rooms of one name stay apart."""
-    return child_counts(rooms, "id", students, "room", "student_count").select("name", "student_count")
+    joined = rooms.join(summary, rooms["id"] == summary["room"], "left")
+    return joined.select("name", F.coalesce("n", F.lit(0)).alias("student_count"))
+
 
+def _by_name(rooms: DataFrame, summary: DataFrame) -> GroupedData:
+    return rooms.join(summary, rooms["id"] == summary["room"]).groupBy("name")
 
-def smallest_mean_ages(rooms: DataFrame, students: DataFrame, as_of: str, k: int = 5) -> DataFrame:
+
+def smallest_mean_ages(rooms: DataFrame, summary: DataFrame, k: int = 5) -> DataFrame:
     """Rooms by name with the smallest mean age, floored before the sort."""
-    per_room = _ages(students, as_of).groupBy("room").agg(
-        F.sum("years").alias("years"), F.count("years").alias("n")
-    )
-    named = rooms.join(per_room, rooms["id"] == per_room["room"]).groupBy("name")
     mean = F.floor(F.sum("years") / F.sum("n")).cast("bigint")
-    return named.agg(mean.alias("avg_age")).orderBy("avg_age", "name").limit(k)
+    return _by_name(rooms, summary).agg(mean.alias("avg_age")).orderBy("avg_age", "name").limit(k)
 
 
-def largest_age_gaps(rooms: DataFrame, students: DataFrame, as_of: str, k: int = 5) -> DataFrame:
-    per_room = _ages(students, as_of).groupBy("room").agg(
-        F.min("years").alias("low"), F.max("years").alias("high")
-    )
-    named = rooms.join(per_room, rooms["id"] == per_room["room"]).groupBy("name")
-    gap = (F.max("high") - F.min("low")).cast("bigint")
-    return named.agg(gap.alias("age_dif")).orderBy(F.desc("age_dif"), "name").limit(k)
+def largest_age_gaps(rooms: DataFrame, summary: DataFrame, k: int = 5) -> DataFrame:
+    gap = (F.max("oldest") - F.min("youngest")).cast("bigint")
+    gaps = _by_name(rooms, summary).agg(gap.alias("age_dif"))
+    return gaps.orderBy(F.desc("age_dif"), "name").limit(k)
 
 
-def mixed_sex_rooms(rooms: DataFrame, students: DataFrame) -> DataFrame:
-    per_room = students.groupBy("room").agg(F.min("sex").alias("low"), F.max("sex").alias("high"))
-    named = rooms.join(per_room, rooms["id"] == per_room["room"]).groupBy("name")
-    return named.agg((F.min("low") < F.max("high")).alias("mixed")).where("mixed").select("name")
+def mixed_sex_rooms(rooms: DataFrame, summary: DataFrame) -> DataFrame:
+    mixed = F.min("low_sex") < F.max("high_sex")
+    return _by_name(rooms, summary).agg(mixed.alias("mixed")).where("mixed").select("name")
 
 
 def room_reports(rooms: DataFrame, students: DataFrame, as_of: str) -> dict[str, DataFrame]:
-    """The four reports by name, none of them run yet."""
+    """The four reports by name, none of them run yet.
+
+    They share the room summary. It is written once to the shared scratch
+    folder, so the students are scanned once and not by each report.
+    """
+    path = scratch_dir(rooms.sparkSession, "room-summary")
+    room_summary(students, as_of).write.parquet(path)
+    summary = rooms.sparkSession.read.parquet(path)
     return {
-        "rooms_student_count": student_counts(rooms, students),
-        "smallest_avg_age_5": smallest_mean_ages(rooms, students, as_of),
-        "largest_age_dif_5": largest_age_gaps(rooms, students, as_of),
-        "dif_sex_rooms": mixed_sex_rooms(rooms, students),
+        "rooms_student_count": student_counts(rooms, summary),
+        "smallest_avg_age_5": smallest_mean_ages(rooms, summary),
+        "largest_age_dif_5": largest_age_gaps(rooms, summary),
+        "dif_sex_rooms": mixed_sex_rooms(rooms, summary),
     }
 
 
@@ -87,29 +104,28 @@ ALL_REPORTS_SQL = f"""with {_AGES},
 
 @job(COUNT_SQL)
 def rooms_student_count(t: Roles) -> DataFrame:
-    return student_counts(t.rooms, t.students)
+    return student_counts(t.rooms, room_summary(t.students, AS_OF))
 
 
 @job(COUNT_SQL)
 def join_left_zero(t: Roles) -> DataFrame:
-    """The plain form: outer join, then count the child key."""
-    joined = t.rooms.join(t.students.select("room", F.col("id").alias("student")), F.col("id") == F.col("room"), "left")
-    return joined.groupBy("id", "name").agg(F.count("student").alias("student_count")).drop("id")
+    """The general operator: children counted per key before the outer join."""
+    return child_counts(t.rooms, "id", t.students, "room", "student_count").select("name", "student_count")
 
 
 @job(YOUNG_SQL)
 def smallest_avg_age_5(t: Roles) -> DataFrame:
-    return smallest_mean_ages(t.rooms, t.students, AS_OF)
+    return smallest_mean_ages(t.rooms, room_summary(t.students, AS_OF))
 
 
 @job(GAP_SQL)
 def largest_age_dif_5(t: Roles) -> DataFrame:
-    return largest_age_gaps(t.rooms, t.students, AS_OF)
+    return largest_age_gaps(t.rooms, room_summary(t.students, AS_OF))
 
 
 @job(MIXED_SQL)
 def dif_sex_rooms(t: Roles) -> DataFrame:
-    return mixed_sex_rooms(t.rooms, t.students)
+    return mixed_sex_rooms(t.rooms, room_summary(t.students, AS_OF))
 
 
 @job(ALL_REPORTS_SQL + " select report, count(*) as row_count from reports group by report")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,6 +62,12 @@ def numeric_vectors(spark: SparkSession, path: str, separator: str = ",") -> Dat
     return cells.select("pos", F.trim("cell").cast("double").alias("x"))
 
 
+def literal_rows(spark: SparkSession, values: Sequence[Any], position: str, name: str) -> DataFrame:
+    """A short fixed list as rows with positions from zero, known to be small."""
+    listed = F.array(*[F.lit(v) for v in values])
+    return spark.range(1).select(F.posexplode(listed).alias(position, name))
+
+
 def variant_fields(df: DataFrame, json: str, **fields: str) -> DataFrame:
     """Parse a JSON text column once and pull typed fields out of it.
 

@@ -104,12 +104,16 @@ def batch_step(spark: SparkSession, paths: ReviewPaths) -> Callable[[DataFrame,
         if raw.isEmpty():
             log(batch_id, "empty")
             return
-        bad = unreadable(raw)
-        raw.where(bad).write.mode("overwrite").parquet(f"{paths.rejects}/batch={batch_id}")
-        # Rows of a file block stay in file order, so this grows along the block.
-        lines = raw.withColumn("_line", F.monotonically_increasing_id())
-        good = clean_reviews(lines.where(~bad))
-        table.upsert(good, last_wins(), version=batch_id, columns=list(REVIEW_COLUMNS))
+        # Rows of a file block stay in file order, so the number grows along the block.
+        # Two outputs follow: keep the parsed rows, on disk where memory is short.
+        lines = raw.withColumn("_line", F.monotonically_increasing_id()).persist()
+        try:
+            bad = unreadable(lines)
+            lines.where(bad).write.mode("overwrite").parquet(f"{paths.rejects}/batch={batch_id}")
+            good = clean_reviews(lines.where(~bad))
+            table.upsert(good, last_wins(), version=batch_id, columns=list(REVIEW_COLUMNS))
+        finally:
+            lines.unpersist()
         log(batch_id, "loaded")
 
     return step
