@@ -90,10 +90,12 @@ def _title(name: Column) -> Column:
     return F.concat(F.upper(F.substring(name, 1, 1)), F.lower(F.substr(name, F.lit(2))))
 
 
-def terms(text: Column, min_length: int = 3, stop_words: tuple[str, ...] = ()) -> Column:
-    """Lower-cased letter runs of the whole text, short and stop words left out."""
-    words = F.split(F.lower(text), "[^\\p{L}]+")
-    kept = F.filter(words, lambda w: F.length(w) >= min_length)
-    if stop_words:
-        kept = F.filter(kept, lambda w: ~w.isin(*stop_words))
-    return kept
+def words(text: Column) -> Column:
+    """Lower-cased letter runs of the whole text, in order."""
+    return F.split(F.lower(text), "[^\\p{L}]+")
+
+
+def is_term(word: Column, min_length: int = 3, stop_words: tuple[str, ...] = ()) -> Column:
+    """Long enough and not a stop word."""
+    long_enough = F.length(word) >= min_length
+    return long_enough & ~word.isin(*stop_words) if stop_words else long_enough

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.text import terms
+from millrace.functions.text import is_term, words
 
 # Common English words that carry no search meaning.
 ENGLISH_STOP_WORDS = (
@@ -44,19 +44,19 @@ def postings(df: DataFrame, doc: str, text: str, stop_words: tuple[str, ...] = (
     rows, never one list. The groups are keyed by term and document together,
     so a frequent term spreads over all tasks.
     """
-    words = terms(F.col(text), stop_words=stop_words)
     # The outer form keeps the optimizer from splitting every text a second time.
-    placed = df.select(doc, F.posexplode_outer(words).alias("_pos", "term"))
-    return placed.where(F.col("term").isNotNull()).groupBy("term", doc).agg(
+    placed = df.select(doc, F.posexplode_outer(words(F.col(text))).alias("_pos", "term"))
+    kept = placed.where(is_term(F.col("term"), stop_words=stop_words))
+    return kept.groupBy("term", doc).agg(
         F.count(F.lit(1)).alias("occurrences"), F.min("_pos").alias("first_pos")
     )
 
 
 def document_frequency(df: DataFrame, doc: str, text: str, stop_words: tuple[str, ...] = ()) -> DataFrame:
     """Documents per term. Repeats are dropped within the row, before any shuffle."""
-    words = F.array_distinct(terms(F.col(text), stop_words=stop_words))
-    once = df.select(F.explode_outer(words).alias("term"))
-    return once.where(F.col("term").isNotNull()).groupBy("term").agg(F.count(F.lit(1)).alias("documents"))
+    once = df.select(F.explode_outer(F.array_distinct(words(F.col(text)))).alias("term"))
+    kept = once.where(is_term(F.col("term"), stop_words=stop_words))
+    return kept.groupBy("term").agg(F.count(F.lit(1)).alias("documents"))
 
 
 def documents_with_all(index: DataFrame, doc: str, wanted: Sequence[str]) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import scratch_dir
+
 
 def full_refresh(
     spark: SparkSession, tables: Mapping[str, tuple[DataFrame, T.StructType]], location: str
@@ -50,20 +52,46 @@ def last_per_key(batch: DataFrame, key: str, sequence: Column, columns: Sequence
 
 
 def merge_by_key(
-    stored: DataFrame, batch: DataFrame, key: str, stamp: str | None = None, now: Column | None = None
+    stored: DataFrame,
+    batch: DataFrame,
+    key: str,
+    stamp: str | None = None,
+    now: Column | None = None,
+    small_batch: bool = False,
 ) -> DataFrame:
     """Stored rows with the batch (one row per key) set over them.
 
     A field of the batch replaces the stored one, also by NULL. Stored fields
     the batch does not have stay, and new keys are added. With ``stamp``, that
     column becomes ``now`` on new rows and on rows where any field differs.
+
+    ``small_batch`` says that the batch fits a broadcast: the stored table is
+    then streamed past it without a shuffle. Otherwise both sides are
+    shuffled once and merged.
     """
+    fields = _merged_fields(stored, batch, key, stamp, now)
     old, new = stored.alias("old"), batch.alias("new")
+    same_key = F.col(f"old.{key}") == F.col(f"new.{key}")
+    if not small_batch:
+        return old.join(new, same_key, "full").select(*fields)
+    updated = old.join(F.broadcast(new), same_key, "left").select(*fields)
+    known = stored.select(key).join(F.broadcast(batch.select(key)), key, "left_semi")
+    inserted = batch.join(known, key, "left_anti").alias("new")
+    # No stored row matches these keys, so the stored side is all NULL.
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in stored.schema.fields]
+    padded = inserted.select(F.struct("new.*").alias("new"), F.struct(*nothing).alias("old"))
+    return updated.unionAll(padded.select(*fields))
+
+
+def _merged_fields(
+    stored: DataFrame, batch: DataFrame, key: str, stamp: str | None, now: Column | None
+) -> list[Column]:
+    """Columns of a merged row, given its ``old`` and ``new`` side."""
     in_batch = F.col(f"new.{key}").isNotNull()
-    is_new = F.col(f"old.{key}").isNull()
+    differs = F.col(f"old.{key}").isNull()
     names = [c for c in stored.columns if c != stamp]
     names += [c for c in batch.columns if c not in names and c != stamp]
-    merged, differs = [], F.lit(False)
+    merged = []
     for name in names:
         if name not in batch.columns:
             value = F.col(f"old.{name}")
@@ -76,8 +104,8 @@ def merge_by_key(
         merged.append(value.alias(name))
     if stamp:
         kept = F.col(f"old.{stamp}") if stamp in stored.columns else F.lit(None).cast("timestamp_ntz")
-        merged.append(F.when(in_batch & (is_new | differs), now).otherwise(kept).alias(stamp))
-    return old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full").select(*merged)
+        merged.append(F.when(in_batch & differs, now).otherwise(kept).alias(stamp))
+    return merged
 
 
 def merge_statement(table: str, batch_view: str, key: str, columns: Sequence[str]) -> str:
@@ -119,6 +147,18 @@ class KeyedTable:
                 found.append(int(folder.getName()[1:]))
         return sorted(found)
 
+    def _written(self, batch: DataFrame) -> tuple[DataFrame, int]:
+        """The batch as a written table, and its size in bytes."""
+        folder = scratch_dir(self.spark, "batch")
+        batch.write.parquet(folder)
+        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return self.spark.read.parquet(folder), fs.getContentSummary(hadoop_path).getLength()
+
+    def _broadcast_limit(self) -> int:
+        limit = self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+        return int(limit)
+
     def _folder(self, version: int) -> str:
         return f"{self.path}/v{version:09d}"
 
@@ -151,10 +191,13 @@ class KeyedTable:
             version = versions[-1] + 1 if versions else 0
         if version in versions:
             return version
-        older = [v for v in versions if v < version]
         latest = last_per_key(batch, self.key, sequence, columns)
+        older = [v for v in versions if v < version]
         if older:
-            merged = merge_by_key(self.read(older[-1]), latest, self.key, stamp, now)
+            # Written first: its size is then known and decides how it is joined.
+            latest, size = self._written(latest)
+            small = size <= self._broadcast_limit()
+            merged = merge_by_key(self.read(older[-1]), latest, self.key, stamp, now, small)
         else:
             merged = latest.withColumn(stamp, now) if stamp else latest
         merged.write.mode("overwrite").parquet(self._folder(version))

@@ -1,0 +1,99 @@
+import datetime
+import glob
+import os
+
+import pytest
+
+from millrace.sources.tables import KeyedTable
+from millrace.streaming import reviews as stream
+
+HEADER = "review_id,content,score,at\n"
+
+
+@pytest.fixture
+def paths(tmp_path):
+    names = ("inbox", "table", "checkpoint", "log", "rejects")
+    folders = {n: str(tmp_path / n) for n in names}
+    os.makedirs(folders["inbox"])
+    return stream.ReviewPaths(**folders)
+
+
+def arrive(paths, name, body):
+    with open(f"{paths.inbox}/{name}", "w", encoding="utf-8") as f:
+        f.write(body)
+
+
+def table(spark, paths):
+    df = KeyedTable(spark, paths.table, "review_id").read()
+    return {} if df is None else {r["review_id"]: (r["content"], r["score"], r["at"]) for r in df.collect()}
+
+
+def test_empty_files_are_logged_and_skipped(spark, paths):
+    arrive(paths, "a.csv", "")
+    arrive(paths, "b.csv", HEADER)
+    stream.run_once(spark, paths)
+    assert {r["outcome"] for r in stream.outcomes(spark, paths).collect()} == {"empty"}
+    assert table(spark, paths) == {}
+
+
+def test_cleaning_and_last_record_wins(spark, paths):
+    body = HEADER + (
+        '1,"good app 😀, ok",5,2024-01-02 00:00:00\n'
+        "1,later line older date,4,2024-01-01 00:00:00\n"
+        "2, NA ,null,bad\n"
+        "3,   ,3.5,\n"
+        "4,none,x,2024-01-03 00:00:00\n"
+        "5,NA★,1,2024-01-03 00:00:00\n"
+    )
+    arrive(paths, "a.csv", body)
+    stream.run_once(spark, paths)
+    got = table(spark, paths)
+    assert got[1] == ("good app , ok", 5.0, datetime.datetime(2024, 1, 2))
+    assert got[2] == ("-", None, None)
+    assert got[3] == ("-", 3.5, None)
+    assert got[4] == ("-", None, datetime.datetime(2024, 1, 3))
+    assert got[5] == (None, 1.0, datetime.datetime(2024, 1, 3))
+    undated = [r["review_id"] for r in stream.ordered_export(KeyedTable(spark, paths.table, "review_id").read()).collect()]
+    assert undated == [1, 4, 5, 2, 3]
+
+
+def test_each_file_is_taken_once_and_later_files_win(spark, paths):
+    arrive(paths, "a.csv", HEADER + "1,one,1,2024-01-09 00:00:00\n2,two,1,\n")
+    stream.run_once(spark, paths)
+    stream.run_once(spark, paths)
+    arrive(paths, "b.csv", HEADER + "1,uno,2,2024-01-01 00:00:00\n")
+    stream.run_once(spark, paths)
+    got = table(spark, paths)
+    assert got[1][:2] == ("uno", 2.0) and got[2][0] == "two"
+    assert KeyedTable(spark, paths.table, "review_id").versions() == [0, 1]
+
+
+def test_repeated_batch_changes_nothing(spark, paths):
+    step = stream.batch_step(spark, paths)
+    fields = "review_id string, content string, score string, at string, _corrupt_record string, "
+    fields += "_file_time timestamp, _file string, _block bigint"
+    batch = spark.createDataFrame([("1", "a", "1", None, None, datetime.datetime(2024, 1, 1), "f", 0)], fields)
+    step(batch, 0)
+    other = spark.createDataFrame([("1", "b", "2", None, None, datetime.datetime(2024, 1, 1), "f", 0)], fields)
+    step(other, 0)
+    assert table(spark, paths)[1][:2] == ("a", 1.0)
+
+
+def test_rows_without_a_usable_key_are_rejected(spark, paths):
+    arrive(paths, "a.csv", HEADER + "x,bad key,1,\n,no key,1,\n7,fine,1,\n")
+    stream.run_once(spark, paths)
+    assert set(table(spark, paths)) == {7}
+    assert spark.read.parquet(f"{paths.rejects}/batch=0").count() == 2
+
+
+def test_one_file_per_batch_and_archive(spark, paths, tmp_path):
+    spark.conf.set("spark.sql.streaming.fileSource.cleaner.numThreads", "0")
+    archived = stream.ReviewPaths(**{**paths.__dict__, "archive": str(tmp_path / "archive")})
+    arrive(archived, "a.csv", HEADER + "1,one,1,\n")
+    stream.run_once(spark, archived, files_per_batch=1)
+    for i, name in enumerate(("b.csv", "c.csv")):
+        arrive(archived, name, HEADER + f"{i + 2},more,1,\n")
+        stream.run_once(spark, archived, files_per_batch=1)
+    assert set(table(spark, archived)) == {1, 2, 3}
+    assert glob.glob(f"{archived.archive}/**/a.csv", recursive=True)
+    assert not os.path.exists(f"{archived.inbox}/a.csv")
