@@ -76,7 +76,8 @@ def merge_by_key(
         return old.join(new, same_key, "full").select(*fields)
     updated = old.join(F.broadcast(new), same_key, "left").select(*fields)
     known = stored.select(key).join(F.broadcast(batch.select(key)), key, "left_semi")
-    inserted = batch.join(known, key, "left_anti").alias("new")
+    # At most the keys of the batch, so it fits a broadcast as well.
+    inserted = batch.join(F.broadcast(known), key, "left_anti").alias("new")
     # No stored row matches these keys, so the stored side is all NULL.
     nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in stored.schema.fields]
     padded = inserted.select(F.struct("new.*").alias("new"), F.struct(*nothing).alias("old"))

@@ -151,7 +151,7 @@ def test_both_merge_forms_agree(spark, rows):
     assert forms[0].columns == forms[1].columns
     want = [(1, "a", 5, None), (2, None, 6, "n"), (3, "c", 7, None), (4, "d", None, "m")]
     assert rows(forms[0]) == rows(forms[1]) == want
-    plan = forms[1]._jdf.queryExecution().executedPlan().toString()
+    plan = forms[1]._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     assert "SortMergeJoin" not in plan
 
 
