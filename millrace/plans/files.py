@@ -45,7 +45,7 @@ def src_json_array(t: Roles) -> DataFrame:
     return readers.json_arrays(t.spark, path, STUDENT)
 
 
-@job("select review_id, content, score, at_text from v_reviews")
+@job("select review_id, nullif(content, '') as content, score, at_text from v_reviews")
 def src_csv_header(t: Roles) -> DataFrame:
     path = scratch_dir(t.spark, "reviews")
     writers.write_csv(t.reviews, path)

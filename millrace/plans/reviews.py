@@ -177,7 +177,7 @@ _REVIEW_SQL = f"""select review_id, {_cleaned_sql('content')} as content, score,
     try_strptime(at_text, '%Y-%m-%d %H:%M:%S') as "at" from v_reviews"""
 
 
-@job("select review_id, content, score, at_text as \"at\" from v_reviews")
+@job("select review_id, nullif(content, '') as content, score, at_text as \"at\" from v_reviews")
 def stream_file_arrival(t: Roles) -> DataFrame:
     """Rows as the file source hands them over, once each."""
     paths = _paths(t)
@@ -219,7 +219,7 @@ def stream_clean_chain(t: Roles) -> DataFrame:
     return stream.ordered_export(KeyedTable(t.spark, paths.table, stream.KEY).read())
 
 
-@job("select review_id, content, score, at_text as \"at\" from v_reviews")
+@job("select review_id, nullif(content, '') as content, score, at_text as \"at\" from v_reviews")
 def stream_archive(t: Roles) -> DataFrame:
     """Files of a finished arrival lie in the archive once the next one is planned."""
     t.spark.conf.set("spark.sql.streaming.fileSource.cleaner.numThreads", "0")

@@ -15,8 +15,9 @@ from millrace.plans.registry import job
 from millrace.plans.roles import AS_OF, Roles
 from millrace.session import scratch_dir
 
-_AGES = f"""ages as (select r.name, extract(year from age(date '{AS_OF}', s.birthday)) as years
-    from v_rooms r join v_students s on r.id = s.room)"""
+# SQL steps the checks share: students with their room's name and age.
+_AGES = f"""ages as (select room, sex, name, extract(year from age(date '{AS_OF}', birthday)) as years
+    from v_students, v_rooms where room = v_rooms.id)"""
 
 
 def room_summary(students: DataFrame, as_of: str) -> DataFrame:
@@ -80,25 +81,20 @@ def room_reports(rooms: DataFrame, students: DataFrame, as_of: str) -> dict[str,
     }
 
 
-COUNT_SQL = """select r.name, count(s.id) as student_count from v_rooms r
-    left join v_students s on r.id = s.room group by r.id, r.name"""
+COUNT_SQL = """select name, coalesce(n, 0) as student_count from v_rooms
+    left join (select room as id, count(*) as n from v_students group by room) using (id)"""
 YOUNG_SQL = f"""with {_AGES}
-    select name, cast(floor(avg(years)) as bigint) as avg_age from ages
-    group by name order by avg_age, name limit 5"""
-GAP_SQL = f"""with {_AGES}
-    select name, cast(max(years) - min(years) as bigint) as age_dif from ages
-    group by name order by age_dif desc, name limit 5"""
-MIXED_SQL = """select r.name from v_rooms r join v_students s on r.id = s.room
-    group by r.name having count(distinct s.sex) > 1"""
-ALL_REPORTS_SQL = f"""with {_AGES},
-    counted as ({COUNT_SQL}),
-    young as (select name, cast(floor(avg(years)) as bigint) as v from ages group by name order by v, name limit 5),
-    gaps as (select name, cast(max(years) - min(years) as bigint) as v from ages group by name order by v desc, name limit 5),
+    select name, sum(years) // count(*) as avg_age from ages group by name order by avg_age, name limit 5"""
+GAP_SQL = f"""with {_AGES}, spans as (select name, list(years) as ys from ages group by name)
+    select name, list_max(ys) - list_min(ys) as age_dif from spans order by age_dif desc, name limit 5"""
+MIXED_SQL = f"""with {_AGES} select a.name from (select distinct name, sex from ages) a
+    group by a.name having count(*) > 1"""
+ALL_REPORTS_SQL = f"""with counted as ({COUNT_SQL}), young as ({YOUNG_SQL}), gaps as ({GAP_SQL}),
     mixed as ({MIXED_SQL}),
     reports as (
     select 'rooms_student_count' as report, name, student_count as value from counted
-    union all select 'smallest_avg_age_5', name, v from young
-    union all select 'largest_age_dif_5', name, v from gaps
+    union all select 'smallest_avg_age_5', name, avg_age from young
+    union all select 'largest_age_dif_5', name, age_dif from gaps
     union all select 'dif_sex_rooms', name, null from mixed)"""
 
 

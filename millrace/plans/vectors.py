@@ -63,7 +63,8 @@ def _unpacked(df: DataFrame) -> DataFrame:
 
 @job("""with v as (select p_type, c_mktsegment, r_name from (select distinct p_type from part)
     cross join (select distinct c_mktsegment from customer) cross join (select distinct r_name from region))
-    select row_number() over (order by p_type, c_mktsegment, r_name) - 1 as position, p_type, c_mktsegment, r_name
+    select row_number() over (order by p_type nulls first, c_mktsegment nulls first,
+    r_name nulls first) - 1 as position, p_type, c_mktsegment, r_name
     from v""")
 def cartesian_product(t: Roles) -> DataFrame:
     return all_combinations(
