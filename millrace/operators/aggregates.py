@@ -112,7 +112,7 @@ def distinct_by_parent(
     parents: DataFrame, key: str, label: str, links: DataFrame, item: str, name: str = "n"
 ) -> DataFrame:
     """Distinct linked items per parent label, zero included, largest first."""
-    pairs = links.select(key, item).distinct().join(parents.select(key, label), key)
+    pairs = links.select(key, item).join(parents.select(key, label), key)
     counts = pairs.groupBy(label).agg(F.count_distinct(item).alias(name))
     labels = parents.select(label).distinct()
     out = labels.join(counts, labels[label].eqNullSafe(counts[label]), "left").select(
@@ -140,8 +140,8 @@ def most_frequent_texts(df: DataFrame, text: str, k: int = 5, name: str = "n") -
     Counting runs on digests, so whole texts do not go through the shuffle.
     Texts are fetched only for digests that reach the k-th count.
     """
-    # A digest is 64 hex digits, so the empty text can stand for a missing one.
-    digest = F.coalesce(F.sha2(F.col(text), 256), F.lit(""))
+    # A digest has 32 bytes, so the empty one can stand for a missing text.
+    digest = F.unhex(F.coalesce(F.sha2(F.col(text), 256), F.lit("")))
     keyed = df.select(F.col(text), digest.alias("_digest"))
     counts = keyed.groupBy("_digest").agg(F.count(F.lit(1)).alias(name))
     cut = counts.select(name).orderBy(F.desc(name)).limit(k).agg(F.min(name)).scalar()

@@ -24,9 +24,8 @@ def assign_keys(df: DataFrame, order: Sequence[str], name: str, start: int = 1)
     """
     spark = df.sparkSession
     path = scratch_dir(spark, "keys")
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
-        df.repartitionByRange(partitions, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_mark", F.monotonically_increasing_id())
         .write.parquet(path)
