@@ -152,6 +152,9 @@ def stamp_last_update(t: Roles) -> DataFrame:
 
 
 # ---------------------------------------------------------------- file arrival
+FILES = stream.ReviewLayout(columns={"review_id": "bigint", "content": "string", "score": "double", "at": "string"})
+
+
 def _paths(t: Roles, archive: bool = False) -> stream.ReviewPaths:
     base = scratch_dir(t.spark, "arrivals")
     names = ("inbox", "table", "checkpoint", "log", "rejects")
@@ -184,7 +187,7 @@ def stream_file_arrival(t: Roles) -> DataFrame:
     _drop(_as_file(t.reviews), paths, "first")
     out = f"{paths.table}/raw"
     query = (
-        stream.arrivals(t.spark, paths)
+        stream.arrivals(t.spark, paths, FILES)
         .select(F.col("review_id").cast("bigint").alias("review_id"), "content", F.col("score").cast("double").alias("score"), "at")
         .writeStream.format("parquet")
         .option("checkpointLocation", paths.checkpoint)
@@ -201,10 +204,10 @@ def stream_empty_branch(t: Roles) -> DataFrame:
     """A header-only arrival is logged and skipped, the next one is loaded."""
     paths = _paths(t)
     _drop(_as_file(t.reviews).where("false"), paths, "first")
-    stream.run_once(t.spark, paths)
+    stream.run_once(t.spark, paths, FILES)
     _drop(_as_file(t.reviews), paths, "second")
-    stream.run_once(t.spark, paths)
-    table = KeyedTable(t.spark, paths.table, stream.KEY)
+    stream.run_once(t.spark, paths, FILES)
+    table = KeyedTable(t.spark, paths.table, FILES.key)
     loaded = table.read().agg(F.lit("loaded").alias("outcome"), F.count(F.lit(1)).alias("reviews"))
     batches = stream.outcomes(t.spark, paths).groupBy("outcome").agg(F.count(F.lit(1)).alias("batches"))
     joined = batches.join(loaded, "outcome", "left")
@@ -215,8 +218,8 @@ def stream_empty_branch(t: Roles) -> DataFrame:
 def stream_clean_chain(t: Roles) -> DataFrame:
     paths = _paths(t)
     _drop(_as_file(t.reviews), paths, "first")
-    stream.run_once(t.spark, paths)
-    return stream.ordered_export(KeyedTable(t.spark, paths.table, stream.KEY).read())
+    stream.run_once(t.spark, paths, FILES)
+    return stream.ordered_export(KeyedTable(t.spark, paths.table, FILES.key).read(), FILES)
 
 
 @job("select review_id, nullif(content, '') as content, score, at_text as \"at\" from v_reviews")
@@ -225,11 +228,11 @@ def stream_archive(t: Roles) -> DataFrame:
     t.spark.conf.set("spark.sql.streaming.fileSource.cleaner.numThreads", "0")
     paths = _paths(t, archive=True)
     _drop(_as_file(t.reviews), paths, "first")
-    stream.run_once(t.spark, paths)
+    stream.run_once(t.spark, paths, FILES)
     for name in ("second", "third"):
         _drop(_as_file(_labelled_reviews(t)), paths, name)
-        stream.run_once(t.spark, paths)
-    fields = ", ".join(f"{c} {kind}" for c, kind in stream.REVIEW_COLUMNS.items())
+        stream.run_once(t.spark, paths, FILES)
+    fields = ", ".join(f"{c} {kind}" for c, kind in FILES.columns.items())
     archived = t.spark.read.schema(fields).options(**CSV_OPTIONS).option("recursiveFileLookup", "true")
     return archived.csv(_archived(paths, "first"))
 
@@ -248,7 +251,7 @@ def stream_upsert(t: Roles) -> DataFrame:
     """Two arrivals: the table ends with the last record per review."""
     paths = _paths(t)
     _drop(_as_file(t.reviews), paths, "first")
-    stream.run_once(t.spark, paths)
+    stream.run_once(t.spark, paths, FILES)
     _drop(_as_file(_labelled_reviews(t)), paths, "second")
-    stream.run_once(t.spark, paths)
-    return KeyedTable(t.spark, paths.table, stream.KEY).read()
+    stream.run_once(t.spark, paths, FILES)
+    return KeyedTable(t.spark, paths.table, FILES.key).read()

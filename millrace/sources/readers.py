@@ -21,6 +21,8 @@ CSV_OPTIONS = {
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
+    # Compare the header with the declared names: a file in another order fails.
+    "enforceSchema": "false",
 }
 
 
@@ -46,8 +48,7 @@ def csv_with_header(
     them is NULL and any other unreadable value still fails.
     """
     raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    # Columns are found by header name, whatever their order in the file.
-    cells = spark.read.schema(raw).options(**CSV_OPTIONS, enforceSchema="false").csv(path)
+    cells = spark.read.schema(raw).options(**CSV_OPTIONS).csv(path)
     cells = null_missing_cells(cells, tokens)
     return cells.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 

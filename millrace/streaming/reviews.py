@@ -8,23 +8,40 @@ upserts under the batch number, so a repeated batch changes nothing.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.dates import coerce_ts
-from millrace.functions.text import DEFAULT_MISSING, clean_text
+from millrace.functions.text import DEFAULT_MISSING, REVIEW_MISSING, clean_text, missing_to_null, trim_blanks
 from millrace.operators.rows import clean_missing_cells, null_missing_cells, sort_by_ts_nulls_last
 from millrace.sources.readers import CSV_OPTIONS
 from millrace.sources.tables import KeyedTable
 
-KEY = "review_id"
-REVIEW_COLUMNS = {"review_id": "bigint", "content": "string", "score": "double", "at": "string"}
 _CORRUPT = "_corrupt_record"
 
 
+def _default_columns() -> dict[str, str]:
+    return {"review_id": "string", "content": "string", "score": "double", "at": "string"}
+
+
+@dataclass(frozen=True)
+class ReviewLayout:
+    """Columns of the files in header order with their types, and the key.
+
+    ``content`` and ``at`` get their own cleaning where they are present;
+    all other columns pass through.
+    """
+
+    key: str = "review_id"
+    columns: dict[str, str] = field(default_factory=_default_columns)
+
+
+LAYOUT = ReviewLayout()
+
+
 @dataclass(frozen=True)
 class ReviewPaths:
     """Folders of one job, all below a file system the executors share."""
@@ -37,9 +54,11 @@ class ReviewPaths:
     archive: str | None = None
 
 
-def arrivals(spark: SparkSession, paths: ReviewPaths, files_per_batch: int | None = None) -> DataFrame:
+def arrivals(
+    spark: SparkSession, paths: ReviewPaths, layout: ReviewLayout = LAYOUT, files_per_batch: int | None = None
+) -> DataFrame:
     """Stream of raw review rows (all text) with their place of arrival."""
-    fields = ", ".join(f"{c} string" for c in REVIEW_COLUMNS) + f", {_CORRUPT} string"
+    fields = ", ".join(f"`{c}` string" for c in layout.columns) + f", {_CORRUPT} string"
     reader = (
         spark.readStream.schema(fields)
         .options(**CSV_OPTIONS, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT)
@@ -59,40 +78,42 @@ def arrivals(spark: SparkSession, paths: ReviewPaths, files_per_batch: int | Non
     )
 
 
-def unreadable(raw: DataFrame) -> Column:
-    """Rows the table cannot take: broken CSV, or no usable key."""
-    key = F.trim(F.col(KEY)).try_cast(REVIEW_COLUMNS[KEY])
+def unreadable(layout: ReviewLayout = LAYOUT) -> Column:
+    """Rows the table cannot take: broken CSV, or no usable key once cleaned."""
+    given = trim_blanks(missing_to_null(F.col(layout.key), REVIEW_MISSING))
+    key = missing_to_null(given, DEFAULT_MISSING).try_cast(layout.columns[layout.key])
     return F.col(_CORRUPT).isNotNull() | key.isNull()
 
 
-def clean_reviews(raw: DataFrame) -> DataFrame:
+def clean_reviews(raw: DataFrame, layout: ReviewLayout = LAYOUT) -> DataFrame:
     """Mark missing cells, parse the date, clean the content, type the columns.
 
     Between the steps, text is matched against the missing-value texts again:
     the steps hand over files, so a cell that became one of these texts is
     missing for the step after it.
     """
-    texts = [c for c in REVIEW_COLUMNS if c in raw.columns]
-    cells = null_missing_cells(clean_missing_cells(raw, texts), DEFAULT_MISSING, texts)
-    out = cells
-    if "at" in raw.columns:
+    texts = list(layout.columns)
+    out = null_missing_cells(clean_missing_cells(raw, texts), DEFAULT_MISSING, texts)
+    if "at" in texts:
         out = out.withColumn("at", coerce_ts(F.col("at")))
-    if "content" in raw.columns:
+    if "content" in texts:
         out = out.withColumn("content", clean_text(F.col("content")))
         out = null_missing_cells(out, DEFAULT_MISSING, ["content"])
-    numbers = {c: F.col(c).try_cast(t) for c, t in REVIEW_COLUMNS.items() if t != "string" and c in texts}
-    return out.withColumns(numbers)
+    typed = {c: F.col(c).try_cast(t) for c, t in layout.columns.items() if t != "string" and c != "at"}
+    return out.withColumns(typed)
 
 
-def last_wins() -> Column:
+def last_wins(layout: ReviewLayout = LAYOUT) -> Column:
     """Order in which records of a batch apply: by file, then date, then line."""
-    undated = F.col("at").isNull()
-    return F.struct("_file_time", "_file", undated.alias("_undated"), "at", "_block", "_line")
+    dated = [F.col("at").isNull().alias("_undated"), F.col("at")] if "at" in layout.columns else []
+    return F.struct("_file_time", "_file", *dated, "_block", "_line")
 
 
-def batch_step(spark: SparkSession, paths: ReviewPaths) -> Callable[[DataFrame, int], None]:
+def batch_step(
+    spark: SparkSession, paths: ReviewPaths, layout: ReviewLayout = LAYOUT
+) -> Callable[[DataFrame, int], None]:
     """The work on one micro-batch."""
-    table = KeyedTable(spark, paths.table, KEY)
+    table = KeyedTable(spark, paths.table, layout.key)
 
     def log(batch_id: int, outcome: str) -> None:
         entry = spark.range(1).select(
@@ -108,10 +129,10 @@ def batch_step(spark: SparkSession, paths: ReviewPaths) -> Callable[[DataFrame,
         # Two outputs follow: keep the parsed rows, on disk where memory is short.
         lines = raw.withColumn("_line", F.monotonically_increasing_id()).persist()
         try:
-            bad = unreadable(lines)
+            bad = unreadable(layout)
             lines.where(bad).write.mode("overwrite").parquet(f"{paths.rejects}/batch={batch_id}")
-            good = clean_reviews(lines.where(~bad))
-            table.upsert(good, last_wins(), version=batch_id, columns=list(REVIEW_COLUMNS))
+            good = clean_reviews(lines.where(~bad), layout)
+            table.upsert(good, last_wins(layout), version=batch_id, columns=list(layout.columns))
         finally:
             lines.unpersist()
         log(batch_id, "loaded")
@@ -120,18 +141,25 @@ def batch_step(spark: SparkSession, paths: ReviewPaths) -> Callable[[DataFrame,
 
 
 def start(
-    spark: SparkSession, paths: ReviewPaths, files_per_batch: int | None = None, every: str | None = None
+    spark: SparkSession,
+    paths: ReviewPaths,
+    layout: ReviewLayout = LAYOUT,
+    files_per_batch: int | None = None,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Start the job: once over all waiting files, or every interval."""
-    writer = arrivals(spark, paths, files_per_batch).writeStream.foreachBatch(batch_step(spark, paths))
+    rows = arrivals(spark, paths, layout, files_per_batch)
+    writer = rows.writeStream.foreachBatch(batch_step(spark, paths, layout))
     writer = writer.option("checkpointLocation", paths.checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 
 
-def run_once(spark: SparkSession, paths: ReviewPaths, files_per_batch: int | None = None) -> None:
+def run_once(
+    spark: SparkSession, paths: ReviewPaths, layout: ReviewLayout = LAYOUT, files_per_batch: int | None = None
+) -> None:
     """Process what has arrived and return when it is done; an error is raised."""
-    query = start(spark, paths, files_per_batch)
+    query = start(spark, paths, layout, files_per_batch)
     query.awaitTermination()
 
 
@@ -139,6 +167,6 @@ def outcomes(spark: SparkSession, paths: ReviewPaths) -> DataFrame:
     return spark.read.schema("batch_id bigint, outcome string").json(f"{paths.log}/*")
 
 
-def ordered_export(reviews: DataFrame) -> DataFrame:
+def ordered_export(reviews: DataFrame, layout: ReviewLayout = LAYOUT) -> DataFrame:
     """Reviews in date order with undated ones last, as the file sink writes them."""
-    return sort_by_ts_nulls_last(reviews, "at", KEY)
+    return sort_by_ts_nulls_last(reviews, "at", layout.key)

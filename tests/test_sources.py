@@ -50,6 +50,11 @@ def test_csv_round_trip_keeps_blanks_and_breaks(spark, tmp_path, rows):
     assert rows(readers.csv_with_header(spark, out, NAMED)) == rows(df)
 
 
+def test_csv_with_another_header_fails(spark, tmp_path):
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.csv_with_header(spark, put(tmp_path, "a.csv", "name,id\na,1\n"), NAMED).collect()
+
+
 def test_numeric_vector(spark, tmp_path):
     path = put(tmp_path, "v.csv", "70, 120, 70, 50 , 110\n")
     got = readers.numeric_vectors(spark, path).orderBy("pos").collect()

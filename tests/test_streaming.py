@@ -7,6 +7,7 @@ import pytest
 from millrace.sources.tables import KeyedTable
 from millrace.streaming import reviews as stream
 
+FILES = stream.ReviewLayout(columns={"review_id": "bigint", "content": "string", "score": "double", "at": "string"})
 HEADER = "review_id,content,score,at\n"
 
 
@@ -31,7 +32,7 @@ def table(spark, paths):
 def test_empty_files_are_logged_and_skipped(spark, paths):
     arrive(paths, "a.csv", "")
     arrive(paths, "b.csv", HEADER)
-    stream.run_once(spark, paths)
+    stream.run_once(spark, paths, FILES)
     assert {r["outcome"] for r in stream.outcomes(spark, paths).collect()} == {"empty"}
     assert table(spark, paths) == {}
 
@@ -46,7 +47,7 @@ def test_cleaning_and_last_record_wins(spark, paths):
         "5,NA★,1,2024-01-03 00:00:00\n"
     )
     arrive(paths, "a.csv", body)
-    stream.run_once(spark, paths)
+    stream.run_once(spark, paths, FILES)
     got = table(spark, paths)
     assert got[1] == ("good app , ok", 5.0, datetime.datetime(2024, 1, 2))
     assert got[2] == ("-", None, None)
@@ -59,17 +60,17 @@ def test_cleaning_and_last_record_wins(spark, paths):
 
 def test_each_file_is_taken_once_and_later_files_win(spark, paths):
     arrive(paths, "a.csv", HEADER + "1,one,1,2024-01-09 00:00:00\n2,two,1,\n")
-    stream.run_once(spark, paths)
-    stream.run_once(spark, paths)
+    stream.run_once(spark, paths, FILES)
+    stream.run_once(spark, paths, FILES)
     arrive(paths, "b.csv", HEADER + "1,uno,2,2024-01-01 00:00:00\n")
-    stream.run_once(spark, paths)
+    stream.run_once(spark, paths, FILES)
     got = table(spark, paths)
     assert got[1][:2] == ("uno", 2.0) and got[2][0] == "two"
     assert KeyedTable(spark, paths.table, "review_id").versions() == [0, 1]
 
 
 def test_repeated_batch_changes_nothing(spark, paths):
-    step = stream.batch_step(spark, paths)
+    step = stream.batch_step(spark, paths, FILES)
     fields = "review_id string, content string, score string, at string, _corrupt_record string, "
     fields += "_file_time timestamp, _file string, _block bigint"
     batch = spark.createDataFrame([("1", "a", "1", None, None, datetime.datetime(2024, 1, 1), "f", 0)], fields)
@@ -81,7 +82,7 @@ def test_repeated_batch_changes_nothing(spark, paths):
 
 def test_rows_without_a_usable_key_are_rejected(spark, paths):
     arrive(paths, "a.csv", HEADER + "x,bad key,1,\n,no key,1,\n7,fine,1,\n")
-    stream.run_once(spark, paths)
+    stream.run_once(spark, paths, FILES)
     assert set(table(spark, paths)) == {7}
     assert spark.read.parquet(f"{paths.rejects}/batch=0").count() == 2
 
@@ -90,10 +91,28 @@ def test_one_file_per_batch_and_archive(spark, paths, tmp_path):
     spark.conf.set("spark.sql.streaming.fileSource.cleaner.numThreads", "0")
     archived = stream.ReviewPaths(**{**paths.__dict__, "archive": str(tmp_path / "archive")})
     arrive(archived, "a.csv", HEADER + "1,one,1,\n")
-    stream.run_once(spark, archived, files_per_batch=1)
+    stream.run_once(spark, archived, FILES, files_per_batch=1)
     for i, name in enumerate(("b.csv", "c.csv")):
         arrive(archived, name, HEADER + f"{i + 2},more,1,\n")
-        stream.run_once(spark, archived, files_per_batch=1)
+        stream.run_once(spark, archived, FILES, files_per_batch=1)
     assert set(table(spark, archived)) == {1, 2, 3}
     assert glob.glob(f"{archived.archive}/**/a.csv", recursive=True)
     assert not os.path.exists(f"{archived.inbox}/a.csv")
+
+
+def test_text_keys_and_other_columns(spark, paths):
+    layout = stream.ReviewLayout("id", {"id": "string", "user": "string", "content": "string", "likes": "int"})
+    arrive(paths, "a.csv", "id,user,content,likes\nab-1, Ann ,hi!,3\nab-2,none,yo,x\n null ,Bob,gone,1\nnull,Bob,gone,1\n")
+    stream.run_once(spark, paths, layout)
+    got = KeyedTable(spark, paths.table, "id").read().collect()
+    assert {r["id"]: (r["user"], r["content"], r["likes"]) for r in got} == {
+        "ab-1": ("Ann", "hi!", 3), "ab-2": ("-", "yo", None)
+    }
+    # Every row is in the table or among the rejects.
+    assert spark.read.parquet(f"{paths.rejects}/batch=0").count() == 2
+
+
+def test_columns_in_another_order_fail(spark, paths):
+    arrive(paths, "a.csv", "content,review_id,score,at\nx,1,1,\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        stream.run_once(spark, paths, FILES)
