@@ -33,8 +33,8 @@ def dirty_reviews(t: Roles) -> DataFrame:
     dirty = (
         F.when(key % 11 == 0, "NULL")
         .when(key % 11 == 1, "none")
-        .when(key % 11 == 2, F.lit("    "))
-        .when(key % 11 == 3, F.concat(F.lit("  "), F.col("content"), F.lit("  ")))
+        .when(key % 11 == 2, F.lit(" \u00a0\u2003 "))
+        .when(key % 11 == 3, F.concat(F.lit("\u2003 "), F.col("content"), F.lit(" \u00a0")))
         .when(key % 11 == 4, F.lit(None).cast("string"))
         .otherwise(F.col("content"))
     )

@@ -59,7 +59,7 @@ def test_seconds_between_open_end(spark):
         ("", "-"),
         ("   ", ""),
         (" NA ", "NA"),
-        ("  x \n", "x"),
+        ("\u00a0\u2003x\u2003\n", "x"),
         ("a b", "a b"),
     ],
 )
@@ -75,9 +75,9 @@ def test_clean_cell(spark, cell, cleaned):
         ("😀😀", "-"),
         (" ok! ", "ok!"),
         ("it's \"fine\" - a.b,c;d:e?", "it's \"fine\" - a.b,c;d:e?"),
-        ("a b c", "a b c"),
+        ("a\u2003b\u00a0c", "a\u2003b\u00a0c"),
         ("é a@b#c", "abc"),
-        (" é ", "-"),
+        ("\u2003é\u2003", "-"),
         ("x\ny", "x\ny"),
     ],
 )

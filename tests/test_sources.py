@@ -44,7 +44,7 @@ def test_csv_missing_texts_match_the_whole_cell(spark, tmp_path):
 
 
 def test_csv_round_trip_keeps_blanks_and_breaks(spark, tmp_path, rows):
-    df = spark.createDataFrame([(1, " a \n\"b\", c"), (2, None), (3, "ü ")], "id bigint, name string")
+    df = spark.createDataFrame([(1, " a \n\"b\", c"), (2, None), (3, "ü\u2003")], "id bigint, name string")
     out = str(tmp_path / "csv")
     writers.write_csv(df, out)
     assert rows(readers.csv_with_header(spark, out, NAMED)) == rows(df)
