@@ -3,10 +3,12 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from millrace.plans.roles import Roles
+from millrace.operators.joins import join_chain
 from millrace.operators.sequences import max_after
+from millrace.plans.roles import Roles
 
 
 def plan_of(df):
@@ -43,3 +45,42 @@ def test_series_are_windowed_in_chunks(spark, small):
     t = Roles(spark, small)
     plan = plan_of(max_after(t.series, "series_id", "pos", "x"))
     assert re.search(r"hashpartitioning\(series_id#?\w*, _chunk", plan)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Plans as they are for tables beyond every broadcast limit, with low skew limits."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield spark
+    for name in settings:
+        spark.conf.unset(name)
+
+
+def test_a_hot_key_is_split_in_a_join(no_broadcast):
+    spark = no_broadcast
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1000)
+    facts = spark.range(200_000).repartition(16).select(key.alias("k"), "id")
+    names = spark.range(1000).select(F.col("id").alias("k"), F.col("id").cast("string").alias("name"))
+    joined = join_chain(facts, (names, "k")).groupBy("k", "name").agg(F.sum("id").alias("total"))
+    assert joined.agg(F.sum("total")).first()[0] == sum(range(200_000))
+    joined.collect()
+    assert "skew=true" in plan_of(joined).split("Initial Plan")[0]
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["top10_with_ties", "max_rental_hours_by_city", "customer_balance", "filter_at_max", "value_share", "top5_frequent",
+     "distribution_summary", "replace_max_with_zero", "group_filter"],
+)
+def test_plans_beyond_broadcast_limits(no_broadcast, small, name):
+    plan = plan_of(contract.queries()[name](no_broadcast, small))
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert "BroadcastHashJoin" not in plan
