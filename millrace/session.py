@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on. All of them can be changed on a live session.
 SETTINGS = {
@@ -46,12 +47,38 @@ def local_session(cores: str | int = "*", name: str = "millrace") -> SparkSessio
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder path below the shared folder the cluster names.
 
-    The folder comes from ``spark.checkpoint.dir``. Only a local master, where
-    the driver and the tasks share one disk, may fall back to a temporary one.
+    The folder comes from ``spark.checkpoint.dir``; where that is unset, the
+    warehouse folder, which is shared too, takes its place. The folder is removed
+    when the process ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="millrace-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write the frame once below the scratch folder and read it back.
+
+    This cuts the lineage: what follows can read the rows several times, and a
+    lost executor costs no more than the tasks after the write.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system its path names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def _remove_scratch() -> None:
+    for spark, path in _SCRATCH:
+        with contextlib.suppress(Exception):  # the session may be gone already
+            remove_folder(spark, path)
