@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.chat import Budget, chat_windows, digest_sql, window_digests, with_probe
 from millrace.llm.common import table
+from millrace.llm.decontaminate import contamination, contamination_sql
+from millrace.llm.licenses import scan_licenses
 from millrace.llm.mixing import Mix, mix_sources, mix_sql
 from millrace.llm.sharding import assign_shards
 from millrace.session import configure
@@ -20,6 +23,43 @@ MIX = Mix(
 )
 
 
+CHAT = Budget(tokens=512, history_tokens=128, history_turns=4, segment_turns=4096)
+
+
+def op2_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return window_digests(chat_windows(with_probe(table(configure(spark), folder, "conversations")), CHAT))
+
+
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan_licenses(table(configure(spark), folder, "documents"))
+    base = F.filter("detections", lambda d: d["base"])
+    starts = F.transform(base, lambda d: d["first_word"])
+    labels = lambda hits: F.array_join(F.array_sort(F.array_distinct(F.transform(hits, lambda d: d["label"]))), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(F.col("detections")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("detections", lambda d: d["confidence"])), F.lit(0.0)).alias("score"),
+        F.size("detections").cast("bigint").alias("n_detections"),
+    )
+
+
+def op7_benchmark_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, benchmark = (table(configure(spark), folder, name) for name in ("documents", "benchmark"))
+    return contamination(docs, benchmark, window=10).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op9_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(table(configure(spark), folder, "documents"), MIX)
 
@@ -32,6 +72,11 @@ def op10_stratified_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op9_source_mix, op10_stratified_shards)
+    f.__name__: f
+    for f in (op2_chat_windows, op4_license_scan, op7_benchmark_contamination, op9_source_mix, op10_stratified_shards)
+}
+ORACLES: dict[str, str] = {
+    "op2_chat_windows": digest_sql(CHAT),
+    "op7_benchmark_contamination": contamination_sql(10),
+    "op9_source_mix": mix_sql(MIX),
 }
-ORACLES: dict[str, str] = {"op9_source_mix": mix_sql(MIX)}
