@@ -40,7 +40,9 @@ def positions(
     row number inside its own. Groups must not be null.
     """
     buckets = F.ceil(F.col(size) / F.greatest(F.lit(float(per_bucket)), F.sqrt(F.col(size))))
-    cut = df.withColumn("_bucket", F.least(F.floor(F.col(score) * buckets), buckets - 1).cast("bigint"))
+    bucket = F.least(F.floor(F.col(score) * buckets), buckets - 1).cast("bigint")
+    # Dealt by group and bucket: a partitioning by group alone would put a hot group into one task.
+    cut = df.withColumn("_bucket", bucket).repartition(*group, "_bucket")
     counts = cut.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*group, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))

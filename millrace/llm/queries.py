@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.llm.chat import Budget, chat_windows, digest_sql, window_digests, with_probe
 from millrace.llm.common import table
 from millrace.llm.decontaminate import contamination, contamination_sql
+from millrace.llm.language import Profiles, identify
 from millrace.llm.licenses import scan_licenses
 from millrace.llm.mixing import Mix, mix_sources, mix_sql
 from millrace.llm.sharding import assign_shards
@@ -23,6 +24,21 @@ MIX = Mix(
 )
 
 
+PROFILES = Profiles(dimensions=1024, seed=11, train_docs=2000)
+
+
+def held_out(key: str = "doc_id"):
+    """Documents that language profiles may not be learned from."""
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return F.pmod(F.crc32(text.cast("binary")), F.lit(3)) == 1
+
+
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(configure(spark), folder, "documents").select("doc_id", "text", "lang")
+    found = identify(docs, PROFILES, ~held_out(), keep=["doc_id"])
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 CHAT = Budget(tokens=512, history_tokens=128, history_turns=4, segment_turns=4096)
 
 
@@ -73,7 +89,7 @@ def op10_stratified_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_chat_windows, op4_license_scan, op7_benchmark_contamination, op9_source_mix, op10_stratified_shards)
+    for f in (op1_language_id, op2_chat_windows, op4_license_scan, op7_benchmark_contamination, op9_source_mix, op10_stratified_shards)
 }
 ORACLES: dict[str, str] = {
     "op2_chat_windows": digest_sql(CHAT),
