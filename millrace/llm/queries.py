@@ -13,6 +13,7 @@ from millrace.llm.decontaminate import contamination, contamination_sql
 from millrace.llm.language import Profiles, identify
 from millrace.llm.licenses import scan_licenses
 from millrace.llm.mixing import Mix, mix_sources, mix_sql
+from millrace.llm.near_dup import AT_85, near_groups, near_sql
 from millrace.llm.sharding import assign_shards
 from millrace.session import configure
 
@@ -64,6 +65,10 @@ def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_groups(table(configure(spark), folder, "documents"), AT_85)
+
+
 def op7_benchmark_contamination(spark: SparkSession, folder: str) -> DataFrame:
     docs, benchmark = (table(configure(spark), folder, name) for name in ("documents", "benchmark"))
     return contamination(docs, benchmark, window=10).select(
@@ -89,10 +94,19 @@ def op10_stratified_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_language_id, op2_chat_windows, op4_license_scan, op7_benchmark_contamination, op9_source_mix, op10_stratified_shards)
+    for f in (
+        op1_language_id,
+        op2_chat_windows,
+        op4_license_scan,
+        op5_near_duplicates,
+        op7_benchmark_contamination,
+        op9_source_mix,
+        op10_stratified_shards,
+    )
 }
 ORACLES: dict[str, str] = {
     "op2_chat_windows": digest_sql(CHAT),
+    "op5_near_duplicates": near_sql(AT_85),
     "op7_benchmark_contamination": contamination_sql(10),
     "op9_source_mix": mix_sql(MIX),
 }
