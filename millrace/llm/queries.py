@@ -14,6 +14,7 @@ from millrace.llm.language import Profiles, identify
 from millrace.llm.licenses import scan_licenses
 from millrace.llm.mixing import Mix, mix_sources, mix_sql
 from millrace.llm.near_dup import AT_85, near_groups, near_sql
+from millrace.llm.repeats import remove_repeats, repeats_sql
 from millrace.llm.sharding import assign_shards
 from millrace.session import configure
 
@@ -47,6 +48,12 @@ def op2_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
     return window_digests(chat_windows(with_probe(table(configure(spark), folder, "conversations")), CHAT))
 
 
+def op3_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(configure(spark), folder, "documents"), length=100).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = scan_licenses(table(configure(spark), folder, "documents"))
     base = F.filter("detections", lambda d: d["base"])
@@ -97,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_language_id,
         op2_chat_windows,
+        op3_repeated_bytes,
         op4_license_scan,
         op5_near_duplicates,
         op7_benchmark_contamination,
@@ -106,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op2_chat_windows": digest_sql(CHAT),
+    "op3_repeated_bytes": repeats_sql(100),
     "op5_near_duplicates": near_sql(AT_85),
     "op7_benchmark_contamination": contamination_sql(10),
     "op9_source_mix": mix_sql(MIX),
