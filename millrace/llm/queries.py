@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from millrace.llm.chat import Budget, chat_windows, digest_sql, window_digests, with_probe
 from millrace.llm.common import table
 from millrace.llm.decontaminate import contamination, contamination_sql
+from millrace.llm.fingerprints import edited_fingerprints
 from millrace.llm.language import Profiles, identify
 from millrace.llm.licenses import scan_licenses
+from millrace.llm.line_dedup import Similar, dedup_lines, line_sql
 from millrace.llm.mixing import Mix, mix_sources, mix_sql
 from millrace.llm.near_dup import AT_85, near_groups, near_sql
 from millrace.llm.repeats import remove_repeats, repeats_sql
@@ -76,6 +78,10 @@ def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_groups(table(configure(spark), folder, "documents"), AT_85)
 
 
+def op6_syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return edited_fingerprints(table(configure(spark), folder, "documents"))
+
+
 def op7_benchmark_contamination(spark: SparkSession, folder: str) -> DataFrame:
     docs, benchmark = (table(configure(spark), folder, name) for name in ("documents", "benchmark"))
     return contamination(docs, benchmark, window=10).select(
@@ -88,6 +94,14 @@ def op7_benchmark_contamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+LINES = Similar(percent=80, width=5)
+
+
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = dedup_lines(table(configure(spark), folder, "documents"), LINES)
+    return found.select("doc_id", "n_lines", "n_removed", "n_links", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(table(configure(spark), folder, "documents"), MIX)
 
@@ -107,7 +121,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_repeated_bytes,
         op4_license_scan,
         op5_near_duplicates,
+        op6_syncmer_fingerprints,
         op7_benchmark_contamination,
+        op8_line_dedup,
         op9_source_mix,
         op10_stratified_shards,
     )
@@ -117,5 +133,6 @@ ORACLES: dict[str, str] = {
     "op3_repeated_bytes": repeats_sql(100),
     "op5_near_duplicates": near_sql(AT_85),
     "op7_benchmark_contamination": contamination_sql(10),
+    "op8_line_dedup": line_sql(LINES),
     "op9_source_mix": mix_sql(MIX),
 }
