@@ -1,9 +1,10 @@
 """Sharding by proportional stratified interleaving.
 
 Rows of each source are put in a seeded order and ranked; a row's fractional
-rank is (rank + 0.5) / rows of its source. Sorted by fractional rank, every
-stretch of rows holds the sources in their overall proportions, so the sorted
-rows are cut into shards of equal row counts.
+rank is (rank + start) / rows of its source, where start is a seeded number in [0, 1) for
+each source, so that sources of like size do not take turns in lockstep. Sorted by
+fractional rank, every stretch of rows holds the sources in their overall
+proportions, so the sorted rows are cut into shards of equal row counts.
 
 Only identifiers, sizes and checksums are shuffled. Ranks and positions come
 from bucket counts (``common.positions``), so one source may hold most rows.
@@ -45,7 +46,8 @@ def assign_shards(
     total = strata.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
     ties = [key, "text_crc32", "size"]
     ranked = positions(facts.join(strata, "_stratum"), ["_stratum"], "_draw", ties, "_rows", "_rank")
-    share = ranked.withColumn("_share", (F.col("_rank") + F.lit(0.5)) / F.col("_rows")).withColumns(
+    start = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "_stratum"), 11) / F.lit(float(1 << 53))
+    share = ranked.withColumn("_share", (F.col("_rank") + start) / F.col("_rows")).withColumns(
         {"_all": F.lit(0), "_total": F.lit(total).cast("bigint")}
     )
     placed = positions(share, ["_all"], "_share", ["_stratum", "_draw", *ties], "_total", "_at")
