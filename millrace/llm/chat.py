@@ -180,7 +180,7 @@ def _flush(key_type: pa.DataType, rows: list[dict]) -> pa.RecordBatch:
 
 
 def _pack(batches: Iterator[pa.RecordBatch], budget: Budget, count) -> Iterator[pa.RecordBatch]:
-    packer, group, n, rows, size, kind = None, None, 0, [], 0, None
+    packer, group, n, rows, size, kind, reached = None, None, 0, [], 0, None, None
 
     def put(window):
         nonlocal n, size
@@ -195,12 +195,18 @@ def _pack(batches: Iterator[pa.RecordBatch], budget: Budget, count) -> Iterator[
             if packer is None or (r["conv"], r["seg"]) != group:
                 if packer:
                     put(packer.close())
-                packer, group, n = Packer(budget, count), (r["conv"], r["seg"]), 0
+                packer, group, n, reached = Packer(budget, count), (r["conv"], r["seg"]), 0, None
+            place = (r["turn"], r["role"], r["text"])
             t = packer.turn(r["role"], r["text"])
             if r["kind"] == NEW:
                 put(packer.add(r["turn"], t))
-            else:
+            elif r["kind"] == CONTEXT_SYSTEM:
                 packer.past(t)
+                reached = place
+            elif reached is None or place > reached:
+                packer.past(t)
+            elif place == reached:  # the system turn itself; a repeated row of it is history
+                reached = place[:2]
             if size > 4_000_000:
                 yield _flush(kind, rows)
                 rows, size = [], 0

@@ -1,0 +1,98 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from millrace.llm import repeats
+from millrace.llm.repeats import remove_repeats
+from millrace.llm.suffix_sort import BlindTrie, deep_shallow_order
+
+
+def brute(rows, length):
+    """Every window against all windows with a smaller (id, start)."""
+    first = {}
+    data = [(float("inf") if i is None else i, (t or "").encode()) for i, t in rows]
+    for i, raw in data:
+        for s in range(len(raw) - length + 1):
+            w = raw[s : s + length]
+            first[w] = min(first.get(w, (i, s)), (i, s))
+    out = []
+    for (key, _), (i, raw) in zip(rows, data, strict=True):
+        gone = bytearray(len(raw))
+        for s in range(len(raw) - length + 1):
+            if first[raw[s : s + length]] < (i, s):
+                gone[s : s + length] = b"\1" * length
+        runs = sum(1 for k, g in enumerate(gone) if g and (k == 0 or not gone[k - 1]))
+        kept = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
+        out.append((key, len(raw), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def found(frame):
+    rows = frame.collect()
+    for r in rows:
+        ends = [s["end"] for s in r["spans"]]
+        starts = [s["start"] for s in r["spans"]]
+        assert all(e < s for e, s in zip(ends, starts[1:], strict=False))
+    return sorted(
+        ((r["doc_id"], r["n_bytes"], r["n_removed"], len(r["spans"]), hashlib.sha256(bytes(r["kept"])).hexdigest()) for r in rows), key=repr
+    )
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_matches_every_window(docs, texts, parts):
+    rows = list(enumerate(texts))
+    assert found(remove_repeats(docs(rows, parts, ["spans", "id", "row"]), 100)) == brute(rows, 100)
+
+
+def test_hot_anchors_are_dealt_by_window(docs, texts, monkeypatch):
+    settle = repeats._settle  # wrapped, as the bound has to change in the workers
+
+    def hot(batches, length):
+        repeats.HOT = 1
+        return settle(batches, length)
+
+    monkeypatch.setattr(repeats, "_settle", hot)
+    rows = list(enumerate(texts))
+    assert found(remove_repeats(docs(rows, 4), 100)) == brute(rows, 100)
+
+
+def test_repeated_rows_missing_ids_and_negative_ids(docs):
+    long = "".join(random.Random(1).choice("abcdefgh ") for _ in range(400))
+    rows = [(3, long), (3, long), (3, "x" + long), (None, long), (-5, long[150:]), (None, None), (9, long[:99]), (8, "")]
+    assert found(remove_repeats(docs(rows), 100)) == brute(rows, 100)
+
+
+def test_other_lengths_and_dense_alphabets(docs):
+    rng = random.Random(2)
+    rows = [(i, "".join(rng.choice("ab") for _ in range(rng.randrange(0, 300)))) for i in range(12)]
+    rows += [(20 + i, rows[i][1][40:200] + rows[i + 1][1][10:150]) for i in range(6)]
+    for length in (33, 50, 159):
+        assert found(remove_repeats(docs(rows), length)) == brute(rows, length)
+
+
+def test_empty_table(docs):
+    assert remove_repeats(docs([], 1), 100).collect() == []
+
+
+def test_sort_agrees_with_plain_sorting():
+    rng = random.Random(3)
+    strings = ["".join(rng.choice("ab") for _ in range(rng.randrange(60))).encode() for _ in range(500)]
+    strings += [b"common prefix of all these strings " + s for s in strings] + [b"", b"\0", b"\0\0", b"a\0"]
+    groups = np.array([rng.randrange(4) for _ in strings])
+    order, prefix = deep_shallow_order(strings, groups, 8)
+    pairs = [(int(groups[i]), strings[i]) for i in order]
+    assert pairs == sorted(zip(groups.tolist(), strings, strict=True))
+    for k in range(1, len(pairs)):
+        (g, a), (h, b) = pairs[k - 1], pairs[k]
+        common = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+        assert prefix[k] == (common if g == h else 0)
+
+
+def test_blind_trie_orders_prefixes_of_each_other():
+    strings = [b"b", b"abc", b"ab", b"", b"abd", b"a", b"ab\0", b"b\xff"]
+    trie = BlindTrie(strings[0])
+    for s in strings[1:]:
+        trie.add(s)
+    assert trie.ordered() == sorted(strings)
