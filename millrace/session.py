@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace import folders
+
 # Settings the operators rely on. All of them can be changed on a live session.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -68,12 +70,6 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder on whatever file system its path names."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
 _SCRATCH: list[tuple[SparkSession, str]] = []
 
 
@@ -81,4 +77,4 @@ _SCRATCH: list[tuple[SparkSession, str]] = []
 def _remove_scratch() -> None:
     for spark, path in _SCRATCH:
         with contextlib.suppress(Exception):  # the session may be gone already
-            remove_folder(spark, path)
+            folders.remove(spark, path)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.session import scratch_dir
+from millrace import folders
+
+_BUCKET = "_bucket"
 
 
 def full_refresh(
@@ -52,12 +56,7 @@ def last_per_key(batch: DataFrame, key: str, sequence: Column, columns: Sequence
 
 
 def merge_by_key(
-    stored: DataFrame,
-    batch: DataFrame,
-    key: str,
-    stamp: str | None = None,
-    now: Column | None = None,
-    small_batch: bool = False,
+    stored: DataFrame, batch: DataFrame, key: str, stamp: str | None = None, now: Column | None = None
 ) -> DataFrame:
     """Stored rows with the batch (one row per key) set over them.
 
@@ -65,20 +64,14 @@ def merge_by_key(
     the batch does not have stay, and new keys are added. With ``stamp``, that
     column becomes ``now`` on new rows and on rows where any field differs.
 
-    ``small_batch`` says that the batch fits a broadcast: the stored table is
-    then streamed past it without a shuffle. Otherwise both sides are
-    shuffled once and merged.
+    Stored rows are joined to the batch, and the batch's unknown keys are added.
+    The optimizer picks the joins by the sizes it knows.
     """
     fields = _merged_fields(stored, batch, key, stamp, now)
     old, new = stored.alias("old"), batch.alias("new")
-    same_key = F.col(f"old.{key}") == F.col(f"new.{key}")
-    if not small_batch:
-        return old.join(new, same_key, "full").select(*fields)
-    updated = old.join(F.broadcast(new), same_key, "left").select(*fields)
-    known = stored.select(key).join(F.broadcast(batch.select(key)), key, "left_semi")
-    # At most the keys of the batch, so it fits a broadcast as well.
-    inserted = batch.join(F.broadcast(known), key, "left_anti").alias("new")
-    # No stored row matches these keys, so the stored side is all NULL.
+    updated = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "left").select(*fields)
+    inserted = batch.join(stored.select(key), key, "left_anti").alias("new")
+    # No stored row has these keys, so the stored side is all NULL.
     nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in stored.schema.fields]
     padded = inserted.select(F.struct("new.*").alias("new"), F.struct(*nothing).alias("old"))
     return updated.unionAll(padded.select(*fields))
@@ -122,88 +115,104 @@ def merge_statement(table: str, batch_view: str, key: str, columns: Sequence[str
 
 
 class KeyedTable:
-    """Parquet table with one row per key, kept as numbered full versions.
+    """Parquet table with one row per key, in hash buckets of the key.
 
-    A version is written beside the one being read and counts only once its
-    success marker is there, so a lost executor or a repeated batch leaves the
-    last good version in place.
-    """
+    An upsert rewrites the buckets its batch touches and leaves the others. Each
+    version has a manifest that names, for every bucket, the version whose folder
+    holds it; a version counts once its manifest is there, so a lost executor or a
+    failed batch leaves the last good version in place. Choose ``buckets`` for the
+    table's final size when it is made; the manifest keeps the number.
 
-    def __init__(self, spark: SparkSession, path: str, key: str):
-        self.spark, self.path, self.key = spark, path.rstrip("/"), key
+    A writer that may repeat itself names itself and numbers its batches: a number
+    up to its last one has no further effect, whatever other writers did.
+    """
 
-    def _fs(self):
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return hadoop_path, hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 16):
+        self.spark, self.path, self.key, self._buckets = spark, path.rstrip("/"), key, buckets
 
     def versions(self) -> list[int]:
-        root, fs = self._fs()
-        if not fs.exists(root):
-            return []
-        found = []
-        for status in fs.listStatus(root):
-            folder = status.getPath()
-            done = self.spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
-            if folder.getName().startswith("v") and fs.exists(done):
-                found.append(int(folder.getName()[1:]))
-        return sorted(found)
-
-    def _written(self, batch: DataFrame) -> tuple[DataFrame, int]:
-        """The batch as a written table, and its size in bytes."""
-        folder = scratch_dir(self.spark, "batch")
-        batch.write.parquet(folder)
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        fs = hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return self.spark.read.parquet(folder), fs.getContentSummary(hadoop_path).getLength()
-
-    def _broadcast_limit(self) -> int:
-        limit = self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-        return int(limit)
+        return [int(n[:-5]) for n in folders.names(self.spark, f"{self.path}/manifests") if n[0].isdigit()]
+
+    def _manifest(self, version: int) -> dict:
+        return json.loads(folders.read_text(self.spark, f"{self.path}/manifests/{version:09d}.json"))
 
     def _folder(self, version: int) -> str:
-        return f"{self.path}/v{version:09d}"
+        return f"{self.path}/data/{version:09d}"
+
+    def _rows(self, manifest: dict, buckets: Sequence[int]) -> DataFrame:
+        """Stored rows of some buckets."""
+        schema = T.StructType.fromJson(manifest["schema"])
+        held = [f"{self._folder(manifest['buckets'][str(b)])}/{_BUCKET}={b}" for b in buckets if str(b) in manifest["buckets"]]
+        return self.spark.read.schema(schema).parquet(*held) if held else self.spark.createDataFrame([], schema)
 
     def read(self, version: int | None = None) -> DataFrame | None:
         """The newest or a given version, None while the table is empty."""
-        if version is None:
-            versions = self.versions()
-            if not versions:
-                return None
-            version = versions[-1]
-        return self.spark.read.parquet(self._folder(version))
+        versions = self.versions()
+        if not versions:
+            return None
+        manifest = self._manifest(versions[-1] if version is None else version)
+        return self._rows(manifest, range(manifest["count"]))
 
     def upsert(
         self,
         batch: DataFrame,
         sequence: Column,
-        version: int | None = None,
+        writer: str | None = None,
+        number: int = 0,
         stamp: str | None = None,
         now: Column | None = None,
-        keep: int | None = None,
+        keep: int = 2,
         columns: Sequence[str] | None = None,
     ) -> int:
-        """Merge a batch and return its version number.
+        """Merge a batch and return the version that holds it.
 
-        Repeating a batch under the same version number has no further effect.
-        ``keep`` drops all but the newest versions afterwards.
+        ``writer`` and ``number`` make a repeated batch harmless. ``keep`` is the
+        number of versions that stay readable; what only older ones use is removed.
         """
         versions = self.versions()
-        if version is None:
-            version = versions[-1] + 1 if versions else 0
-        if version in versions:
-            return version
-        latest = last_per_key(batch, self.key, sequence, columns)
-        older = [v for v in versions if v < version]
-        if older:
-            # Written first: its size is then known and decides how it is joined.
-            latest, size = self._written(latest)
-            small = size <= self._broadcast_limit()
-            merged = merge_by_key(self.read(older[-1]), latest, self.key, stamp, now, small)
-        else:
-            merged = latest.withColumn(stamp, now) if stamp else latest
-        merged.write.mode("overwrite").parquet(self._folder(version))
-        if keep:
-            _, fs = self._fs()
-            for old in self.versions()[:-keep]:
-                fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(self._folder(old)), True)
+        old = self._manifest(versions[-1]) if versions else {"count": self._buckets, "buckets": {}, "writers": {}}
+        if writer is not None and number <= old["writers"].get(writer, -1):
+            return versions[-1]
+        version = versions[-1] + 1 if versions else 0
+        bucket = F.pmod(F.xxhash64(self.key), F.lit(old["count"])).alias(_BUCKET)
+        # Written first: the batch is read three times from here on.
+        staged = f"{self.path}/staged/{uuid.uuid4().hex}"
+        last_per_key(batch, self.key, sequence, columns).select("*", bucket).write.parquet(staged)
+        try:
+            whole = self.spark.read.parquet(staged)
+            touched = sorted(r[0] for r in whole.select(_BUCKET).distinct().collect())
+            latest = whole.drop(_BUCKET)
+            if versions:
+                merged = merge_by_key(self._rows(old, touched), latest, self.key, stamp, now)
+            else:
+                merged = latest.withColumn(stamp, now) if stamp else latest
+            dealt = merged.select("*", bucket).hint("rebalance", _BUCKET)
+            dealt.write.mode("overwrite").partitionBy(_BUCKET).parquet(self._folder(version))
+        finally:
+            folders.remove(self.spark, staged)
+        manifest = {
+            "count": old["count"],
+            "schema": merged.schema.jsonValue(),
+            "buckets": old["buckets"] | {str(b): version for b in touched},
+            "writers": old["writers"] | ({writer: number} if writer is not None else {}),
+        }
+        folders.write_new(self.spark, f"{self.path}/manifests/{version:09d}.json", json.dumps(manifest))
+        self._forget(keep)
         return version
+
+    def _forget(self, keep: int) -> None:
+        """Remove older manifests and the buckets that no remaining one names."""
+        versions = self.versions()
+        for v in versions[:-keep]:
+            folders.remove(self.spark, f"{self.path}/manifests/{v:09d}.json")
+        used = {(v, b) for m in map(self._manifest, versions[-keep:]) for b, v in m["buckets"].items()}
+        for name in folders.names(self.spark, f"{self.path}/data"):
+            if int(name) > versions[-1]:
+                continue  # being written
+            parts = [n for n in folders.names(self.spark, f"{self.path}/data/{name}") if n.startswith(f"{_BUCKET}=")]
+            left = [n for n in parts if (int(name), n.split("=")[1]) in used]
+            if not left:
+                folders.remove(self.spark, f"{self.path}/data/{name}")
+                continue
+            for n in set(parts) - set(left):
+                folders.remove(self.spark, f"{self.path}/data/{name}/{n}")

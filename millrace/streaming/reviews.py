@@ -2,11 +2,13 @@
 
 One streaming query replaces a polling schedule. The file source takes each
 file once (checkpoint), ``foreachBatch`` skips empty arrivals, cleans, and
-upserts under the batch number, so a repeated batch changes nothing.
+upserts under the query's id and the batch number, so a repeated batch changes
+nothing, and a query with a new checkpoint starts a numbering of its own.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -14,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace import folders
 from millrace.functions.dates import coerce_ts
 from millrace.functions.text import DEFAULT_MISSING, REVIEW_MISSING, clean_text, missing_to_null, trim_blanks
 from millrace.operators.rows import clean_missing_cells, null_missing_cells, sort_by_ts_nulls_last
@@ -109,33 +112,43 @@ def last_wins(layout: ReviewLayout = LAYOUT) -> Column:
     return F.struct("_file_time", "_file", *dated, "_block", "_line")
 
 
+def query_id(spark: SparkSession, paths: ReviewPaths) -> str:
+    """Id of the query that owns the checkpoint."""
+    metadata = folders.read_text(spark, f"{paths.checkpoint}/metadata")
+    return json.loads(metadata)["id"] if metadata else "none"
+
+
 def batch_step(
     spark: SparkSession, paths: ReviewPaths, layout: ReviewLayout = LAYOUT
 ) -> Callable[[DataFrame, int], None]:
     """The work on one micro-batch."""
     table = KeyedTable(spark, paths.table, layout.key)
 
-    def log(batch_id: int, outcome: str) -> None:
+    def place(folder: str, query: str, batch_id: int) -> str:
+        return f"{folder}/query={query}/batch={batch_id}"
+
+    def log(query: str, batch_id: int, outcome: str) -> None:
         entry = spark.range(1).select(
             F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(outcome).alias("outcome")
         )
-        entry.coalesce(1).write.mode("overwrite").json(f"{paths.log}/batch={batch_id}")
+        entry.coalesce(1).write.mode("overwrite").json(place(paths.log, query, batch_id))
 
     def step(raw: DataFrame, batch_id: int) -> None:
+        query = query_id(spark, paths)
         if raw.isEmpty():
-            log(batch_id, "empty")
+            log(query, batch_id, "empty")
             return
         # Rows of a file block stay in file order, so the number grows along the block.
         # Two outputs follow: keep the parsed rows, on disk where memory is short.
         lines = raw.withColumn("_line", F.monotonically_increasing_id()).persist()
         try:
             bad = unreadable(layout)
-            lines.where(bad).write.mode("overwrite").parquet(f"{paths.rejects}/batch={batch_id}")
+            lines.where(bad).write.mode("overwrite").parquet(place(paths.rejects, query, batch_id))
             good = clean_reviews(lines.where(~bad), layout)
-            table.upsert(good, last_wins(layout), version=batch_id, columns=list(layout.columns))
+            table.upsert(good, last_wins(layout), writer=query, number=batch_id, columns=list(layout.columns))
         finally:
             lines.unpersist()
-        log(batch_id, "loaded")
+        log(query, batch_id, "loaded")
 
     return step
 
@@ -164,7 +177,7 @@ def run_once(
 
 
 def outcomes(spark: SparkSession, paths: ReviewPaths) -> DataFrame:
-    return spark.read.schema("batch_id bigint, outcome string").json(f"{paths.log}/*")
+    return spark.read.schema("batch_id bigint, outcome string").json(f"{paths.log}/*/*")
 
 
 def ordered_export(reviews: DataFrame, layout: ReviewLayout = LAYOUT) -> DataFrame:

@@ -132,40 +132,61 @@ def test_upsert_rules(spark, tmp_path):
     assert got == {1: ("a", 5, None), 2: (None, 6, "n"), 3: ("c", None, "n")}
 
 
-def test_repeated_version_changes_nothing_and_old_ones_go(spark, tmp_path):
+def test_repeated_batch_of_a_writer_changes_nothing(spark, tmp_path):
     table = tables.KeyedTable(spark, str(tmp_path / "t"), "id")
-    for v in range(3):
-        table.upsert(spark.createDataFrame([(1, v)], "id int, v int"), F.lit(0), version=v)
-    table.upsert(spark.createDataFrame([(1, 99)], "id int, v int"), F.lit(0), version=2)
-    assert table.read().first()["v"] == 2 and table.versions() == [0, 1, 2]
-    table.upsert(spark.createDataFrame([(1, 3)], "id int, v int"), F.lit(0), keep=2)
-    assert table.versions() == [2, 3] and table.read().first()["v"] == 3
+    one = lambda v: spark.createDataFrame([(1, v)], "id int, v int")
+    for n in range(3):
+        table.upsert(one(n), F.lit(0), writer="a", number=n)
+    table.upsert(one(99), F.lit(0), writer="a", number=2)
+    table.upsert(one(98), F.lit(0), writer="a", number=0)
+    assert table.read().first()["v"] == 2
+    table.upsert(one(50), F.lit(0), writer="b", number=0)
+    assert table.read().first()["v"] == 50
+    table.upsert(one(51), F.lit(0))
+    assert table.read().first()["v"] == 51
+
+
+def test_only_touched_buckets_are_rewritten_and_old_ones_go(spark, tmp_path):
+    table = tables.KeyedTable(spark, str(tmp_path / "t"), "id", buckets=8)
+    table.upsert(spark.range(200).withColumn("v", F.lit(0)), F.lit(0))
+    before = {f: os.path.getmtime(f) for f in glob.glob(f"{tmp_path}/t/data/*/*/part-*.parquet")}
+    table.upsert(spark.createDataFrame([(7, 1)], "id bigint, v int"), F.lit(0))
+    fresh = [f for f in glob.glob(f"{tmp_path}/t/data/*/*/part-*.parquet") if f not in before]
+    assert len({os.path.dirname(f) for f in fresh}) == 1 and all(os.path.getmtime(f) == m for f, m in before.items())
+    assert {r["id"]: r["v"] for r in table.read().collect()} == {i: int(i == 7) for i in range(200)}
+    assert {r["v"] for r in table.read(0).collect()} == {0}
+    table.upsert(spark.createDataFrame([(7, 2)], "id bigint, v int"), F.lit(0), keep=1)
+    assert table.versions() == [2] and table.read().where("id = 7").first()["v"] == 2
+    # The untouched buckets of the first version, and the touched one of the last.
+    assert len(glob.glob(f"{tmp_path}/t/data/*/_bucket=*")) == 8
+    assert not glob.glob(f"{tmp_path}/t/staged/*")
 
 
 def test_unfinished_version_is_not_read(spark, tmp_path):
     table = tables.KeyedTable(spark, str(tmp_path / "t"), "id")
     table.upsert(spark.createDataFrame([(1, 0)], "id int, v int"), F.lit(0))
-    os.makedirs(tmp_path / "t" / "v000000001")
-    assert table.versions() == [0] and table.read().count() == 1
+    spark.createDataFrame([(1, 5)], "id int, v int").write.parquet(f"{tmp_path}/t/data/000000001/_bucket=0")
+    assert table.versions() == [0] and table.read().first()["v"] == 0
+    table.upsert(spark.createDataFrame([(1, 1)], "id int, v int"), F.lit(0))
+    assert table.versions() == [0, 1] and table.read().first()["v"] == 1
 
 
-def test_both_merge_forms_agree(spark, rows):
-    stored = spark.createDataFrame([(1, "a", 5), (2, "b", 6), (3, None, 7)], "id int, t string, kept int")
-    batch = spark.createDataFrame([(2, None, "n"), (3, "c", None), (4, "d", "m")], "id int, t string, extra string")
-    forms = [tables.merge_by_key(stored, batch, "id", small_batch=s) for s in (False, True)]
-    assert forms[0].columns == forms[1].columns
-    want = [(1, "a", 5, None), (2, None, 6, "n"), (3, "c", 7, None), (4, "d", None, "m")]
-    assert rows(forms[0]) == rows(forms[1]) == want
-    plan = forms[1]._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
-    assert "SortMergeJoin" not in plan
+def test_empty_batch_and_empty_table(spark, tmp_path):
+    table = tables.KeyedTable(spark, str(tmp_path / "t"), "id")
+    none = spark.createDataFrame([], "id int, v int")
+    table.upsert(none, F.lit(0))
+    assert table.read().collect() == []
+    table.upsert(spark.createDataFrame([(1, 1)], "id int, v int"), F.lit(0))
+    table.upsert(none, F.lit(0))
+    assert [tuple(r) for r in table.read().collect()] == [(1, 1)]
 
 
-def test_large_batches_are_not_broadcast(spark, tmp_path, monkeypatch):
-    table = tables.KeyedTable(spark, str(tmp_path / "t"), "id")
-    table.upsert(spark.range(10).withColumn("v", F.lit(0)), F.lit(0))
-    monkeypatch.setattr(tables.KeyedTable, "_broadcast_limit", lambda self: 0)
-    table.upsert(spark.range(5, 15).withColumn("v", F.lit(1)), F.lit(0))
-    assert {r["id"]: r["v"] for r in table.read().collect()} == {i: int(i >= 5) for i in range(15)}
+def test_merge_rules_without_hints(spark, rows):
+    stored = spark.createDataFrame([(1, "a", 5), (2, "b", 6), (3, None, 7)], "id int, t string, kept int")
+    batch = spark.createDataFrame([(2, None, "n"), (3, "c", None), (4, "d", "m")], "id int, t string, extra string")
+    merged = tables.merge_by_key(stored, batch, "id")
+    assert rows(merged) == [(1, "a", 5, None), (2, None, 6, "n"), (3, "c", 7, None), (4, "d", None, "m")]
+    assert "ResolvedHint" not in merged._jdf.queryExecution().analyzed().toString()
 
 
 def test_stamp_only_on_changed_rows(spark):

@@ -75,16 +75,35 @@ def test_repeated_batch_changes_nothing(spark, paths):
     fields += "_file_time timestamp, _file string, _block bigint"
     batch = spark.createDataFrame([("1", "a", "1", None, None, datetime.datetime(2024, 1, 1), "f", 0)], fields)
     step(batch, 0)
-    other = spark.createDataFrame([("1", "b", "2", None, None, datetime.datetime(2024, 1, 1), "f", 0)], fields)
-    step(other, 0)
+    step(batch, 0)
     assert table(spark, paths)[1][:2] == ("a", 1.0)
+    assert KeyedTable(spark, paths.table, "review_id").versions() == [0]
+
+
+def test_new_checkpoint_on_an_old_table_loads(spark, paths, tmp_path):
+    arrive(paths, "a.csv", HEADER + "1,one,1,\n")
+    stream.run_once(spark, paths, FILES)
+    os.remove(f"{paths.inbox}/a.csv")
+    arrive(paths, "b.csv", HEADER + "2,two,2,\n")
+    again = stream.ReviewPaths(**{**paths.__dict__, "checkpoint": str(tmp_path / "other")})
+    stream.run_once(spark, again, FILES)
+    assert set(table(spark, paths)) == {1, 2}
+    assert [r["outcome"] for r in stream.outcomes(spark, paths).collect()] == ["loaded", "loaded"]
+    # The first query repeats its batch: nothing happens, although the second has written since.
+    step = stream.batch_step(spark, paths, FILES)
+    raw = spark.createDataFrame(
+        [("1", "late", "9", None, None, datetime.datetime(2024, 1, 1), "f", 0)],
+        "review_id string, content string, score string, at string, _corrupt_record string, _file_time timestamp, _file string, _block bigint",
+    )
+    step(raw, 0)
+    assert table(spark, paths)[1][:2] == ("one", 1.0)
 
 
 def test_rows_without_a_usable_key_are_rejected(spark, paths):
     arrive(paths, "a.csv", HEADER + "x,bad key,1,\n,no key,1,\n7,fine,1,\n")
     stream.run_once(spark, paths, FILES)
     assert set(table(spark, paths)) == {7}
-    assert spark.read.parquet(f"{paths.rejects}/batch=0").count() == 2
+    assert spark.read.parquet(paths.rejects).count() == 2
 
 
 def test_one_file_per_batch_and_archive(spark, paths, tmp_path):
@@ -109,7 +128,7 @@ def test_text_keys_and_other_columns(spark, paths):
         "ab-1": ("Ann", "hi!", 3), "ab-2": ("-", "yo", None)
     }
     # Every row is in the table or among the rejects.
-    assert spark.read.parquet(f"{paths.rejects}/batch=0").count() == 2
+    assert spark.read.parquet(paths.rejects).count() == 2
 
 
 def test_columns_in_another_order_fail(spark, paths):
