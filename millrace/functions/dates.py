@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-REVIEW_TS_PATTERN = "yyyy-MM-dd HH:mm:ss"
+# Single letters also read numbers without leading zeros.
+REVIEW_TS_PATTERN = "yyyy-M-d H:m:s"
 
 
 def whole_years(as_of: Column, birthday: Column) -> Column:

@@ -90,12 +90,33 @@ def _title(name: Column) -> Column:
     return F.concat(F.upper(F.substring(name, 1, 1)), F.lower(F.substr(name, F.lit(2))))
 
 
+# Suffix rules of the plain English stemmer, applied in this order.
+STEM_RULES = (
+    ("^([a-z]{2,})ies$", "y"),
+    ("^([a-z]+(?:s|x|z|ch|sh))es$", ""),
+    ("^([a-z]{2,}[^sui])s$", ""),
+    ("^([a-z]*[aeiouy][a-z]+)ing$", ""),
+    ("^([a-z]*[aeiouy][a-z]+)ed$", ""),
+)
+
+
 def words(text: Column) -> Column:
-    """Lower-cased letter runs of the whole text, in order."""
-    return F.split(F.lower(text), "[^\\p{L}]+")
+    """Lower-cased runs of letters and digits of the whole text, in order."""
+    return F.filter(F.split(F.lower(text), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
+
+
+def stem(word: Column) -> Column:
+    """The word without a plain English ending; words in other letters stay."""
+    out = word
+    for pattern, ending in STEM_RULES:
+        out = F.regexp_replace(out, pattern, "$1" + ending)
+    # Most words have none of the endings and need one test only.
+    return F.when(word.rlike("(s|ing|ed)$"), out).otherwise(word)
 
 
-def is_term(word: Column, min_length: int = 3, stop_words: tuple[str, ...] = ()) -> Column:
-    """Long enough and not a stop word."""
-    long_enough = F.length(word) >= min_length
-    return long_enough & ~word.isin(*stop_words) if stop_words else long_enough
+def terms(text: Column, stop_words: tuple[str, ...] = ()) -> Column:
+    """What index and query see of a text: its stemmed words without stop words, in order."""
+    kept = words(text)
+    if stop_words:
+        kept = F.filter(kept, lambda w: ~w.isin(*stop_words))
+    return F.transform(kept, stem)

@@ -12,6 +12,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import written
 from millrace.functions.arrays import diagonal_element
 from millrace.sources.readers import literal_rows
 
@@ -138,12 +139,13 @@ def most_frequent_texts(df: DataFrame, text: str, k: int = 5, name: str = "n") -
     """The k most frequent texts, missing as a group of its own, ties by text.
 
     Counting runs on digests, so whole texts do not go through the shuffle.
-    Texts are fetched only for digests that reach the k-th count.
+    Texts are fetched only for digests that reach the k-th count. The counts are
+    written once, so the texts are read twice and hashed twice, whatever repeats.
     """
     # A digest has 32 bytes, so the empty one can stand for a missing text.
     digest = F.unhex(F.coalesce(F.sha2(F.col(text), 256), F.lit("")))
     keyed = df.select(F.col(text), digest.alias("_digest"))
-    counts = keyed.groupBy("_digest").agg(F.count(F.lit(1)).alias(name))
+    counts = written(keyed.groupBy("_digest").agg(F.count(F.lit(1)).alias(name)), "digests")
     cut = counts.select(name).orderBy(F.desc(name)).limit(k).agg(F.min(name)).scalar()
     leading = counts.where(F.col(name) >= cut)
     texts = keyed.join(leading, "_digest").groupBy("_digest", name).agg(F.max(text).alias(text))
@@ -151,7 +153,8 @@ def most_frequent_texts(df: DataFrame, text: str, k: int = 5, name: str = "n") -
 
 
 def mean_per_day(df: DataFrame, day: Column, score: Column, name: str = "avg_score") -> DataFrame:
-    return df.groupBy(day.alias("day")).agg(score.alias(name))
+    """Plain mean of the scores that are numbers, per day; the rows without a day are one group."""
+    return df.groupBy(day.alias("day")).agg(F.avg(score.try_cast("double")).alias(name))
 
 
 def diagonal_product(df: DataFrame, row_index: str, row: str, matrix: Sequence[str] = ()) -> DataFrame:

@@ -2,7 +2,7 @@
 
 The built-in exact percentile keeps every distinct value of a group in one
 task. That is fine for a column with few values and wrong for a measure, so
-``exact_quantiles`` narrows each rank down to a slice of the values first.
+``exact_quantiles`` sorts the values by range over all tasks.
 """
 
 from __future__ import annotations
@@ -13,42 +13,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from millrace.session import written
 
-def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], margin: float = 0.001
-) -> DataFrame:
+_LOCAL_BITS = 33  # monotonically_increasing_id: partition number above, row number below
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """Linearly interpolated quantiles: one row per group and probability.
 
-    1. A quantile sketch per group marks a narrow slice around each rank.
-    2. Rows are counted per slice. The counts are exact, so the slice that
-       holds a rank is known whatever the sketch was worth.
-    3. Only rows of those slices are shuffled, as (value, count) pairs.
+    1. Equal values of a group are counted, then range-sorted by group and value
+       and written with their partition.
+    2. Row counts of each (group, partition) tell which partition holds a rank.
+    3. Only these partitions' rows get a running count, each partition for itself.
 
-    Result columns: the keys, ``prob``, ``quantile``. Missing values are skipped.
+    No task sees more of a group than one range partition. Result columns: the
+    keys, ``prob``, ``quantile``. Missing values and groups with a missing key
+    are left out.
     """
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v")
     )
-    marks = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)})
-    sketch = F.percentile_approx("_v", marks, int(10 / margin)).alias("_marks")
-    if keys:
-        placed = rows.join(rows.groupBy(*keys).agg(sketch), list(keys))
-    else:
-        placed = rows.withColumn("_marks", rows.agg(sketch).scalar())
-    slice_no = sum(
-        ((F.col("_v") > F.get("_marks", F.lit(i))).cast("int") for i in range(len(marks))), F.lit(0)
-    )
-    placed = placed.select(*keys, slice_no.alias("_slice"), "_v")
-
-    # At most 2 * len(probs) + 1 slices per group: this window stays small.
-    in_order = Window.partitionBy(*keys).orderBy("_slice")
-    counts = (
-        placed.groupBy(*keys, "_slice")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.sum("_n").over(in_order) - F.col("_n"))
-        .withColumn("_all", F.sum("_n").over(Window.partitionBy(*keys)))
+    counts = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_m"))
+    ranged = counts.repartitionByRange(*keys, "_v").sortWithinPartitions(*keys, "_v")
+    marked = written(ranged.withColumn("_mark", F.monotonically_increasing_id()), "quantiles")
+    stored = marked.withColumn("_part", F.shiftright("_mark", _LOCAL_BITS)).drop("_mark")
+
+    # One row per group and range partition that holds some of it.
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = stored.groupBy(*keys, "_part").agg(F.sum("_m").alias("_n"))
+    parts = parts.withColumns(
+        {"_before": F.coalesce(F.sum("_n").over(before), F.lit(0)), "_all": F.sum("_n").over(Window.partitionBy(*keys))}
     )
-    wanted = counts.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    wanted = parts.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
     at = (F.col("_all") - 1) * F.col("prob")
     wanted = wanted.withColumn("_low", F.floor(at)).withColumn("_frac", at - F.floor(at))
     wanted = wanted.withColumn(
@@ -58,18 +54,14 @@ def exact_quantiles(
         (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_n"))
     )
 
-    needed = wanted.select(*keys, "_slice").distinct()
-    values = (
-        placed.join(needed, [*keys, "_slice"], "left_semi")
-        .groupBy(*keys, "_slice", "_v")
-        .agg(F.count(F.lit(1)).alias("_m"))
-    )
-    by_value = Window.partitionBy(*keys, "_slice").orderBy("_v")
+    place = [*keys, "_part"]
+    by_value = Window.partitionBy(*place).orderBy("_v")
+    values = stored.join(wanted.select(*place).distinct(), place, "left_semi")
     values = values.withColumn("_to", F.sum("_m").over(by_value))
     local = F.col("_rank") - F.col("_before")
-    found = values.join(
-        wanted.select(*keys, "_slice", "prob", "_low", "_frac", "_rank", "_before"), [*keys, "_slice"]
-    ).where((local < F.col("_to")) & (local >= F.col("_to") - F.col("_m")))
+    found = values.join(wanted.select(*place, "prob", "_low", "_frac", "_rank", "_before"), place).where(
+        (local < F.col("_to")) & (local >= F.col("_to") - F.col("_m"))
+    )
     is_low = F.col("_rank") == F.col("_low")
     per_prob = found.groupBy(*keys, "prob").agg(
         F.max(F.when(is_low, F.col("_v"))).alias("_a"),

@@ -42,11 +42,13 @@ def zero_at_max(df: DataFrame, series: str, value: str, name: str) -> DataFrame:
     """Replace every occurrence of a series' largest value by zero.
 
     The maxima are one row per series, so a hot series meets a single row and
-    the adaptive skew join may split its side freely.
+    the adaptive skew join may split its side freely. A missing series is one, too.
     """
     tops = df.groupBy(series).agg(F.max(value).alias("_top"))
     replaced = F.when(F.col(value) == F.col("_top"), 0).otherwise(F.col(value))
-    return df.join(tops, series).withColumn(name, replaced).drop("_top")
+    tops = tops.withColumnRenamed(series, "_series")
+    both = df.join(tops, df[series].eqNullSafe(tops["_series"]))
+    return both.withColumn(name, replaced).drop("_top", "_series")
 
 
 def fill_defaults(df: DataFrame, defaults: Mapping[str, Any]) -> DataFrame:

@@ -1,13 +1,15 @@
-"""Inverted text index and matching."""
+"""Inverted text index and matching.
 
-from __future__ import annotations
+Texts and queries go through one normaliser (``functions.text.terms``): runs of letters
+and digits of any length, in lower case, without stop words, stemmed.
+"""
 
-from collections.abc import Sequence
+from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.text import is_term, words
+from millrace.functions.text import terms
 
 # Common English words that carry no search meaning.
 ENGLISH_STOP_WORDS = (
@@ -37,6 +39,9 @@ ENGLISH_STOP_WORDS = (
 )
 
 
+BUCKETS = 64
+
+
 def postings(df: DataFrame, doc: str, text: str, stop_words: tuple[str, ...] = ()) -> DataFrame:
     """Rows (term, document, occurrences, first position) over whole texts.
 
@@ -45,23 +50,46 @@ def postings(df: DataFrame, doc: str, text: str, stop_words: tuple[str, ...] = (
     so a frequent term spreads over all tasks.
     """
     # The outer form keeps the optimizer from splitting every text a second time.
-    placed = df.select(doc, F.posexplode_outer(words(F.col(text))).alias("_pos", "term"))
-    kept = placed.where(is_term(F.col("term"), stop_words=stop_words))
-    return kept.groupBy("term", doc).agg(
+    placed = df.select(doc, F.posexplode_outer(terms(F.col(text), stop_words)).alias("_pos", "term"))
+    return placed.where("term is not null").groupBy("term", doc).agg(
         F.count(F.lit(1)).alias("occurrences"), F.min("_pos").alias("first_pos")
     )
 
 
 def document_frequency(df: DataFrame, doc: str, text: str, stop_words: tuple[str, ...] = ()) -> DataFrame:
     """Documents per term. Repeats are dropped within the row, before any shuffle."""
-    once = df.select(F.explode_outer(F.array_distinct(words(F.col(text)))).alias("term"))
-    kept = once.where(is_term(F.col("term"), stop_words=stop_words))
-    return kept.groupBy("term").agg(F.count(F.lit(1)).alias("documents"))
+    once = df.select(F.explode_outer(F.array_distinct(terms(F.col(text), stop_words))).alias("term"))
+    return once.where("term is not null").groupBy("term").agg(F.count(F.lit(1)).alias("documents"))
+
+
+def _bucket(term):
+    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
+
 
+def write_index(index: DataFrame, path: str) -> None:
+    """Store postings in folders by hash of the term, so a query reads the folders of its terms only.
 
-def documents_with_all(index: DataFrame, doc: str, wanted: Sequence[str]) -> DataFrame:
-    """Documents that hold all wanted terms, with the occurrences of these terms."""
-    wanted = sorted({w.lower() for w in wanted})
-    hits = index.where(F.col("term").isin(*wanted)).groupBy(doc)
+    The rebalance hint splits the folder of a frequent term over several files.
+    """
+    dealt = index.withColumn("bucket", _bucket("term")).hint("rebalance", "bucket")
+    dealt.sortWithinPartitions("term").write.partitionBy("bucket").parquet(path)
+
+
+def query_terms(spark: SparkSession, query: str, stop_words: tuple[str, ...] = ()) -> list[str]:
+    """The distinct terms of a query."""
+    found = spark.range(1).select(F.array_distinct(terms(F.lit(query), stop_words))).first()[0]
+    return sorted(found)
+
+
+def documents_with_all(index: DataFrame, doc: str, query: str, stop_words: tuple[str, ...] = ()) -> DataFrame:
+    """Documents that hold all terms of the query, with the occurrences of these terms.
+
+    A query of stop words only finds nothing. On a stored index only the wanted folders are read.
+    """
+    wanted = query_terms(index.sparkSession, query, stop_words)
+    if "bucket" in index.columns and wanted:
+        buckets = index.sparkSession.createDataFrame([(w,) for w in wanted], "term string").select(_bucket("term")).distinct()
+        index = index.where(F.col("bucket").isin(*[r[0] for r in buckets.collect()]))
+    hits = index.where(F.col("term").isin(*wanted) if wanted else F.lit(False)).groupBy(doc)
     found = hits.agg(F.count(F.lit(1)).alias("_terms"), F.sum("occurrences").alias("occurrences"))
     return found.where(F.col("_terms") == len(wanted)).drop("_terms")

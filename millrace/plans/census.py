@@ -12,6 +12,7 @@ from millrace.operators import rows
 from millrace.operators.quantiles import describe_groups
 from millrace.plans.registry import job
 from millrace.plans.roles import Roles
+from millrace.session import written
 
 # Age bins closed on the right, the first one also on the left.
 AGE_EDGES = (16, 34, 70, 100)
@@ -49,8 +50,9 @@ def filter_equals(t: Roles) -> DataFrame:
     from top group by salary""")
 def filter_at_max(t: Roles) -> DataFrame:
     """Persons at the largest number of hours: their count and share per class."""
-    top = rows.filter_at_max(t.census.select("hours", "salary"), "hours")
-    counts = top.groupBy("salary").agg(F.count(F.lit(1)).alias("n"))
+    per_class = t.census.groupBy("hours", "salary").agg(F.count(F.lit(1)).alias("n"))
+    # Written, as the maximum and the rows both come from it.
+    counts = rows.filter_at_max(written(per_class, "hours"), "hours").select("salary", "n")
     total = counts.agg(F.sum("n")).scalar()
     return counts.select("salary", "n", (F.col("n") * 100.0 / total).alias("percent"))
 

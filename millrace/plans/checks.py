@@ -18,11 +18,11 @@ def check_unique(t: Roles) -> DataFrame:
     return quality.duplicate_keys(t.table("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@job("""select r.rental_id, r.inventory_id from v_rental r where r.inventory_id is not null
-    and not exists (select 1 from v_inventory i where i.inventory_id = r.inventory_id)""")
+@job("""select event_id from events where event_id is not null
+    and not exists (select 1 from documents where documents.doc_id = events.event_id)""")
 def check_foreign_key(t: Roles) -> DataFrame:
-    found = quality.orphans(t.rental, "inventory_id", t.inventory, "inventory_id")
-    return found.select("rental_id", "inventory_id")
+    """Events that refer to no document."""
+    return quality.orphans(t.table("events"), "event_id", t.table("documents"), "doc_id").select("event_id")
 
 
 _RENTAL_COLUMNS = ["rental_id", "rental_date", "inventory_id", "customer_id", "return_date"]

@@ -52,12 +52,22 @@ def src_csv_header(t: Roles) -> DataFrame:
     return readers.csv_with_header(t.spark, path, REVIEW)
 
 
-@job("select doc_id, lang, source, n_chars from documents")
+@job("select doc_id, nullif(text, '') as text, lang, source, n_chars from documents")
 def sink_csv(t: Roles) -> DataFrame:
+    """Whole documents, with the line breaks and quotes of their texts."""
     path = scratch_dir(t.spark, "documents")
-    table = t.table("documents").select("doc_id", "lang", "source", "n_chars")
+    table = t.table("documents").select("doc_id", "text", "lang", "source", "n_chars")
     writers.write_csv(table, path)
-    return t.spark.read.schema(table.schema).options(**readers.CSV_OPTIONS).csv(path)
+    return t.spark.read.schema(table.schema).options(**readers.csv_options(True)).csv(path)
+
+
+@job("select doc_id, quality, toxic from labels")
+def src_csv_split(t: Roles) -> DataFrame:
+    """Cells without line breaks: the files are split over tasks."""
+    path = scratch_dir(t.spark, "labels")
+    table = t.table("labels").select("doc_id", "quality", "toxic")
+    writers.write_csv(table, path)
+    return readers.csv_with_header(t.spark, path, table.schema, line_breaks=False)
 
 
 @job("""select cast(generate_subscripts(embedding, 1) - 1 as int) as pos,
@@ -70,15 +80,20 @@ def src_numeric_vector(t: Roles) -> DataFrame:
     return readers.numeric_vectors(t.spark, path)
 
 
-@job("select id, name from v_rooms")
+@job("""select 'rooms' as loaded, id, name, cast(null as date) as birthday, cast(null as varchar) as sex,
+    cast(null as bigint) as room from v_rooms
+    union all select 'students', id, null, birthday, sex, room from v_students""")
 def sink_full_refresh(t: Roles) -> DataFrame:
     """Rooms and students reloaded twice: the second load leaves the same tables."""
     tag = uuid.uuid4().hex
-    names = {f"rooms_{tag}": (t.rooms, ROOM), f"students_{tag}": (t.students, STUDENT)}
+    tables = {f"rooms_{tag}": (t.rooms, ROOM), f"students_{tag}": (t.students, STUDENT)}
     location = scratch_dir(t.spark, "refresh")
-    full_refresh(t.spark, names, location)
-    full_refresh(t.spark, names, location)
-    return t.spark.table(f"rooms_{tag}")
+    full_refresh(t.spark, tables, location)
+    full_refresh(t.spark, tables, location)
+    rooms = t.spark.table(f"rooms_{tag}").withColumn("loaded", F.lit("rooms"))
+    students = t.spark.table(f"students_{tag}").withColumn("loaded", F.lit("students"))
+    both = rooms.unionByName(students, allowMissingColumns=True)
+    return both.select("loaded", "id", "name", "birthday", "sex", "room")
 
 
 def _stacked(t: Roles, folders: dict[str, str], read) -> DataFrame:
@@ -120,15 +135,17 @@ def sink_xml_report(t: Roles) -> DataFrame:
     return _stacked(t, folders, lambda path, columns: writers.read_xml_rows(t.spark, path, columns))
 
 
-@job("""select strftime(payment_date, '%Y-%m') as month, count(*) as n, cast(sum(amount) as double) as amount
-    from v_payment where payment_date >= timestamp '1995-01-01' and payment_date < timestamp '2001-07-01'
-    group by 1""")
+@job("""select case when payment_date >= timestamp '1995-01-01' and payment_date < timestamp '2001-07-01'
+    then strftime(payment_date, '%Y-%m') else 'rejected' end as month,
+    count(*) as n, cast(sum(amount) as double) as amount from v_payment group by 1""")
 def sink_range_partitioned(t: Roles) -> DataFrame:
-    """Payments by month of the declared range, read back through the month folders."""
-    path = scratch_dir(t.spark, "payments")
-    writers.write_by_month(t.payment, "payment_date", "1995-01", "2001-06", path)
-    months = writers.read_months(t.spark, path, "1995-01", "2001-06")
-    return months.groupBy("month").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").cast("double").alias("amount"))
+    """Payments by month of the declared range, read back through the month folders; the others are rejects."""
+    path, rejects = scratch_dir(t.spark, "payments"), scratch_dir(t.spark, "rejects")
+    writers.write_by_month(t.payment, "payment_date", "1995-01", "2001-06", path, rejects)
+    months = writers.read_months(t.spark, path, "1995-01", "2001-06").select("month", "amount")
+    refused = t.spark.read.parquet(rejects).select(F.lit("rejected").alias("month"), "amount")
+    sums = months.unionByName(refused).groupBy("month")
+    return sums.agg(F.count(F.lit(1)).alias("n"), F.sum("amount").cast("double").alias("amount"))
 
 
 @job("select event_id, cast(json_extract(props, '$.k') as int) as k from events")

@@ -7,19 +7,19 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as texts
 from millrace.functions.dates import coerce_ts, day_start
-from millrace.functions.numeric import money_mean
 from millrace.operators import aggregates as agg
 from millrace.operators import rows
 from millrace.plans.registry import job
 from millrace.plans.roles import Roles
-from millrace.session import scratch_dir
-from millrace.sources.readers import CSV_OPTIONS, without_nan
+from millrace.session import scratch_dir, session_setting
+from millrace.sources.readers import csv_options, without_nan
 from millrace.sources.tables import KeyedTable, last_per_key, merge_by_key
 from millrace.sources.writers import write_csv
 from millrace.streaming import reviews as stream
 
 _BLANK = "' ' || chr(160) || chr(8195) || chr(10) || chr(9) || chr(13)"
-_CLEAN_SQL = r"regexp_replace(coalesce({0}, ''), '[^A-Za-z0-9\s.,!?;:''\x22-]', '', 'g')"
+# Fixed value: the characters a cleaned review may hold.
+_CLEAN_SQL = r"""regexp_replace(coalesce({0}, ''), '[^A-Za-z0-9\s.,!?;:''"-]', '', 'g')"""
 
 
 def _cleaned_sql(column: str) -> str:
@@ -91,12 +91,23 @@ def top5_frequent(t: Roles) -> DataFrame:
     return agg.most_frequent_texts(t.table("documents"), "text", 5)
 
 
-@job("""select date_trunc('day', try_strptime(at_text, '%Y-%m-%d %H:%M:%S'))::timestamp as day,
-    cast(sum(cast(score as decimal(18,2))) as double) / count(score) as avg_score from v_reviews group by 1""")
+@job("""with scored as (select case event_id % 17 when 0 then 'bad' when 1 then strftime(ts, '%Y-%-m-%-d %-H:%M:%S')
+    else strftime(ts, '%Y-%m-%d %H:%M:%S') end as at_text,
+    case when event_id % 13 = 0 then 'n/a' else cast(value as varchar) end as score from events)
+    select date_trunc('day', try_strptime(at_text, '%Y-%m-%d %H:%M:%S'))::timestamp as day,
+    round(avg(try_cast(score as double)), 6) as avg_score from scored group by 1""")
 def avg_per_day(t: Roles) -> DataFrame:
-    """Mean score per day; undated reviews form one group."""
-    day = day_start(coerce_ts(F.col("at_text")))
-    return agg.mean_per_day(t.reviews, day, money_mean(F.col("score")))
+    """Mean score per day over all events as scores in text form; undated ones are one group, others than numbers don't count."""
+    key = F.col("event_id")
+    at = (
+        F.when(key % 17 == 0, "bad")
+        .when(key % 17 == 1, F.date_format("ts", "yyyy-M-d H:mm:ss"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    )
+    score = F.when(key % 13 == 0, "n/a").otherwise(F.col("value").cast("string"))
+    means = agg.mean_per_day(t.table("events").select(at.alias("at"), score.alias("score")), day_start(coerce_ts(F.col("at"))), F.col("score"))
+    # Rounded here, as engines add doubles in different orders.
+    return means.withColumn("avg_score", F.round("avg_score", 6))
 
 
 # ---------------------------------------------------------------- upsert
@@ -225,15 +236,15 @@ def stream_clean_chain(t: Roles) -> DataFrame:
 @job("select review_id, nullif(content, '') as content, score, at_text as \"at\" from v_reviews")
 def stream_archive(t: Roles) -> DataFrame:
     """Files of a finished arrival lie in the archive once the next one is planned."""
-    t.spark.conf.set("spark.sql.streaming.fileSource.cleaner.numThreads", "0")
     paths = _paths(t, archive=True)
-    _drop(_as_file(t.reviews), paths, "first")
-    stream.run_once(t.spark, paths, FILES)
-    for name in ("second", "third"):
-        _drop(_as_file(_labelled_reviews(t)), paths, name)
+    with session_setting(t.spark, "spark.sql.streaming.fileSource.cleaner.numThreads", "0"):
+        _drop(_as_file(t.reviews), paths, "first")
         stream.run_once(t.spark, paths, FILES)
+        for name in ("second", "third"):
+            _drop(_as_file(_labelled_reviews(t)), paths, name)
+            stream.run_once(t.spark, paths, FILES)
     fields = ", ".join(f"{c} {kind}" for c, kind in FILES.columns.items())
-    archived = t.spark.read.schema(fields).options(**CSV_OPTIONS).option("recursiveFileLookup", "true")
+    archived = t.spark.read.schema(fields).options(**csv_options(True)).option("recursiveFileLookup", "true")
     return archived.csv(_archived(paths, "first"))
 
 

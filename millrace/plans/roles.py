@@ -10,29 +10,28 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Window
 
 from millrace.sources.readers import literal_rows
 
 AS_OF = "2020-06-15"
+# The ratings in their order.
+RATINGS = ("G", "PG", "PG-13", "R", "NC-17")
 CATEGORIES = ("STANDARD", "ECONOMY", "MEDIUM", "SMALL", "LARGE", "PROMO", "ARCHIVE")
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 class Roles:
     """Lazily built role tables over one folder of Parquet tables."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        """A given table. Its schema is looked up once per path, not per query."""
-        path = f"{self.folder}/{name}.parquet"
-        if path not in _SCHEMAS:
-            _SCHEMAS[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+        """A given table; its schema is looked up once for each set of role tables."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # --- rooms and students
     @cached_property
@@ -65,6 +64,7 @@ class Roles:
             (3 + key % 5).alias("rental_duration"),
             (F.lit(0.99) + key % 5).cast("decimal(4,2)").alias("rental_rate"),
             F.col("p_size").alias("length"),
+            F.get(F.array(*[F.lit(r) for r in RATINGS]), (key % 5).cast("int")).alias("rating"),
         )
 
     @cached_property
@@ -87,8 +87,7 @@ class Roles:
 
     @cached_property
     def inventory(self) -> DataFrame:
-        stocked = self.table("part").where("p_size < 50").select("p_partkey")
-        copies = stocked.withColumn("k", F.explode(F.array(F.lit(0), F.lit(1))))
+        copies = self.table("part").select("p_partkey").withColumn("k", F.explode(F.array(F.lit(0), F.lit(1))))
         return copies.select(
             (F.col("p_partkey") * 2 + F.col("k")).alias("inventory_id"),
             F.col("p_partkey").alias("film_id"),
@@ -97,45 +96,52 @@ class Roles:
 
     @cached_property
     def _lines_with_orders(self) -> DataFrame:
+        """Every order line with an id of its own: order, line number, and place among lines of equal number."""
         orders = self.table("orders").select(
             F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"
         )
-        return self.table("lineitem").join(orders, "l_orderkey").groupBy("l_orderkey", "l_linenumber")
+        same = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*_LINE_ORDER)
+        lines = self.table("lineitem").join(orders, "l_orderkey")
+        return lines.withColumn("line", _line_id() * 100 + F.row_number().over(same))
 
     @cached_property
     def rental(self) -> DataFrame:
-        rows = self._lines_with_orders.agg(
-            F.min("o_orderdate").alias("rental_date"),
-            F.min("l_partkey").alias("part"),
-            F.min("o_custkey").alias("customer_id"),
-            F.min("l_linestatus").alias("status"),
-            F.min("l_quantity").cast("int").alias("days"),
-        )
-        back = F.date_add(F.to_date("rental_date"), F.col("days")).cast("timestamp_ntz")
-        return rows.select(
-            _line_id().alias("rental_id"),
-            "rental_date",
-            (F.col("part") * 2 + F.col("l_linenumber") % 2).alias("inventory_id"),
-            "customer_id",
-            F.when(F.col("status") == "F", back).alias("return_date"),
+        back = F.date_add(F.to_date("o_orderdate"), F.col("l_quantity").cast("int")).cast("timestamp_ntz")
+        return self._lines_with_orders.select(
+            F.col("line").alias("rental_id"),
+            F.col("o_orderdate").alias("rental_date"),
+            (F.col("l_partkey") * 2 + F.col("l_linenumber") % 2).alias("inventory_id"),
+            F.col("o_custkey").alias("customer_id"),
+            F.when(F.col("l_linestatus") == "F", back).alias("return_date"),
         )
 
     @cached_property
     def payment(self) -> DataFrame:
-        rows = self._lines_with_orders.agg(
-            F.min("o_custkey").alias("customer_id"),
-            F.min("l_extendedprice").alias("price"),
-            F.min("l_shipdate").alias("payment_date"),
-        )
-        amount = (F.floor(F.col("price") / 1000).cast("int") + F.lit("0.99").cast("decimal(3,2)")).cast("decimal(5,2)")
-        return rows.select(
-            _line_id().alias("payment_id"),
-            _line_id().alias("rental_id"),
-            "customer_id",
-            amount.alias("amount"),
-            "payment_date",
+        whole = F.floor(F.col("l_extendedprice") / 1000).cast("int")
+        return self._lines_with_orders.select(
+            F.col("line").alias("payment_id"),
+            F.col("line").alias("rental_id"),
+            F.col("o_custkey").alias("customer_id"),
+            (whole + F.lit("0.99").cast("decimal(3,2)")).cast("decimal(5,2)").alias("amount"),
+            F.col("l_shipdate").alias("payment_date"),
         )
 
+    @cached_property
+    def address(self) -> DataFrame:
+        """Even ids are customers', odd ones suppliers'."""
+
+        def of(table: str, letter: str, odd: int) -> DataFrame:
+            key, nation = F.col(f"{letter}_{'cust' if letter == 'c' else 'supp'}key"), F.col(f"{letter}_nationkey")
+            return self.table(table).select(
+                (key * 2 + odd).alias("address_id"),
+                F.concat(key.cast("string"), F.lit(" "), F.split_part(F.col(f"{letter}_name"), F.lit("#"), F.lit(1)), F.lit(" Street")).alias("address"),
+                F.lpad((nation * 1000 + key % 1000).cast("string"), 5, "0").alias("postal_code"),
+                F.concat((nation + 10).cast("string"), F.lit("-"), F.lpad((key % 10000000).cast("string"), 7, "0")).alias("phone"),
+                nation.alias("city_id"),
+            )
+
+        return of("customer", "c", 0).unionAll(of("supplier", "s", 1))
+
     @cached_property
     def customer(self) -> DataFrame:
         key = F.col("c_custkey")
@@ -143,7 +149,7 @@ class Roles:
             key.alias("customer_id"),
             *_names("c_name"),
             F.when(F.col("c_acctbal") < 0, 0).otherwise(1).alias("active"),
-            F.col("c_nationkey").alias("city_id"),
+            (key * 2).alias("address_id"),
             (key % 2 + 1).alias("store_id"),
         )
 
@@ -168,13 +174,13 @@ class Roles:
         return self.table("supplier").select(
             F.col("s_suppkey").alias("staff_id"),
             *_names("s_name"),
-            F.col("s_nationkey").alias("city_id"),
+            (F.col("s_suppkey") * 2 + 1).alias("address_id"),
             (F.col("s_suppkey") % 2 + 1).alias("store_id"),
         )
 
     @cached_property
     def store(self) -> DataFrame:
-        return self.spark.sql("SELECT * FROM VALUES (1, 1, 0), (2, 2, 5) t(store_id, manager_staff_id, city_id)")
+        return self.spark.sql("SELECT * FROM VALUES (1, 1, 3), (2, 2, 5) t(store_id, manager_staff_id, address_id)")
 
     # --- census, series, reviews
     @cached_property
@@ -217,7 +223,10 @@ class Roles:
             F.col("doc_id").alias("review_id"),
             F.col("text").alias("content"),
             F.col("value").alias("score"),
-            F.when(F.col("doc_id") % 17 == 0, "bad").otherwise(at).alias("at_text"),
+            F.when(F.col("doc_id") % 17 == 0, "bad")
+            .when(F.col("doc_id") % 17 == 1, F.date_format("ts", "yyyy-M-d H:mm:ss"))
+            .otherwise(at)
+            .alias("at_text"),
         )
 
 
@@ -226,11 +235,14 @@ def _line_id():
 
 
 def _names(full: str):
-    return (
-        F.substring(full, 1, 8).alias("first_name"),
-        F.substr(F.col(full), F.lit(10)).alias("last_name"),
-    )
+    part = lambda n: F.split_part(F.col(full), F.lit("#"), F.lit(n))
+    return part(1).alias("first_name"), part(2).alias("last_name")
+
 
+# All other columns of a line: what still ties is a repeated row.
+_LINE_ORDER = (
+    "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"
+)
 
 # Fixed texts: the same roles as SQL, in the order in which they may refer to each other.
 ROLE_SQL = {
@@ -241,32 +253,38 @@ ROLE_SQL = {
         (5,'LARGE'),(6,'PROMO'),(7,'ARCHIVE')) t(category_id,name)""",
     "v_film": """select p_partkey as film_id, concat(p_name,' ',p_partkey) as title, p_brand as description,
         3 + p_partkey % 5 as rental_duration, cast(0.99 + p_partkey % 5 as decimal(4,2)) as rental_rate,
-        p_size as length from part""",
+        p_size as length, case p_partkey % 5 when 0 then 'G' when 1 then 'PG' when 2 then 'PG-13' when 3 then 'R'
+        else 'NC-17' end as rating from part""",
     "v_film_category": "select p_partkey as film_id, category_id from part join v_category on name=p_type",
-    "v_actor": """select s_suppkey as actor_id, substr(s_name,1,8) as first_name,
-        substr(s_name,10) as last_name from supplier""",
+    "v_actor": """select s_suppkey as actor_id, split_part(s_name,'#',1) as first_name,
+        split_part(s_name,'#',2) as last_name from supplier""",
     "v_film_actor": "select distinct l_suppkey as actor_id, l_partkey as film_id from lineitem",
     "v_inventory": """select p_partkey*2+k as inventory_id, p_partkey as film_id, k+1 as store_id
-        from part cross join (values (0),(1)) t(k) where p_size < 50""",
-    "v_rental": """select l_orderkey*10+l_linenumber as rental_id, min(o_orderdate) as rental_date,
-        min(l_partkey)*2+l_linenumber%2 as inventory_id, min(o_custkey) as customer_id,
-        case when min(l_linestatus)='F' then
-        cast(cast(min(o_orderdate) as date)+cast(min(l_quantity) as int) as timestamp) end as return_date
-        from lineitem join orders on l_orderkey=o_orderkey group by l_orderkey,l_linenumber""",
-    "v_payment": """select l_orderkey*10+l_linenumber as payment_id, l_orderkey*10+l_linenumber as rental_id,
-        min(o_custkey) as customer_id,
-        cast(cast(floor(min(l_extendedprice)/1000) as int)+0.99 as decimal(5,2)) as amount,
-        min(l_shipdate) as payment_date
-        from lineitem join orders on l_orderkey=o_orderkey group by l_orderkey,l_linenumber""",
-    "v_customer": """select c_custkey as customer_id, substr(c_name,1,8) as first_name,
-        substr(c_name,10) as last_name, case when c_acctbal<0 then 0 else 1 end as active,
-        c_nationkey as city_id, c_custkey%2+1 as store_id from customer""",
+        from part cross join (values (0),(1)) t(k)""",
+    "v_line": """select (l_orderkey*10+l_linenumber)*100 + row_number() over (partition by l_orderkey, l_linenumber
+        order by l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)
+        as line, lineitem.*, o_custkey, o_orderdate from lineitem join orders on l_orderkey=o_orderkey""",
+    "v_rental": """select line as rental_id, o_orderdate as rental_date, l_partkey*2+l_linenumber%2 as inventory_id,
+        o_custkey as customer_id, case when l_linestatus='F' then
+        cast(cast(o_orderdate as date)+cast(l_quantity as int) as timestamp) end as return_date from v_line""",
+    "v_payment": """select line as payment_id, line as rental_id, o_custkey as customer_id,
+        cast(cast(floor(l_extendedprice/1000) as int)+0.99 as decimal(5,2)) as amount, l_shipdate as payment_date
+        from v_line""",
+    "v_address": """select c_custkey*2 as address_id, c_custkey || ' ' || split_part(c_name,'#',1) || ' Street' as address,
+        lpad(cast(c_nationkey*1000+c_custkey%1000 as varchar),5,'0') as postal_code,
+        (c_nationkey+10) || '-' || lpad(cast(c_custkey%10000000 as varchar),7,'0') as phone, c_nationkey as city_id from customer
+        union all select s_suppkey*2+1, s_suppkey || ' ' || split_part(s_name,'#',1) || ' Street',
+        lpad(cast(s_nationkey*1000+s_suppkey%1000 as varchar),5,'0'),
+        (s_nationkey+10) || '-' || lpad(cast(s_suppkey%10000000 as varchar),7,'0'), s_nationkey from supplier""",
+    "v_customer": """select c_custkey as customer_id, split_part(c_name,'#',1) as first_name,
+        split_part(c_name,'#',2) as last_name, case when c_acctbal<0 then 0 else 1 end as active,
+        c_custkey*2 as address_id, c_custkey%2+1 as store_id from customer""",
     "v_city": """select n_nationkey as city_id, concat(n_name, case when n_nationkey%5=0 then '-X' else '' end)
         as city, n_regionkey as country_id from nation""",
     "v_country": "select r_regionkey as country_id, r_name as country from region",
-    "v_staff": """select s_suppkey as staff_id, substr(s_name,1,8) as first_name, substr(s_name,10) as last_name,
-        s_nationkey as city_id, s_suppkey%2+1 as store_id from supplier""",
-    "v_store": "select * from (values (1,1,0),(2,2,5)) t(store_id,manager_staff_id,city_id)",
+    "v_staff": """select s_suppkey as staff_id, split_part(s_name,'#',1) as first_name, split_part(s_name,'#',2) as last_name,
+        s_suppkey*2+1 as address_id, s_suppkey%2+1 as store_id from supplier""",
+    "v_store": "select * from (values (1,1,3),(2,2,5)) t(store_id,manager_staff_id,address_id)",
     "v_census": """select l_orderkey*10+l_linenumber as person_id, 14+2*p_size as age,
         case when l_linestatus='F' then 'Female' else 'Male' end as sex,
         case when o_totalprice>250000 then '>50K' else '<=50K' end as salary, o_orderpriority as education,
@@ -276,10 +294,11 @@ ROLE_SQL = {
         join customer on o_custkey=c_custkey join nation on c_nationkey=n_nationkey""",
     "v_series": "select user_id as series_id, event_id as pos, cast(floor(value) as int) % 4 as x from events",
     "v_reviews": """select doc_id as review_id, text as content, value as score,
-        case when doc_id%17=0 then 'bad' else strftime(ts,'%Y-%m-%d %H:%M:%S') end as at_text
+        case doc_id%17 when 0 then 'bad' when 1 then strftime(ts,'%Y-%-m-%-d %-H:%M:%S')
+        else strftime(ts,'%Y-%m-%d %H:%M:%S') end as at_text
         from documents join events on doc_id=event_id""",
 }
-_NEEDS = {"v_film_category": ("v_category",)}
+_NEEDS = {"v_film_category": ("v_category",), "v_rental": ("v_line",), "v_payment": ("v_line",)}
 
 
 def with_roles(sql: str) -> str:

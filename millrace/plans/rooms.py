@@ -84,11 +84,10 @@ def room_reports(rooms: DataFrame, students: DataFrame, as_of: str) -> dict[str,
 COUNT_SQL = """select name, coalesce(n, 0) as student_count from v_rooms
     left join (select room as id, count(*) as n from v_students group by room) using (id)"""
 YOUNG_SQL = f"""with {_AGES}
-    select name, cast(sum(years) // count(*) as bigint) as avg_age from ages group by name order by avg_age, name limit 5"""
-GAP_SQL = f"""with {_AGES}, spans as (select name, list(years) as ys from ages group by name)
-    select name, list_max(ys) - list_min(ys) as age_dif from spans order by age_dif desc, name limit 5"""
-MIXED_SQL = f"""with {_AGES} select a.name from (select distinct name, sex from ages) a
-    group by a.name having count(*) > 1"""
+    select name, cast(floor(avg(years)) as bigint) as avg_age from ages group by name order by avg_age, name limit 5"""
+GAP_SQL = f"""with {_AGES}
+    select name, max(years) - min(years) as age_dif from ages group by name order by age_dif desc, name limit 5"""
+MIXED_SQL = f"""with {_AGES} select name from ages group by name having count(distinct sex) > 1"""
 ALL_REPORTS_SQL = f"""with counted as ({COUNT_SQL}), young as ({YOUNG_SQL}), gaps as ({GAP_SQL}),
     mixed as ({MIXED_SQL}),
     reports as (

@@ -1,32 +1,67 @@
-"""Text index over whole documents."""
+"""Text index over whole documents and over film titles with descriptions."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from millrace.functions.text import STEM_RULES
 from millrace.operators import text_index as ti
 from millrace.plans.registry import job
 from millrace.plans.roles import Roles
+from millrace.session import scratch_dir
 
-_STOP = ", ".join(f"'{w}'" for w in ti.ENGLISH_STOP_WORDS)
-_TERMS_SQL = rf"""words as (select doc_id, unnest(regexp_split_to_array(lower(text), '[^\p{{L}}]+')) as term
-    from documents), t as (select doc_id, term from words where length(term) >= 3 and term not in ({_STOP}))"""
+_STOP = ti.ENGLISH_STOP_WORDS
+_STOP_SQL = ", ".join(f"'{w}'" for w in _STOP)
 
 
-@job(f"with {_TERMS_SQL} select term, count(distinct doc_id) as documents from t group by term")
+def _stem_sql(word: str) -> str:
+    for pattern, ending in STEM_RULES:
+        word = f"regexp_replace({word}, '{pattern}', '\\1{ending}')"
+    return word
+
+
+def _terms_sql(key: str, text: str, table: str) -> str:
+    """Every term of every text: all words and numbers, of any length, but for the stop words."""
+    return rf"""words as (select {key}, unnest(regexp_extract_all(lower({text}), '[\p{{L}}\p{{N}}]+')) as w from {table}),
+    t as (select {key}, {_stem_sql('w')} as term from words where w not in ({_STOP_SQL}))"""
+
+
+_DOCUMENTS = _terms_sql("doc_id", "text", "documents")
+_FILMS = _terms_sql("film_id", "title || ' ' || description", "v_film")
+
+
+@job(f"with {_DOCUMENTS} select term, count(distinct doc_id) as documents from t group by term")
 def text_index(t: Roles) -> DataFrame:
-    return ti.document_frequency(t.table("documents"), "doc_id", "text", ti.ENGLISH_STOP_WORDS)
+    return ti.document_frequency(t.table("documents"), "doc_id", "text", _STOP)
 
 
-@job(f"with {_TERMS_SQL} select term, doc_id, count(*) as occurrences from t group by term, doc_id")
+@job(f"with {_DOCUMENTS} select term, doc_id, count(*) as occurrences from t group by term, doc_id")
 def text_postings(t: Roles) -> DataFrame:
     """The index itself in long form."""
-    index = ti.postings(t.table("documents"), "doc_id", "text", ti.ENGLISH_STOP_WORDS)
+    index = ti.postings(t.table("documents"), "doc_id", "text", _STOP)
     return index.select("term", "doc_id", "occurrences")
 
 
-@job(f"""with {_TERMS_SQL} select doc_id, cast(count(*) as bigint) as occurrences from t
-    where term in ('ing', 'than') group by doc_id having count(distinct term) = 2""")
+# "The" is a stop word, "re" is short, and "shing" loses its ending in texts and query alike.
+@job(f"""with {_DOCUMENTS} select doc_id, count(*) as occurrences from t
+    where term in ('re', 'be') group by doc_id having count(distinct term) = 2""")
 def text_match(t: Roles) -> DataFrame:
-    index = ti.postings(t.table("documents"), "doc_id", "text", ti.ENGLISH_STOP_WORDS)
-    return ti.documents_with_all(index, "doc_id", ["ing", "than"])
+    return ti.documents_with_all(ti.postings(t.table("documents"), "doc_id", "text", _STOP), "doc_id", "The re, be", _STOP)
+
+
+def film_texts(t: Roles) -> DataFrame:
+    """Title and description of each film as one text."""
+    return t.film.select("film_id", F.concat_ws(" ", "title", "description").alias("text"))
+
+
+@job(f"""with {_FILMS} select film_id, count(*) as occurrences from t
+    where term in (select {_stem_sql("'blue'")} union all select '7') group by film_id having count(distinct term) = 2
+    union all select film_id, count(*) from t where term = 'brand' group by film_id having count(distinct term) = 1""")
+def film_match(t: Roles) -> DataFrame:
+    """Two searches of a stored index: words and numbers of titles, and one of descriptions."""
+    path = scratch_dir(t.spark, "film-index")
+    ti.write_index(ti.postings(film_texts(t), "film_id", "text", _STOP), path)
+    stored = t.spark.read.parquet(path)
+    found = [ti.documents_with_all(stored, "film_id", query, _STOP) for query in ("the blue 7", "brands")]
+    return found[0].unionAll(found[1])

@@ -9,7 +9,7 @@ from millrace.functions import numeric
 from millrace.functions.arrays import meets_every_set, not_constant
 from millrace.operators import aggregates as agg
 from millrace.operators import rows
-from millrace.operators.distance import distance_matrix
+from millrace.operators.distance import distance_matrix, distance_pairs
 from millrace.operators.joins import all_combinations
 from millrace.operators.quantiles import describe_groups, distribution_summary, first_percentile_above
 from millrace.operators.sequences import max_after, run_lengths
@@ -82,6 +82,30 @@ def pairwise_euclidean(t: Roles) -> DataFrame:
     return distance_matrix(x, y).withColumn("distance", F.round("distance", 5))
 
 
+@job("""select a.vec_id as x_id, b.vec_id as y_id, round(list_distance(
+    cast(a.embedding as double[]), cast(b.embedding as double[])), 5) as distance
+    from embeddings a join embeddings b on b.label = a.label and b.vec_id = a.vec_id + 10""")
+def distance_of_pairs(t: Roles) -> DataFrame:
+    """The form that scales: distances for a table of wanted pairs, here neighbours of one label."""
+    vectors = t.table("embeddings")
+    x = vectors.select(F.col("vec_id").alias("x_id"), "label", F.col("embedding").alias("x"), (F.col("vec_id") + 10).alias("y_id"))
+    y = vectors.select(F.col("vec_id").alias("y_id"), "label", F.col("embedding").alias("y"))
+    pairs = distance_pairs(x.join(y, ["y_id", "label"]), "x", "y")
+    return pairs.select("x_id", "y_id", F.round("distance", 5).alias("distance"))
+
+
+@job("""select p_type, c_mktsegment, count(*) as n from lineitem join part on l_partkey = p_partkey
+    join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey group by p_type, c_mktsegment""")
+def occurring_combinations(t: Roles) -> DataFrame:
+    """The form that scales: only the combinations that occur, with their rows."""
+    parts = t.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    orders = t.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"))
+    segments = t.table("customer").select("c_custkey", "c_mktsegment")
+    lines = t.table("lineitem").select("l_partkey", "l_orderkey").join(orders, "l_orderkey")
+    per_customer = lines.join(parts, "l_partkey").groupBy("p_type", "c_custkey").agg(F.count(F.lit(1)).alias("n"))
+    return per_customer.join(segments, "c_custkey").groupBy("p_type", "c_mktsegment").agg(F.sum("n").alias("n"))
+
+
 @job("""with m as (select l_orderkey, l_linenumber - 1 as i, cast(min(l_quantity) as int) as q,
     l_linenumber as n, cast(round(min(l_discount) * 100) as int) as d, cast(round(min(l_tax) * 100) as int) as x
     from lineitem group by l_orderkey, l_linenumber),

@@ -24,12 +24,27 @@ SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings to a session made elsewhere and return it."""
+    """Apply the settings to a session made elsewhere, where they differ, and return it."""
     for name, value in SETTINGS.items():
-        spark.conf.set(name, value)
+        if spark.conf.get(name, None) != value:
+            spark.conf.set(name, value)
     return spark
 
 
+@contextlib.contextmanager
+def session_setting(spark: SparkSession, name: str, value: str):
+    """Hold a setting of the session and put the old one back afterwards."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def local_session(cores: str | int = "*", name: str = "millrace") -> SparkSession:
     """Session for tests and local benchmarks; a cluster brings its own."""
     partitions = "8" if cores == "*" else str(max(int(cores), 1))

@@ -13,10 +13,9 @@ from millrace.functions.numeric import nan_to_null
 from millrace.functions.text import DEFAULT_MISSING
 from millrace.operators.rows import null_missing_cells
 
-# Quoted cells may hold line breaks and doubled quotes; blanks are kept.
+# Quoted cells may hold doubled quotes; blanks are kept.
 CSV_OPTIONS = {
     "header": "true",
-    "multiLine": "true",
     "quote": '"',
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
@@ -26,6 +25,11 @@ CSV_OPTIONS = {
 }
 
 
+def csv_options(line_breaks: bool) -> dict[str, str]:
+    """Reading options. Where cells hold line breaks, a file can't be split over tasks."""
+    return CSV_OPTIONS | {"multiLine": str(line_breaks).lower()}
+
+
 def json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Files that are one JSON array of objects each; only the named fields are read.
 
@@ -40,15 +44,21 @@ def json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def csv_with_header(
-    spark: SparkSession, path: str, schema: T.StructType, tokens: tuple[str, ...] = DEFAULT_MISSING
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    tokens: tuple[str, ...] = DEFAULT_MISSING,
+    line_breaks: bool = True,
 ) -> DataFrame:
     """CSV with a declared schema; missing-value texts become NULL, untrimmed.
 
+    Say that no cell holds line breaks where that is so: big files are then split.
+
     Non-text columns are read as text first, so that a missing-value text in
     them is NULL and any other unreadable value still fails.
     """
     raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    cells = spark.read.schema(raw).options(**CSV_OPTIONS).csv(path)
+    cells = spark.read.schema(raw).options(**csv_options(line_breaks)).csv(path)
     cells = null_missing_cells(cells, tokens)
     return cells.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window
 
 from millrace.functions.dates import month_key
 from millrace.sources.readers import CSV_OPTIONS
@@ -16,17 +17,24 @@ _JSON_TYPES = (T.StringType, T.BooleanType, T.NumericType)
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header and no row numbers; missing cells are empty."""
-    options = {k: v for k, v in CSV_OPTIONS.items() if k != "multiLine"}
-    df.write.options(**options).csv(path)
+    df.write.options(**CSV_OPTIONS).csv(path)
 
 
 def write_json_arrays(df: DataFrame, key: str, rows_per_file: int, path: str) -> None:
-    """JSON array files; each holds the rows of one range of a whole-number key."""
-    fields = F.struct(*df.columns)
-    arrays = df.groupBy(F.expr(f"`{key}` div {rows_per_file}").alias("part")).agg(
-        F.to_json(F.collect_list(fields)).alias("value")
-    )
-    arrays.repartition("part").write.partitionBy("part").text(path)
+    """JSON array files; each holds the rows of one range of a whole-number key.
+
+    A file is written line by line from sorted rows, so no array is held in memory,
+    however often a key repeats.
+    """
+    part = F.expr(f"`{key}` div {rows_per_file}").alias("part")
+    rows = df.select(part, F.to_json(F.struct(*df.columns)).alias("value"))
+    number = F.row_number().over(Window.partitionBy("part").orderBy("value")).cast("bigint")
+    mark = F.when(number == 1, "[").otherwise(",")
+    lines = rows.select("part", number.alias("at"), F.concat(mark, "value").alias("value"))
+    ends = lines.groupBy("part").agg(F.max("at").alias("at"))
+    closed = lines.unionByName(ends.select("part", F.col("at") + 1, F.lit("]").alias("value")).toDF("part", "at", "value"))
+    dealt = closed.repartition("part").sortWithinPartitions("part", "at")
+    dealt.select("part", "value").write.partitionBy("part").text(path)
 
 
 def export_bundle(bundle: Mapping[str, DataFrame], kind: str, path: str) -> dict[str, str]:
@@ -72,18 +80,24 @@ def read_xml_rows(spark: SparkSession, path: str, columns: list[str]) -> DataFra
     return spark.read.format("xml").schema(schema).options(rowTag="row", nullValue="None").load(path)
 
 
-def write_by_month(df: DataFrame, ts: str, first: str, last: str, path: str) -> DataFrame:
+def write_by_month(df: DataFrame, ts: str, first: str, last: str, path: str, rejects: str | None = None) -> None:
     """Write the rows of the declared months (``yyyy-MM``) partitioned by month.
 
-    Returns the rows outside of them: no default partition takes those, so the
-    caller decides whether they stop the job. A missing timestamp is outside.
+    A row outside of them, or without a timestamp, fails the job: no default
+    partition takes it. With ``rejects``, such rows are written to that folder instead.
     The rebalance hint gives each month files of a sensible size and splits a
     month that holds most of the rows.
     """
-    marked = df.withColumn("month", month_key(F.col(ts)))
-    inside = F.coalesce(F.col("month").between(first, last), F.lit(False))
-    marked.where(inside).hint("rebalance", "month").write.partitionBy("month").parquet(path)
-    return marked.where(~inside).drop("month")
+    month = month_key(F.col(ts))
+    inside = F.coalesce(month.between(first, last), F.lit(False))
+    if rejects is None:
+        what = F.concat(F.lit(f"no partition for {ts} "), F.coalesce(F.col(ts).cast("string"), F.lit("NULL")))
+        month = F.when(inside, month).otherwise(F.raise_error(what).cast("string"))
+        kept = df.withColumn("month", month)
+    else:
+        df.where(~inside).write.parquet(rejects)
+        kept = df.where(inside).withColumn("month", month)
+    kept.hint("rebalance", "month").write.partitionBy("month").parquet(path)
 
 
 def read_months(spark: SparkSession, path: str, first: str, last: str) -> DataFrame:

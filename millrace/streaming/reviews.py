@@ -20,7 +20,7 @@ from millrace import folders
 from millrace.functions.dates import coerce_ts
 from millrace.functions.text import DEFAULT_MISSING, REVIEW_MISSING, clean_text, missing_to_null, trim_blanks
 from millrace.operators.rows import clean_missing_cells, null_missing_cells, sort_by_ts_nulls_last
-from millrace.sources.readers import CSV_OPTIONS
+from millrace.sources.readers import csv_options
 from millrace.sources.tables import KeyedTable
 
 _CORRUPT = "_corrupt_record"
@@ -35,11 +35,13 @@ class ReviewLayout:
     """Columns of the files in header order with their types, and the key.
 
     ``content`` and ``at`` get their own cleaning where they are present;
-    all other columns pass through.
+    all other columns pass through. Without line breaks in cells, files are
+    split over tasks.
     """
 
     key: str = "review_id"
     columns: dict[str, str] = field(default_factory=_default_columns)
+    line_breaks: bool = True
 
 
 LAYOUT = ReviewLayout()
@@ -64,7 +66,7 @@ def arrivals(
     fields = ", ".join(f"`{c}` string" for c in layout.columns) + f", {_CORRUPT} string"
     reader = (
         spark.readStream.schema(fields)
-        .options(**CSV_OPTIONS, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT)
+        .options(**csv_options(layout.line_breaks), mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT)
         .option("recursiveFileLookup", "true")
     )
     if files_per_batch:

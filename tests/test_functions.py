@@ -36,6 +36,7 @@ def test_month_end_and_day(spark):
 
 def test_coerce_ts_never_fails(spark):
     assert one(spark, dates.coerce_ts(F.lit("2024-01-02 03:04:05"))) == datetime.datetime(2024, 1, 2, 3, 4, 5)
+    assert one(spark, dates.coerce_ts(F.lit("2024-1-5 3:04:05"))) == datetime.datetime(2024, 1, 5, 3, 4, 5)
     for bad in ("bad", "-", "", "2024-13-02 03:04:05", "2024-01-02"):
         assert one(spark, dates.coerce_ts(F.lit(bad))) is None
 

@@ -65,17 +65,23 @@ def test_exact_quantiles_match_numpy(spark, data):
     assert len(got) == frame["g"].nunique() * len(probs)
 
 
-def test_exact_quantiles_with_a_hot_group_and_wide_slices(spark):
+def test_exact_quantiles_with_a_hot_group_and_few_values(spark):
     rng = np.random.default_rng(5)
     hot, cold = rng.normal(size=4000), rng.integers(0, 3, size=50).astype(float)
     data = [("hot", float(v)) for v in hot] + [("cold", float(v)) for v in cold]
     df = spark.createDataFrame(data, "g string, x double").repartition(5)
-    for margin in (0.001, 0.2):
-        got = {(r["g"], r["prob"]): r["quantile"]
-               for r in exact_quantiles(df, ["g"], "x", [0.1, 0.5], margin).collect()}
-        for g, vals in (("hot", hot), ("cold", cold)):
-            for p in (0.1, 0.5):
-                assert math.isclose(got[(g, p)], np.quantile(vals, p), rel_tol=1e-9)
+    got = {(r["g"], r["prob"]): r["quantile"] for r in exact_quantiles(df, ["g"], "x", [0.1, 0.5]).collect()}
+    for g, vals in (("hot", hot), ("cold", cold)):
+        for p in (0.1, 0.5):
+            assert math.isclose(got[(g, p)], np.quantile(vals, p), rel_tol=1e-9)
+
+
+def test_quantile_plans_sort_no_whole_group(spark):
+    df = spark.range(1000).select((F.col("id") % 2).alias("g"), F.col("id").cast("double").alias("x"))
+    plan = exact_quantiles(df, ["g"], "x", [0.5])._jdf.queryExecution().executedPlan().toString()
+    running = [line for line in plan.splitlines() if "Window [sum(_m" in line]
+    assert running and all("_part" in line for line in running)
+    assert "percentile" not in plan
 
 
 def test_describe_both_forms_agree_with_pandas(spark):
@@ -159,6 +165,25 @@ def test_distance_matrix_matches_the_row_form_in_any_tiling(spark):
     assert distance_pairs(pairs, "a", "b").first()["distance"] == 5.0
 
 
+def test_distances_of_missing_and_uneven_vectors(spark):
+    x = spark.createDataFrame([(1, [1.0, 0.0, 0.0]), (2, None), (3, [0.0, 0.0, 5.0]), (4, [float("nan"), 0.0, 0.0])], "x_id bigint, vec array<double>")
+    y = spark.createDataFrame([(1, [0.0, 0.0, 0.0]), (2, None)], "y_id bigint, vec array<double>")
+    got = {(r["x_id"], r["y_id"]): r["distance"] for r in distance_matrix(x, y).collect()}
+    assert len(got) == 8 and got[1, 1] == 1.0 and got[3, 1] == 5.0 and math.isnan(got[4, 1])
+    assert [got[k] for k in ((2, 1), (1, 2), (2, 2), (3, 2))] == [None] * 4
+    short = spark.createDataFrame([(1, [0.0, 0.0])], "y_id bigint, vec array<double>")
+    with pytest.raises(Exception, match="vectors of 3 and 2 elements"):
+        distance_matrix(x, short).collect()
+    ragged = spark.createDataFrame([(1, [0.0]), (2, [0.0, 1.0])], "x_id bigint, vec array<double>")
+    with pytest.raises(Exception, match="vectors of 1 and 2 elements"):
+        distance_matrix(ragged, short).collect()
+    gap = spark.createDataFrame([(1, [0.0, None])], "x_id bigint, vec array<double>")
+    with pytest.raises(Exception, match="missing element"):
+        distance_matrix(gap, short).collect()
+    empty = spark.createDataFrame([(1, [])], "x_id bigint, vec array<double>")
+    assert distance_matrix(empty, empty.withColumnRenamed("x_id", "y_id")).first()["distance"] == 0.0
+
+
 def test_distance_matrix_of_nothing(spark):
     empty = spark.createDataFrame([], "x_id bigint, vec array<double>")
     other = spark.createDataFrame([(1, [1.0])], "y_id bigint, vec array<double>")
@@ -363,10 +388,45 @@ def test_checks(spark, rows):
         quality.require_none(quality.duplicate_keys(df, ["k"]), "unique")
 
 
-def test_text_index(spark, rows):
-    df = spark.createDataFrame([(1, "The cat, the CAT sat."), (2, "a cat; élan 42"), (3, ""), (4, None)], "d int, t string")
-    assert rows(ti.document_frequency(df, "d", "t", ("the",))) == [("cat", 2), ("sat", 1), ("élan", 1)]
-    index = ti.postings(df, "d", "t", ("the",))
-    assert ("cat", 1, 2, 1) in rows(index)
-    assert rows(ti.documents_with_all(index, "d", ["cat", "SAT"])) == [(1, 3)]
-    assert ti.documents_with_all(index, "d", ["cat", "dog"]).count() == 0
+def test_text_index(spark, rows, tmp_path):
+    texts = [(1, "The cat, the CATS sat."), (2, "a cat; élan 42"), (3, ""), (4, None), (5, "go to the churches of 1999")]
+    df = spark.createDataFrame(texts, "d int, t string")
+    stop = ("the", "of")
+    assert rows(ti.document_frequency(df, "d", "t", stop)) == sorted(
+        [("cat", 2), ("sat", 1), ("élan", 1), ("a", 1), ("42", 1), ("go", 1), ("to", 1), ("church", 1), ("1999", 1)], key=repr
+    )
+    index = ti.postings(df, "d", "t", stop)
+    assert ("cat", 1, 2, 0) in rows(index)
+    path = str(tmp_path / "index")
+    ti.write_index(index, path)
+    for held in (index, spark.read.parquet(path)):
+        find = lambda q: rows(ti.documents_with_all(held, "d", q, stop))  # noqa: B023
+        assert find("cat SAT") == [(1, 3)] and find("the cats, cat") == [(1, 2), (2, 1)]
+        assert find("go") == [(5, 1)] and find("1999") == [(5, 1)] and find("church") == [(5, 1)]
+        assert find("cat dog") == [] and find("the") == [] and find("") == []
+    plan = ti.documents_with_all(spark.read.parquet(path), "d", "cat", stop)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan
+
+
+def test_stems(spark):
+    pairs = {"films": "film", "cities": "city", "glass": "glass", "boxes": "box", "bus": "bus", "this": "this", "running": "runn", "red": "red",
+             "wanted": "want", "sing": "sing", "is": "is", "éclairs": "éclairs"}
+    from millrace.functions.text import stem
+
+    got = spark.createDataFrame([(w,) for w in pairs], "w string").select("w", stem(F.col("w")).alias("s")).collect()
+    assert {r["w"]: r["s"] for r in got} == pairs
+
+
+def test_zero_at_max_keeps_rows_without_a_series(spark, rows):
+    from millrace.operators.rows import zero_at_max
+
+    df = spark.createDataFrame([(1, 5), (1, 2), (None, 3), (None, 1)], "s int, x int")
+    assert rows(zero_at_max(df, "s", "x", "y")) == sorted([(1, 5, 0), (1, 2, 2), (None, 3, 0), (None, 1, 1)], key=repr)
+
+
+def test_plain_mean_of_scores_in_text_form(spark):
+    from millrace.operators.aggregates import mean_per_day
+
+    df = spark.createDataFrame([("a", "1.005"), ("a", "2.004"), ("a", "n/a"), ("b", None)], "d string, s string")
+    got = {r["day"]: r["avg_score"] for r in mean_per_day(df, F.col("d"), F.col("s")).collect()}
+    assert math.isclose(got["a"], 1.5045) and got["b"] is None

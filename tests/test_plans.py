@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from millrace.plans import all_jobs
 from millrace.operators.joins import join_chain
 from millrace.operators.sequences import max_after
 from millrace.plans.roles import Roles
@@ -16,7 +17,7 @@ def plan_of(df):
 
 
 # Jobs whose data is written and read back show only the last read.
-LAZY = [n for n in contract.queries() if not n.startswith(("sink_", "src_", "stream_", "mv_", "report_bundle"))]
+LAZY = [n for n in all_jobs() if not n.startswith(("sink_", "src_", "stream_", "mv_", "report_bundle"))]
 
 
 @pytest.mark.parametrize("name", LAZY)
@@ -25,7 +26,7 @@ def test_no_cross_join_and_no_single_partition_window(spark, small, name):
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
     for match in re.finditer(r"Window \[.*?\], \[(.*?)\]", plan):
-        assert match.group(1) or "_rows" in match.group(0) or "_slice" in match.group(0), match.group(0)
+        assert match.group(1) or "_rows" in match.group(0) or "_part" in match.group(0), match.group(0)
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 

@@ -55,6 +55,29 @@ def test_csv_with_another_header_fails(spark, tmp_path):
         readers.csv_with_header(spark, put(tmp_path, "a.csv", "name,id\na,1\n"), NAMED).collect()
 
 
+def test_csv_without_line_breaks_is_split(spark, tmp_path, rows):
+    df = spark.range(3000).select("id", F.concat(F.lit('a "b", '), F.col("id").cast("string")).alias("name"))
+    out = str(tmp_path / "csv")
+    writers.write_csv(df.coalesce(1), out)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")
+    try:
+        whole, split = (readers.csv_with_header(spark, out, NAMED, line_breaks=b) for b in (True, False))
+        assert whole.rdd.getNumPartitions() == 1 and split.rdd.getNumPartitions() > 3
+        assert rows(split) == rows(whole) == rows(df)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_written_arrays_of_a_repeated_key(spark, tmp_path, rows):
+    df = spark.range(500).select(F.lit(7).cast("bigint").alias("id"), F.col("id").cast("string").alias("name"))
+    out = str(tmp_path / "arrays")
+    writers.write_json_arrays(df, "id", 10, out)
+    assert rows(readers.json_arrays(spark, out, NAMED)) == rows(df)
+
+
 def test_numeric_vector(spark, tmp_path):
     path = put(tmp_path, "v.csv", "70, 120, 70, 50 , 110\n")
     got = readers.numeric_vectors(spark, path).orderBy("pos").collect()
@@ -100,8 +123,10 @@ def test_month_partitions_prune_and_refuse(spark, tmp_path):
     data = [("2022-01-01 00:00:00",), ("2022-01-31 23:59:59",), ("2022-02-01 00:00:00",), ("2021-12-31 23:59:59",), (None,)]
     df = spark.createDataFrame(data, "t string").select(F.col("t").cast("timestamp_ntz").alias("ts"))
     out = str(tmp_path / "months")
-    refused = writers.write_by_month(df, "ts", "2022-01", "2022-07", out)
-    assert refused.count() == 2
+    with pytest.raises(Exception, match="no partition for ts"):
+        writers.write_by_month(df, "ts", "2022-01", "2022-07", str(tmp_path / "strict"))
+    writers.write_by_month(df, "ts", "2022-01", "2022-07", out, str(tmp_path / "rejects"))
+    assert spark.read.parquet(str(tmp_path / "rejects")).count() == 2
     assert sorted(os.path.basename(p) for p in glob.glob(out + "/month=*")) == ["month=2022-01", "month=2022-02"]
     january = writers.read_months(spark, out, "2022-01", "2022-01")
     assert january.count() == 2
