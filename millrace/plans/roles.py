@@ -102,7 +102,7 @@ class Roles:
         )
         same = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*_LINE_ORDER)
         lines = self.table("lineitem").join(orders, "l_orderkey")
-        return lines.withColumn("line", _line_id() * 100 + F.row_number().over(same))
+        return lines.withColumn("line", _line_id() * 1_000_000 + F.row_number().over(same))
 
     @cached_property
     def rental(self) -> DataFrame:
@@ -261,8 +261,8 @@ ROLE_SQL = {
     "v_film_actor": "select distinct l_suppkey as actor_id, l_partkey as film_id from lineitem",
     "v_inventory": """select p_partkey*2+k as inventory_id, p_partkey as film_id, k+1 as store_id
         from part cross join (values (0),(1)) t(k)""",
-    "v_line": """select (l_orderkey*10+l_linenumber)*100 + row_number() over (partition by l_orderkey, l_linenumber
-        order by l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)
+    "v_line": """select (l_orderkey*10+l_linenumber)*1000000 + row_number() over (partition by l_orderkey, l_linenumber
+        order by l_partkey nulls first, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)
         as line, lineitem.*, o_custkey, o_orderdate from lineitem join orders on l_orderkey=o_orderkey""",
     "v_rental": """select line as rental_id, o_orderdate as rental_date, l_partkey*2+l_linenumber%2 as inventory_id,
         o_custkey as customer_id, case when l_linestatus='F' then
