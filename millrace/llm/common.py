@@ -10,12 +10,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 HASH_BITS = 60
+BROADCAST_ROWS = 50_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def beside(rows: DataFrame) -> DataFrame:
+    """Mark a written table of short rows for a broadcast if it has at most ``BROADCAST_ROWS``.
+
+    A larger one is joined by shuffles, which adaptive execution splits where a key is hot.
+    """
+    few = rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return F.broadcast(rows) if few else rows
+
+
 def seeded_order(seed: Column | int, key: Column) -> Column:
     """A number below 2**60 drawn from seed and key; md5, so that SQL engines can repeat it."""
     seed = seed if isinstance(seed, Column) else F.lit(seed)
@@ -40,7 +50,9 @@ def positions(
     row number inside its own. Groups must not be null.
     """
     buckets = F.ceil(F.col(size) / F.greatest(F.lit(float(per_bucket)), F.sqrt(F.col(size))))
-    cut = df.withColumn("_bucket", F.least(F.floor(F.col(score) * buckets), buckets - 1).cast("bigint"))
+    bucket = F.least(F.floor(F.col(score) * buckets), buckets - 1).cast("bigint")
+    # Dealt by group and bucket: a partitioning by group alone would put a hot group into one task.
+    cut = df.withColumn("_bucket", bucket).repartition(*group, "_bucket")
     counts = cut.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*group, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from millrace.llm.common import positions
+from millrace.llm.common import beside, positions
 from millrace.session import written
 
 OVERHEAD = 16  # bytes a row takes besides its text
@@ -42,10 +42,10 @@ def assign_shards(
         ),
         "shard-facts",
     )
-    strata = facts.groupBy("_stratum").agg(F.count(F.lit(1)).alias("_rows"))
+    strata = written(facts.groupBy("_stratum").agg(F.count(F.lit(1)).alias("_rows")), "shard-strata")
     total = strata.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
     ties = [key, "text_crc32", "size"]
-    ranked = positions(facts.join(strata, "_stratum"), ["_stratum"], "_draw", ties, "_rows", "_rank")
+    ranked = positions(facts.join(beside(strata), "_stratum"), ["_stratum"], "_draw", ties, "_rows", "_rank")
     start = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "_stratum"), 11) / F.lit(float(1 << 53))
     share = ranked.withColumn("_share", (F.col("_rank") + start) / F.col("_rows")).withColumns(
         {"_all": F.lit(0), "_total": F.lit(total).cast("bigint")}
