@@ -12,6 +12,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.keys import assign_keys
 from millrace.session import written
 from millrace.functions.arrays import diagonal_element
 from millrace.sources.readers import literal_rows
@@ -135,6 +136,20 @@ def concat_texts(df: DataFrame, keys: Sequence[str], text: str, name: str, disti
     return rows.groupBy(*keys).agg(joined.alias(name))
 
 
+def listed_texts(df: DataFrame, keys: Sequence[str], text: str, name: str = "position") -> DataFrame:
+    """The long form of ``concat_texts``: each text with its place in its group, from 1.
+
+    The rows are sorted by range over all tasks, and a place is the distance to the group's first
+    row, so no task holds a group. Groups with a missing key are left out.
+    """
+    for k in keys:
+        df = df.where(F.col(k).isNotNull())
+    placed = assign_keys(df.select(*keys, text), [*keys, text], "_at")
+    firsts = placed.groupBy(*keys).agg(F.min("_at").alias("_first"))
+    both = placed.join(firsts, list(keys))
+    return both.select(*keys, (F.col("_at") - F.col("_first") + 1).alias(name), text)
+
+
 def most_frequent_texts(df: DataFrame, text: str, k: int = 5, name: str = "n") -> DataFrame:
     """The k most frequent texts, missing as a group of its own, ties by text.
 

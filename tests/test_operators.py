@@ -430,3 +430,10 @@ def test_plain_mean_of_scores_in_text_form(spark):
     df = spark.createDataFrame([("a", "1.005"), ("a", "2.004"), ("a", "n/a"), ("b", None)], "d string, s string")
     got = {r["day"]: r["avg_score"] for r in mean_per_day(df, F.col("d"), F.col("s")).collect()}
     assert math.isclose(got["a"], 1.5045) and got["b"] is None
+
+
+def test_listed_texts_number_each_group(spark, rows):
+    from millrace.operators.aggregates import listed_texts
+
+    df = spark.createDataFrame([("a", "y"), ("a", "x"), ("b", "z"), ("a", "y"), (None, "q")], "g string, t string")
+    assert rows(listed_texts(df, ["g"], "t")) == [("a", 1, "x"), ("a", 2, "y"), ("a", 3, "y"), ("b", 1, "z")]
