@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from millrace.llm.common import HASH_BITS, seeded_order
+from millrace.llm.common import BROADCAST_ROWS, HASH_BITS, seeded_order
 from millrace.session import written
 
 LEVELS = ("domain", "lang", "source")
@@ -84,9 +84,8 @@ def _divide(children: DataFrame, path: list[str], name: str) -> DataFrame:
 def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     """(domain, lang, source, tokens, quota): the token budget of each leaf of (domain, lang, source, tokens)."""
     caps = leaves.withColumn("_cap", F.col("tokens") * mix.max_epochs)
-    nodes = caps.groupBy().agg(
-        F.expr(f"least((sum(tokens) * {mix.share_percent}) div 100, sum(_cap))").cast("bigint").alias("_budget")
-    )
+    root = caps.agg(F.expr(f"least((sum(tokens) * {mix.share_percent}) div 100, sum(_cap))").cast("bigint").alias("_budget"))
+    nodes = None
     for depth, level in enumerate(LEVELS):
         path = list(LEVELS[:depth])
         children = (
@@ -94,7 +93,7 @@ def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
             .agg(F.sum("_cap").cast("bigint").alias("_cap"), F.sum("tokens").alias("tokens"))
             .withColumn("_weight", _weight(mix, level))
         )
-        with_budget = children.join(nodes, path) if path else children.crossJoin(nodes)
+        with_budget = children.join(nodes, path) if path else children.withColumn("_budget", root.scalar())
         shared = _divide(with_budget, path, level)
         nodes = shared.select(*path, level, "tokens", F.col("_share").cast("bigint").alias("_budget"))
         if depth < len(LEVELS) - 1:
@@ -102,7 +101,7 @@ def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     return nodes.withColumnRenamed("_budget", "quota")
 
 
-def _prefix(rows: DataFrame) -> DataFrame:
+def _prefix(rows: DataFrame, few: bool) -> DataFrame:
     """Rows of each leaf whose running token sum along ``_order`` stays within ``_rest``."""
     taken = []
     for level in (1, 2):
@@ -115,7 +114,8 @@ def _prefix(rows: DataFrame) -> DataFrame:
         cut = ends.where("_end > _rest").groupBy(*LEVELS).agg(
             F.min("_range").alias("_cut"), F.min_by(F.col("_end") - F.col("_sum"), "_range").alias("_before")
         )
-        placed = ranged.join(cut, list(LEVELS), "left")
+        # A row per leaf, like the quotas, and so small enough for a broadcast if these are.
+        placed = ranged.join(F.broadcast(cut) if few else cut, list(LEVELS), "left")
         taken.append(placed.where("_cut is null or _range < _cut"))
         rows = placed.where("_range = _cut").withColumn("_rest", F.col("_rest") - F.col("_before")).drop("_range", "_cut", "_before")
     running = Window.partitionBy(*LEVELS).orderBy("_order", "doc_id", "tokens").rowsBetween(Window.unboundedPreceding, 0)
@@ -145,12 +145,13 @@ def mix_sources(
         shares.select(*LEVELS, F.expr("quota div tokens").alias("_whole"), F.expr("quota % tokens").alias("_rest")),
         "mix-quotas",
     )
-    rows = facts.join(quotas, list(LEVELS))
+    few = quotas.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    rows = facts.join(F.broadcast(quotas) if few else quotas, list(LEVELS))
     wholes = rows.where("_whole > 0").select(
         "doc_id", *LEVELS, "tokens", F.explode(F.sequence(F.lit(0), F.col("_whole").cast("int") - 1)).alias("epoch")
     )
     order = seeded_order(F.concat_ws(":", F.lit(str(mix.seed)), F.col("_whole").cast("string")), F.col("doc_id"))
-    partial = _prefix(rows.where("_rest > 0").withColumn("_order", order))
+    partial = _prefix(rows.where("_rest > 0").withColumn("_order", order), few)
     return wholes.unionByName(partial.select("doc_id", *LEVELS, "tokens", F.col("_whole").cast("int").alias("epoch")))
 
 
