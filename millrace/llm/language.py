@@ -117,7 +117,7 @@ def document_vectors(texts: list[str | None], profiles: Profiles) -> np.ndarray:
         at = at.reshape(grams.shape).astype(np.int64)
         width = int(at.max()) + 1
         gram_code = (at[:, 0] * width + at[:, 1]) * width + at[:, 2]
-        if width**3 <= 1 << 24:
+        if width**3 <= 1 << 21:
             first = np.full(width**3, -1, np.int64)
             first[gram_code] = np.arange(len(gram_code))
             present = np.flatnonzero(first >= 0)
@@ -162,9 +162,14 @@ def _sample(labelled: DataFrame, profiles: Profiles) -> DataFrame:
     """At most ``train_docs`` keys per language, by a seeded hash."""
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(profiles.seed), "key"), 11) / F.lit(float(1 << 53))
     keys = labelled.select("key", "lang").withColumn("draw", draw)
-    counts = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    # The hash leaves a few more than wanted, so that the exact cut sorts a bounded number of rows.
-    near = keys.join(counts, "lang").where(F.col("draw") * F.col("n") < 1.3 * profiles.train_docs + 50)
+    counts = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(profiles.max_languages + 1).collect()
+    if not counts or len(counts) > profiles.max_languages:
+        if counts:
+            raise ValueError(f"more than {profiles.max_languages} languages to learn")
+        return labelled.select("key").limit(0)
+    # The share of each language that is drawn: a few more than wanted, so the exact cut sorts a bounded number of rows.
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], (1.3 * profiles.train_docs + 50) / r["n"])])
+    near = keys.where(F.col("draw") < F.element_at(share, F.col("lang")))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "key"))
     return near.withColumn("rank", rank).where(F.col("rank") <= profiles.train_docs).select("key").distinct()
 
@@ -177,11 +182,8 @@ def learn_prototypes(docs: DataFrame, profiles: Profiles, may_learn: Column, key
     chosen = labelled.join(_sample(labelled, profiles), "key", "left_semi").select("lang", "text")
     parts = chosen.mapInArrow(lambda batches: _bundles(batches, profiles), "lang string, bundle array<bigint>")
     sums = parts.select("lang", F.posexplode("bundle").alias("at", "x")).groupBy("lang", "at").agg(F.sum("x").alias("x"))
-    found = sums.limit(profiles.max_languages * profiles.dimensions + 1).collect()
-    if len(found) > profiles.max_languages * profiles.dimensions:
-        raise ValueError(f"more than {profiles.max_languages} languages to learn")
     vectors: dict[str, np.ndarray] = {}
-    for r in found:
+    for r in sums.collect():  # at most max_languages times dimensions numbers
         vectors.setdefault(r["lang"], np.zeros(profiles.dimensions))[r["at"]] = r["x"]
     return {name: v / np.linalg.norm(v) for name, v in sorted(vectors.items()) if v.any()}
 
