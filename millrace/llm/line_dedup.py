@@ -16,7 +16,7 @@ again for the lines in candidate pairs.
 
 Defined cases: lines without words stay; a missing text has no lines; an empty text has
 one blank line; rows that share an id count as one place, so equal lines at equal numbers there don't
-remove each other; a missing id comes last; an empty table gives an empty result.
+remove each other; a missing id comes last (the largest number stands for it); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 from millrace.llm.fingerprints import _let, _upto
 from millrace.session import written
 
-WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+BLANKS = " \t\n\x0b\x0c\r"
+GAP = "[ \\t\\n\\x0b\\f\\r]+"
 BUCKETS = 4096
 HASH_BITS = 52
 LAST_ID = (1 << 63) - 1
@@ -42,8 +43,8 @@ class Similar:
     width: int = 5
 
 
-def _words(line: Column) -> Column:
-    return F.regexp_extract_all(F.translate(line, UPPER, LOWER), F.lit(WORD), F.lit(0))
+def _trimmed(line: Column) -> Column:
+    return F.btrim(line, F.lit(BLANKS))
 
 
 def _bucket(word_hash: Column) -> Column:
@@ -52,7 +53,8 @@ def _bucket(word_hash: Column) -> Column:
 
 def word_weights(docs: DataFrame, text: str) -> list[int]:
     """The binary logarithm of the word count of each hash bucket: a fixed number of values."""
-    words = docs.select(F.explode(_words(F.col(text))).alias("w")).select(_bucket(F.xxhash64("w")).alias("b"))
+    # An estimate: cut at single blanks and line breaks, which is cheaper than the exact rule.
+    words = docs.select(F.explode(F.split(F.lower(text), "[ \\n]")).alias("w")).select(_bucket(F.xxhash64("w")).alias("b"))
     counts = {r["b"]: r["n"] for r in words.groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect()}
     return [counts.get(b, 0).bit_length() for b in range(BUCKETS)]
 
@@ -60,23 +62,26 @@ def word_weights(docs: DataFrame, text: str) -> list[int]:
 def tokens(line: Column, weights: list[int], width: int) -> Column:
     """Distinct tokens of a line, rarest first: numbers with the commonness of the words above a hash."""
     table = F.array(*[F.lit(w) for w in weights])
+    low = F.lit((1 << HASH_BITS) - 1)
 
-    def commonness(parts: list[Column]) -> Column:
-        return sum((F.get(table, _bucket(p)) for p in parts[1:]), F.get(table, _bucket(parts[0])))
+    def runs(h: Column, common: Column) -> Column:
+        def token(first: Column, i: Column) -> Column:
+            value = F.xxhash64(first, *[F.get(h, i + j) for j in range(1, width)]).bitwiseAND(low)
+            sums = sum((F.get(common, i + j) for j in range(1, width)), F.get(common, i))
+            return F.shiftleft(sums.cast("bigint"), HASH_BITS).bitwiseOR(value)
 
-    def token(h: Column, i: Column) -> Column:
-        parts = [F.get(h, i + j) for j in range(width)]
-        value = F.xxhash64(*parts).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
-        return F.shiftleft(commonness(parts).cast("bigint"), HASH_BITS).bitwiseOR(value)
-
-    def whole(h: Column) -> Column:
-        return F.array(F.xxhash64(h).bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
+        # The last places have no full run of words.
+        full = F.slice(F.transform(h, token), F.lit(1), F.size(h) - (width - 1))
+        return F.sort_array(F.array_distinct(full))
 
     def of(h: Column) -> Column:
-        long = F.array_sort(F.array_distinct(F.transform(_upto(F.size(h) - width), lambda i: token(h, i))))
-        return F.when(F.size(h) >= width, long).when(F.size(h) > 0, whole(h)).otherwise(F.array().cast("array<bigint>"))
+        common = F.transform(h, lambda w: F.get(table, _bucket(w)))
+        whole = F.array(F.xxhash64(h).bitwiseAND(low))
+        return F.when(F.size(h) >= width, _let(common, lambda c: runs(h, c))).otherwise(whole)
 
-    return _let(F.transform(_words(line), lambda w: F.xxhash64(w)), of)
+    words = F.split(_trimmed(F.translate(line, UPPER, LOWER)), GAP)
+    found = _let(F.transform(words, lambda w: F.xxhash64(w)), of)
+    return F.when(_trimmed(line) != "", found).otherwise(F.array().cast("array<bigint>"))
 
 
 def _prefix_size(n: Column, percent: int) -> Column:
@@ -87,7 +92,8 @@ def _prefix_size(n: Column, percent: int) -> Column:
 def line_classes(docs: DataFrame, similar: Similar, key: str, text: str, weights: list[int]) -> DataFrame:
     """(class, id, line, n, prefix): each distinct token set with its first place and prefix."""
     lines = docs.select(F.coalesce(F.col(key), F.lit(LAST_ID)).alias("id"), F.posexplode(F.split(text, "\n", -1)).alias("line", "words"))
-    found = lines.withColumn("tokens", tokens(F.col("words"), weights, similar.width)).where(F.size("tokens") > 0)
+    # Blank lines are left out by their text: a condition on the tokens would compute these twice.
+    found = lines.where(_trimmed(F.col("words")) != "").withColumn("tokens", tokens(F.col("words"), weights, similar.width))
     name = F.struct(F.xxhash64("tokens").alias("h"), F.xxhash64(F.lit(1), F.col("tokens")).alias("g"))
     n = F.size("tokens")
     place = F.struct("id", "line", n.alias("n"), F.slice("tokens", F.lit(1), _prefix_size(n, similar.percent)).alias("prefix"))
@@ -95,8 +101,8 @@ def line_classes(docs: DataFrame, similar: Similar, key: str, text: str, weights
     return firsts.select("class", "place.*")
 
 
-def _links(docs: DataFrame, classes: DataFrame, similar: Similar, key: str, text: str, weights: list[int]) -> DataFrame:
-    """(id, line, first_id, first_line): linked classes by their first places, the later one first."""
+def _candidates(classes: DataFrame, similar: Similar) -> DataFrame:
+    """(c, d): first places of classes that may be linked, the later one as ``c``."""
     t = similar.percent
     # A single token is shared by one class only.
     posted = classes.where("n > 1").select("id", "line", "n", F.posexplode("prefix").alias("at", "token"))
@@ -108,21 +114,24 @@ def _links(docs: DataFrame, classes: DataFrame, similar: Similar, key: str, text
         & (shared * (100 + t) >= F.expr("c.n + d.n") * t)
     )
     place = lambda side: F.struct(F.col(f"{side}.id").alias("id"), F.col(f"{side}.line").alias("line"))
-    pairs = written(late.join(early, candidate).select(place("c").alias("c"), place("d").alias("d")).distinct(), "line-pairs")
+    return late.join(early, candidate).select(place("c").alias("c"), place("d").alias("d")).distinct()
+
 
+def _links(rows: DataFrame, pairs: DataFrame, similar: Similar, weights: list[int]) -> DataFrame:
+    """(id, line, links): how many earlier classes a class is linked with, by its first place."""
+    t = similar.percent
     wanted = pairs.select("c").unionAll(pairs.select(F.col("d").alias("c"))).distinct()
     by_doc = wanted.groupBy(F.col("c.id").alias("id")).agg(F.collect_list("c.line").alias("lines"))
-    rows = docs.select(F.coalesce(F.col(key), F.lit(LAST_ID)).alias("id"), F.col(text).alias("text")).where("text is not null")
     split = rows.join(by_doc, "id").withColumn("all", F.split("text", "\n", -1))
     chosen = split.select("id", F.explode(F.transform("lines", lambda i: F.struct(i.alias("line"), F.get("all", i).alias("words")))).alias("l"))
+    chosen = chosen.where(_trimmed(F.col("l.words")) != "")
     full = chosen.select(F.struct("id", "l.line").alias("c"), tokens(F.col("l.words"), weights, similar.width).alias("tokens"))
     # Rows that share an id: the place stands for its least token set.
-    sets = written(full.where(F.size("tokens") > 0).groupBy("c").agg(F.min("tokens").alias("tokens")), "line-sets")
+    sets = full.groupBy("c").agg(F.min("tokens").alias("tokens"))
     both = pairs.join(sets.withColumnRenamed("tokens", "x"), "c").join(sets.select(F.col("c").alias("d"), F.col("tokens").alias("y")), "d")
     common = F.size(F.array_intersect("x", "y"))
-    return both.where(common * 100 >= (F.size("x") + F.size("y") - common) * t).select(
-        F.col("c.id").alias("id"), F.col("c.line").alias("line"), F.col("d.id").alias("first_id"), F.col("d.line").alias("first_line")
-    )
+    linked = both.where(common * 100 >= (F.size("x") + F.size("y") - common) * t)
+    return linked.groupBy("c.id", "c.line").agg(F.count(F.lit(1)).alias("links"))
 
 
 def dedup_lines(docs: DataFrame, similar: Similar = Similar(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -132,20 +141,22 @@ def dedup_lines(docs: DataFrame, similar: Similar = Similar(), key: str = "doc_i
     """
     weights = word_weights(docs, text)
     classes = written(line_classes(docs, similar, key, text, weights), "line-classes")
-    links = _links(docs, classes, similar, key, text, weights).groupBy("id", "line").agg(F.count(F.lit(1)).alias("links"))
+    pairs = written(_candidates(classes, similar), "line-pairs")
+    # Both joins with the texts read one shuffle of them.
+    rows = docs.select(F.coalesce(F.col(key), F.lit(LAST_ID)).alias("id"), F.col(text).alias("text"))
+    links = _links(rows, pairs, similar, weights)
     judged = classes.select("id", "line").join(links, ["id", "line"], "left")
     by_doc = judged.groupBy("id").agg(
         F.collect_list(F.when(F.col("links").isNull(), F.col("line"))).alias("first_lines"), F.sum("links").alias("links")
     )
-    rows = docs.select(F.coalesce(F.col(key), F.lit(LAST_ID)).alias("id"), F.col(key), F.col(text).alias("text"))
     none = F.array().cast("array<string>")
     split = rows.join(by_doc, "id", "left").withColumn("all", F.coalesce(F.split("text", "\n", -1), none))
-    blank = F.filter(_upto(F.size("all") - 1), lambda i: ~F.get("all", i).rlike(WORD))
-    firsts = F.filter(F.coalesce("first_lines", F.array().cast("array<int>")), lambda i: (i < F.size("all")) & F.get("all", i).rlike(WORD))
-    stay = F.array_sort(F.concat(firsts, blank))
+    blank = F.filter(_upto(F.size("all") - 1), lambda i: _trimmed(F.get("all", i)) == "")
+    firsts = F.filter(F.coalesce("first_lines", F.array().cast("array<int>")), lambda i: (i < F.size("all")) & (_trimmed(F.get("all", i)) != ""))
+    stay = F.sort_array(F.concat(firsts, blank))
     kept = F.transform(stay, lambda i: F.get("all", i))
     return split.select(
-        key,
+        F.nullif(F.col("id"), F.lit(LAST_ID)).alias(key),
         F.size("all").cast("bigint").alias("n_lines"),
         (F.size("all") - F.size(kept)).cast("bigint").alias("n_removed"),
         F.coalesce("links", F.lit(0)).cast("bigint").alias("n_links"),
@@ -160,7 +171,7 @@ def line_sql(similar: Similar = Similar()) -> str:
     return f"""
 with l as (select doc_id, unnest(string_split(text, chr(10))) as l, unnest(range(len(string_split(text, chr(10))))) as line
   from documents where text is not null),
-t as (select doc_id, line, l, regexp_extract_all({lower}, '{WORD}') as w from l),
+t as (select doc_id, line, l, regexp_extract_all({lower}, '[^\\x20\\x09-\\x0D]+') as w from l),
 s as (select doc_id, line, list_sort(list_distinct(list_transform(range(1, greatest(len(w) - {w - 1}, 1) + 1), lambda i: array_to_string(w[i : i + {w - 1}], ' ')))) as s
   from t where len(w) > 0),
 p as (select doc_id, line, md5(array_to_string(s, chr(10))) as class, s from s),
