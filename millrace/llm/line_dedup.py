@@ -107,14 +107,16 @@ def _candidates(classes: DataFrame, similar: Similar) -> DataFrame:
     # A single token is shared by one class only.
     posted = classes.where("n > 1").select("id", "line", "n", F.posexplode("prefix").alias("at", "token"))
     late, early = posted.alias("c"), posted.alias("d")
-    shared = F.least(F.expr("c.n - c.at"), F.expr("d.n - d.at"))
-    candidate = (
-        F.expr("c.token = d.token and (d.id < c.id or d.id = c.id and d.line < c.line)")
-        & F.expr(f"100 * least(c.n, d.n) >= {t} * greatest(c.n, d.n)")
-        & (shared * (100 + t) >= F.expr("c.n + d.n") * t)
-    )
+    earlier = F.expr("c.token = d.token and (d.id < c.id or d.id = c.id and d.line < c.line)")
+    alike = F.expr(f"100 * least(c.n, d.n) >= {t} * greatest(c.n, d.n)")
     place = lambda side: F.struct(F.col(f"{side}.id").alias("id"), F.col(f"{side}.line").alias("line"))
-    return late.join(early, candidate).select(place("c").alias("c"), place("d").alias("d")).distinct()
+    met = late.join(early, earlier & alike).select(
+        place("c").alias("c"), place("d").alias("d"), F.expr("c.n - c.at").alias("c_left"), F.expr("d.n - d.at").alias("d_left"), F.expr("c.n + d.n").alias("n")
+    )
+    # All tokens shared up to the last one met lie in both prefixes; beyond it, no more than what is left of either.
+    shared = F.count(F.lit(1)) - 1 + F.least(F.min("c_left"), F.min("d_left"))
+    pairs = met.groupBy("c", "d").agg(shared.alias("shared"), F.first("n").alias("n"))
+    return pairs.where(F.col("shared") * (100 + t) >= F.col("n") * t).select("c", "d")
 
 
 def _links(rows: DataFrame, pairs: DataFrame, similar: Similar, weights: list[int]) -> DataFrame:
