@@ -33,6 +33,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from millrace.llm.common import beside
+from millrace.session import written
+
 UNKNOWN = "und"
 SCALE = 1 << 20  # unit vectors are bundled as whole numbers of this size
 PIECE = 1_000_000
@@ -179,7 +182,9 @@ def learn_prototypes(docs: DataFrame, profiles: Profiles, may_learn: Column, key
     labelled = docs.where(may_learn & F.col(lang).isNotNull()).select(
         F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")
     )
-    chosen = labelled.join(_sample(labelled, profiles), "key", "left_semi").select("lang", "text")
+    # At most train_docs keys for each of max_languages: the texts are not shuffled for a few of them.
+    sample = beside(written(_sample(labelled, profiles), "language-sample"))
+    chosen = labelled.join(sample, "key", "left_semi").select("lang", "text")
     parts = chosen.mapInArrow(lambda batches: _bundles(batches, profiles), "lang string, bundle array<bigint>")
     sums = parts.select("lang", F.posexplode("bundle").alias("at", "x")).groupBy("lang", "at").agg(F.sum("x").alias("x"))
     vectors: dict[str, np.ndarray] = {}
