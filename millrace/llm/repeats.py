@@ -21,8 +21,8 @@ are dealt by the content of their windows instead of the anchor.
 Anchors and whole stretches are compared by hashes of 57 and 64 bits together, all else by bytes.
 
 Defined cases: a missing text is empty; a text shorter than ``length`` loses nothing; a
-missing id comes after all others; occurrences with equal id and start count as one, so
-repeated rows are treated alike and do not remove each other; an empty table gives an empty result.
+missing id comes after all others; occurrences with equal id and start count as one, in
+rows of other texts too, so repeated rows are treated alike and do not remove each other; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -166,12 +166,14 @@ def _find(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Itera
         s = np.concatenate(found) if found else np.zeros(0, STRETCH)
         if not len(s):
             continue
-        by = np.argsort(s["whole"], kind="stable")  # places stay in order of (id, start)
+        by = np.lexsort((s["row"], s["lo"], s["id"], s["whole"]))
         same = _same_as_before(s["whole"][by], s["anchor"][by])
         first = by[_firsts(by, same)]
         later = by[same & ((s["id"][by] != s["id"][first]) | (s["lo"][by] != s["lo"][first]))]
+        # Another row of the first one's id and start stays: an earlier document may cover both.
         again = np.zeros(len(s), bool)
-        again[by[same]] = True
+        again[later] = True
+        again[by[same & _same_as_before(s["row"][by], s["id"][by], s["lo"][by])]] = True
         out = _dealt(0, s[~again], (s["anchor"][~again] % U(buckets)).astype(np.int64))
         later.sort()
         c = _covered(s["id"][later], s["row"][later], s["lo"][later], s["lo"][later].astype(np.int64) + s["span"][later] + length)
@@ -253,16 +255,15 @@ def _settle(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
         same = _same_as_before(s["anchor"][by])
         shared = same | np.append(same[1:], False)
         s = s[by[shared]]
-        by = np.lexsort((s["lo"], s["id"], s["whole"], s["anchor"]))
+        by = np.lexsort((s["row"], s["lo"], s["id"], s["whole"], s["anchor"]))
         s = s[by]
         same = _same_as_before(s["anchor"], s["whole"])
         first = _firsts(by, same)
         later = same & ((s["id"] != s["id"][first]) | (s["lo"] != s["lo"][first]))
         covered.append(_covered(s["id"][later], s["row"][later], s["lo"][later], s["lo"][later].astype(np.int64) + s["span"][later] + length))
-        s = s[~same]
-        again = _same_as_before(s["anchor"])
-        shared = again | np.append(again[1:], False)
-        s = s[shared]
+        anchor = np.cumsum(~_same_as_before(s["anchor"])) - 1
+        differing = (np.bincount(anchor, ~same) > 1)[anchor]
+        s = s[differing & ~later & ~(same & _same_as_before(s["row"], s["id"], s["lo"]))]
         v = np.zeros(len(s), VARIANT)
         for name in ("anchor", "lo", "span", "rel"):
             v[name] = s[name]

@@ -1,8 +1,10 @@
 import hashlib
 import random
+from functools import reduce
 
 import numpy as np
 import pytest
+from pyspark.sql import DataFrame
 
 from millrace.llm import repeats
 from millrace.llm.repeats import remove_repeats
@@ -64,6 +66,22 @@ def test_repeated_rows_missing_ids_and_negative_ids(docs):
     assert found(remove_repeats(docs(rows), 100)) == brute(rows, 100)
 
 
+@pytest.mark.parametrize("apart", [[[0], [1, 2]], [[0, 1], [2]], [[0, 1, 2]], [[0], [1], [2]], [[2, 1, 0]]])
+def test_rows_of_one_id_are_treated_alike_in_any_batches(docs, apart):
+    rng = random.Random(6)
+    line = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage, beside = line(300), line(200)
+    # Stretches at the passage's edge are the same in both rows of document 5 and differ from document 1's.
+    cases = [
+        [(1, passage + line(50)), (5, passage + line(50)), (5, passage + line(60))],
+        [(1, passage + line(50)), (5, passage + beside + line(50)), (5, passage + beside + line(60))],
+        [(9, line(500) + passage), (5, line(120) + passage), (5, passage + line(60))],
+    ]
+    for rows in cases:
+        frames = [docs([rows[k] for k in part], 1) for part in apart]
+        assert found(remove_repeats(reduce(DataFrame.unionByName, frames), 100)) == brute(rows, 100)
+
+
 def test_other_lengths_and_dense_alphabets(docs):
     rng = random.Random(2)
     rows = [(i, "".join(rng.choice("ab") for _ in range(rng.randrange(0, 300)))) for i in range(12)]
