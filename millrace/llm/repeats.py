@@ -41,7 +41,7 @@ from millrace.session import written
 
 U = np.uint64
 ANCHOR = 32
-SHALLOW = 16  # bytes beyond the anchor that quicksort looks at
+SHALLOW = 16  # bytes beyond the anchor that the sort by levels looks at
 HOT = 20_000
 BLOCK_BYTES = 1 << 20
 BUCKET_BYTES = 64 << 20

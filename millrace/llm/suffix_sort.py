@@ -1,7 +1,9 @@
 """Deep-shallow sorting of byte strings.
 
-Strings are sorted by multikey quicksort over eight-byte characters down to a shallow
-depth, all groups of a level at once. Groups that still share their prefix there are
+Strings are sorted level by level over eight-byte characters down to a shallow depth, all
+groups of a level at once by one vectorised sort. This stands in for multikey quicksort: it
+refines the same groups to the same order, but without ternary partitioning around pivots,
+which would need a NumPy call for each group. Groups that still share their prefix there are
 ordered by blind tries: a trie that keeps only the branching positions, is descended
 without looking at the skipped bytes, and corrected by one comparison with the leaf.
 """
@@ -63,7 +65,7 @@ def _common(a: bytes, b: bytes) -> int:
 def deep_shallow_order(strings: list[bytes], groups: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Order of the strings by (group, string), and the common prefix of each with the one before it.
 
-    The prefix is 0 where the group changes. ``depth`` is where quicksort hands over to the tries.
+    The prefix is 0 where the group changes. ``depth`` is where the sort by levels hands over to the tries.
     """
     n = len(strings)
     if not n:
