@@ -6,7 +6,7 @@ import math
 
 import duckdb
 import pytest
-from conftest import TABLES
+from tables import TABLES
 
 import __spark_entry__ as contract
 from millrace.plans import all_jobs
