@@ -18,6 +18,7 @@ from millrace.llm.mixing import Mix, mix_sources, mix_sql
 from millrace.llm.near_dup import AT_85, near_groups, near_sql
 from millrace.llm.repeats import remove_repeats, repeats_sql
 from millrace.llm.sharding import assign_shards
+from millrace.llm.tokens import Vocabulary, token_records
 from millrace.session import configure
 
 MIX = Mix(
@@ -113,6 +114,19 @@ def op10_stratified_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Ids below 49,408 fit into two bytes.
+WORD_BPE = "word_bpe_49k.json"
+
+
+def op11_token_records(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = Vocabulary(public_tokenizers.path(WORD_BPE), end_id=1, width=2)
+    found = token_records(table(configure(spark), folder, "documents"), vocabulary)
+    n_tokens = (F.octet_length("ids") / 4).cast("bigint")
+    return found.select(F.col("key").alias("doc_id"), "start", n_tokens.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -126,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_dedup,
         op9_source_mix,
         op10_stratified_shards,
+        op11_token_records,
     )
 }
 ORACLES: dict[str, str] = {
