@@ -19,6 +19,7 @@ from millrace.llm.near_dup import AT_85, near_groups, near_sql
 from millrace.llm.repeats import remove_repeats, repeats_sql
 from millrace.llm.sharding import assign_shards
 from millrace.llm.tokens import Vocabulary, token_records
+from millrace.llm.walsh import Clusters, cluster, cluster_sql
 from millrace.session import configure
 
 MIX = Mix(
@@ -127,6 +128,14 @@ def op11_token_records(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "start", n_tokens.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+CLUSTERS = Clusters(count=8, rounds=10, scale=1024, seed="3", dims=64)
+
+
+def op12_walsh_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    found = cluster(table(configure(spark), folder, "embeddings"), CLUSTERS)
+    return found.select(*found.columns[:-1], F.sha2("centroid", 256).alias("centroid_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -141,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_source_mix,
         op10_stratified_shards,
         op11_token_records,
+        op12_walsh_clusters,
     )
 }
 ORACLES: dict[str, str] = {
@@ -150,4 +160,5 @@ ORACLES: dict[str, str] = {
     "op7_benchmark_contamination": contamination_sql(10),
     "op8_line_dedup": line_sql(LINES),
     "op9_source_mix": mix_sql(MIX),
+    "op12_walsh_clusters": cluster_sql(CLUSTERS),
 }
