@@ -20,6 +20,7 @@ from millrace.llm.repeats import remove_repeats, repeats_sql
 from millrace.llm.sharding import assign_shards
 from millrace.llm.tokens import Vocabulary, token_records
 from millrace.llm.walsh import Clusters, cluster, cluster_sql
+from millrace.llm.whitening import whiten
 from millrace.session import configure
 
 MIX = Mix(
@@ -136,6 +137,11 @@ def op12_walsh_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(*found.columns[:-1], F.sha2("centroid", 256).alias("centroid_sha256"))
 
 
+def op13_exact_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whiten(table(configure(spark), folder, "embeddings"), components=4, scale=256)
+    return found.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -151,6 +157,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_stratified_shards,
         op11_token_records,
         op12_walsh_clusters,
+        op13_exact_whitening,
     )
 }
 ORACLES: dict[str, str] = {

@@ -1,0 +1,143 @@
+import math
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from millrace.llm import queries
+from millrace.llm.charpoly import characteristic_polynomial, eigenvectors, largest_roots, polynomial_mod, primes, roots_above
+from millrace.llm.vectors import products
+from millrace.llm.whitening import whiten
+
+ROWS = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.DoubleType()))])
+
+
+def polynomial_by_fractions(a):
+    """Coefficients of det(x - a) by the trace recurrence over fractions, constant term first."""
+    d = len(a)
+    a = [[Fraction(int(v)) for v in row] for row in a]
+    m, out = [[Fraction(i == j) for j in range(d)] for i in range(d)], [Fraction(1)]
+    for k in range(1, d + 1):
+        am = [[sum(a[i][t] * m[t][j] for t in range(d)) for j in range(d)] for i in range(d)]
+        c = -sum(am[i][i] for i in range(d)) / k
+        out.append(c)
+        m = [[am[i][j] + (c if i == j else 0) for j in range(d)] for i in range(d)]
+    return [int(c) for c in out[::-1]]
+
+
+def semidefinite(rng, d, rank, size):
+    x = rng.integers(-size, size, (rank, d)).astype(object)
+    return x.T @ x
+
+
+@pytest.mark.parametrize("d, rank", [(1, 1), (2, 2), (5, 5), (9, 4), (12, 12)])
+def test_polynomial_equals_fractions(spark, d, rank):
+    a = semidefinite(np.random.default_rng(d), d, rank, 10**6)
+    assert characteristic_polynomial(spark, a) == polynomial_by_fractions(a)
+
+
+def test_polynomial_with_missing_pivots(spark):
+    for a in (np.diag([3, 3, 5, 0]), np.array([[2, 0, 0, 1], [0, 2, 0, 0], [0, 0, 2, 0], [1, 0, 0, 2]])):
+        assert characteristic_polynomial(spark, a.astype(object)) == polynomial_by_fractions(a)
+    assert polynomial_mod(np.array([[4]]), 7).tolist() == [3, 1]
+
+
+def test_primes():
+    found = primes(1 << 100)
+    assert len(set(found)) == len(found) == 4 and math.prod(found) > 1 << 100
+    assert all(p < 1 << 31 and all(p % q for q in range(2, 50_000)) for p in found)
+
+
+def test_roots_are_counted_and_isolated(spark):
+    # (x - 1)(x - 3)^2 (x - 100)
+    p = np.poly1d([1, -100]) * np.poly1d([1, -3]) ** 2 * np.poly1d([1, -1])
+    whole = [int(c) for c in p.c[::-1]]
+    assert [roots_above(whole, t) for t in (0, 1, 2, 3, 99, 100)] == [4, 3, 3, 1, 1, 0]
+    found, shift = largest_roots(whole, 4)
+    assert [round(g / 2**shift, 9) for g in found] == [100, 3, 3, 1]
+    assert largest_roots([0, 0, -4, 1], 4)[0].__len__() == 1  # x^2 (x - 4): one root above 0
+    assert largest_roots([0, 0, 1], 4) == ([], 0)
+
+
+@pytest.mark.parametrize("d, rank", [(3, 3), (20, 20), (8, 2)])
+def test_vectors_equal_a_numeric_solver(spark, d, rank):
+    a = semidefinite(np.random.default_rng(d), d, rank, 1000)
+    roots, shift = largest_roots(characteristic_polynomial(spark, a), 4)
+    values, vectors = np.linalg.eigh(a.astype(float))
+    assert len(roots) == min(4, rank)
+    for i, v in enumerate(eigenvectors(a, roots, shift)):
+        assert roots[i] / 2**shift == pytest.approx(values[-1 - i], rel=1e-12)
+        assert abs(np.dot(v, vectors[:, -1 - i])) == pytest.approx(1, abs=1e-9)
+
+
+def test_close_and_repeated_roots_give_orthogonal_vectors(spark):
+    turn = np.array([[1, 1, 1, 1], [1, -1, 1, -1], [1, 1, -1, -1], [1, -1, -1, 1]], object)
+    for values in ([7, 7, 7, 1], [10**12, 10**12 - 1, 5, 5], [4, 4, 4, 4]):
+        a = turn @ np.diag(np.array(values, object)) @ turn
+        roots, shift = largest_roots(characteristic_polynomial(spark, a), 4)
+        v = np.array(eigenvectors(a, roots, shift))
+        assert np.abs(v @ v.T - np.eye(4)).max() < 1e-14
+        rest = a.astype(float) @ v.T - v.T * (np.array(roots, float) / 2.0**shift)
+        assert np.abs(rest).max() < 1e-14 * 4 * max(values)
+
+
+def test_products_are_exact():
+    rng = np.random.default_rng(1)
+    for size in (10, 1 << 20, 1 << 25, 1 << 40):
+        u = rng.integers(-size, size, (50, 3))
+        assert (products(u) == u.astype(object).T @ u.astype(object)).all()
+
+
+def expected(rows, components, scale):
+    """By id and component: n, deviation, whitened up to its sign, explained; with fractions and a numeric solver."""
+    kept = [(k, tuple(math.floor(scale * e) for e in v)) for k, v in rows if v and all(e is not None and math.isfinite(e) for e in v)]
+    fit = sorted({x for _, x in kept})
+    n, d = len(fit), len(fit[0])
+    sums = [sum(x[i] for x in fit) for i in range(d)]
+    centred = np.array([[float(Fraction(n * x[i] - sums[i], n)) for i in range(d)] for x in fit])
+    values, vectors = np.linalg.eigh(centred.T @ centred / n)
+    out = []
+    for key, x in kept:
+        deviation = sum((n * x[i] - sums[i]) ** 2 for i in range(d))
+        off = np.array([float(Fraction(n * x[i] - sums[i], n)) for i in range(d)])
+        for c in range(min(components, int((values > 1e-9 * values[-1]).sum()))):
+            out.append((key, c + 1, n, deviation, abs(off @ vectors[:, -1 - c] / math.sqrt(values[-1 - c])), values[-1 - c] / values.sum()))
+    return sorted(out, key=lambda r: (r[0] is not None, r[0] or 0, *r[1:]))
+
+
+def compare(found, wanted):
+    got = sorted(((r.vec_id, r.component, r.n, int(r.deviation), abs(r.whitened), r.explained) for r in found), key=lambda r: (r[0] is not None, r[0] or 0, *r[1:]))
+    assert [r[:4] for r in got] == [r[:4] for r in wanted]
+    assert np.allclose([r[4:] for r in got], [r[4:] for r in wanted], rtol=1e-7, atol=1e-9)
+    assert len({r.identity_error for r in found}) == 1 and found[0].identity_error < 1e-9
+
+
+def test_odd_rows(spark):
+    rng = np.random.default_rng(4)
+    turn = rng.normal(size=(6, 6))
+    rows = [(int(i), (rng.normal(size=6) * [9, 5, 3, 2, 1, 0.5] @ turn).tolist()) for i in range(80)]
+    rows += [(3, rows[5][1])] + [(100 + i, rows[6][1]) for i in range(50)] + [(None, rows[7][1]), (None, rows[8][1])]
+    odd = [(200, None), (201, []), (202, [float("nan")] * 6), (203, [1.0] * 5 + [None]), (204, [float("-inf")] + [0.0] * 5), (205, [1.0] * 5)]
+    frame = spark.createDataFrame(rows + odd, ROWS).repartition(4)
+    frame = frame.withColumns({c: F.lit("x") for c in ("key", "x", "n", "component", "deviation", "whitened", "at", "explained")})
+    compare(whiten(frame).collect(), expected(rows, 4, 256))
+
+
+def test_fewer_components_than_asked_for(spark):
+    rows = [(i, [float(i), 2.0 * i, 1.0, 0.0, -0.0]) for i in range(5)]
+    found = whiten(spark.createDataFrame(rows, ROWS)).collect()
+    compare(found, expected(rows, 4, 256))
+    assert {r.component for r in found} == {1} and {r.explained for r in found} == {1.0}
+
+
+def test_no_variance_no_rows(spark):
+    for rows in ([], [(1, None)], [(1, [])], [(1, [2.0, 3.0])], [(1, [2.0, 3.0]), (2, [2.0, 3.0])]):
+        found = whiten(spark.createDataFrame(rows, ROWS))
+        assert found.collect() == [] and found.columns[0] == "vec_id"
+
+
+def test_query_equals_brute_force(spark, small):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{small}/embeddings.parquet").collect()]
+    compare(queries.op13_exact_whitening(spark, small).collect(), expected(rows, 4, 256))
