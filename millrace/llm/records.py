@@ -48,7 +48,8 @@ from millrace.llm.crc32c import crc32c, masked
 
 FORMAT = "framed_records"
 LISTING = "_files.json"
-READ_BYTES = 16_000_000
+READ_BYTES = 4_000_000
+WRITE_ROWS = 512
 HEAD, TAIL, NAMED = 12, 4, 9
 NO_KEY = 128
 RECORDS = "file int, at bigint, key bigint, start bigint, ids binary"
@@ -117,8 +118,8 @@ class Writer(DataSourceArrowWriter):
         places, size, total = [], 0, 0
         files, folder = _place(self.path)
         out = None
-        for batch in iterator:
-            if batch.num_rows and out is None:
+        for batch in (b.slice(lo, WRITE_ROWS) for b in iterator for lo in range(0, b.num_rows, WRITE_ROWS)):
+            if out is None:
                 files.create_dir(folder, recursive=True)
                 out = files.open_output_stream(f"{folder}/{name}.rec")
             rows = zip(batch.column("key").to_pylist(), (v or b"" for v in batch.column("ids").to_pylist()))

@@ -1,9 +1,12 @@
 """Token ids of whole texts by a public tokenizer, and their record files.
 
-The tokenizers library is run once for each distinct piece between ASCII blanks: the vocabularies used
-here normalise and split at blanks, so a text's ids are those of its pieces in turn (tests compare
-with whole texts; ``by_piece=False`` runs whole texts, for vocabularies where blanks count).
-Pieces met before come from a bounded table of the worker process.
+The tokenizers library is run once for each distinct piece, which for ``by_piece`` is what the
+vocabulary itself encodes alone: it drops blanks, puts letters into lower case, and takes runs of letters, single
+digits, and runs of other characters. So a text is cut at ASCII blanks, and plain Latin pieces further at
+these bounds, of which runs of letters go straight to the library's merges; pieces with an apostrophe (``'s`` and
+the like stand together) or beyond Latin go to the library as they are. Tests compare with whole texts, and each
+worker a probe; ``by_piece=False`` runs whole texts, for vocabularies of another kind.
+Parts met before come from a bounded table of the worker process.
 
 Defined cases: a missing text is empty; an empty one has the end id alone; the strings of special tokens in a text
 become their ids, as the library does; a missing key is kept; no rows give no records.
@@ -11,6 +14,7 @@ become their ids, as the library does; a missing key is kept; no rows give no re
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -18,13 +22,19 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 
 from millrace.llm.records import in_order, read_records, write_records
 from millrace.session import scratch_dir
 
-KNOWN_PIECES = 400_000
+KNOWN_PARTS = 500_000
 BLOCK_CHARS = 4_000_000
+AT_ONCE = 4096
+PROBE = "A probe  of\nthe Kind: Größe 1984, naïve,don't"
+# Latin letters, digits and signs up to U+024F, but for the apostrophe, blanks, and the letter that has two characters in lower case.
+PLAIN = "[!-&(-;=-~\u00a1-\u012f\u0131-\u024f]+"
+LATIN = regex.compile(PLAIN)
 
 
 @dataclass(frozen=True)
@@ -38,9 +48,10 @@ class Vocabulary:
 
 
 class Encoder:
-    """Ids by piece, with those of frequent pieces kept."""
+    """Ids by piece, with those of pieces met before kept."""
 
     def __init__(self, vocabulary: Vocabulary):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task for each core
         from tokenizers import Tokenizer
 
         self.vocabulary = vocabulary
@@ -48,46 +59,79 @@ class Encoder:
         if max(self.tokenizer.get_vocab_size(with_added_tokens=True) - 1, vocabulary.end_id) >= 1 << 8 * vocabulary.width:
             raise ValueError(f"ids of {vocabulary.path} don't fit into {vocabulary.width} bytes")
         self.kind = f"<u{vocabulary.width}"
-        self.known: dict[str, np.ndarray] = {}
-
-    def encoded(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind) for e in found]
-
-    def pieces(self, texts: list[str]) -> list[np.ndarray]:
+        self.known: dict[str, bytes] = {}
+        if vocabulary.by_piece:
+            whole = np.frombuffer(next(self.encoded([PROBE])), self.kind).tolist()
+            if np.frombuffer(self.ids(pa.array([PROBE], pa.large_string()))[0], self.kind).tolist() != [*whole, vocabulary.end_id]:
+                raise ValueError(f"{vocabulary.path} is of another kind: run it with by_piece=False")
+
+    def encoded(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each text as the library gives them."""
+        for lo in range(0, len(texts), AT_ONCE):
+            for e in self.tokenizer.encode_batch_fast(texts[lo : lo + AT_ONCE], add_special_tokens=False):
+                yield np.array(e.ids, self.kind).tobytes()
+
+    def merged(self, word: str) -> bytes:
+        """Ids of a run of letters in lower case by the library's merges alone, without its rules for cutting."""
+        return np.array([t.id for t in self.tokenizer.model.tokenize(word.translate(_byte_letters()))], self.kind).tobytes()
+
+    def parts(self, texts: list[str]) -> list[bytes]:
+        """Ids of each part of a piece."""
         missing = [t for t in texts if t not in self.known]
-        if len(self.known) + len(missing) > KNOWN_PIECES:
+        if len(self.known) + len(missing) > KNOWN_PARTS:
             self.known, missing = {}, texts
-        fresh = dict(zip(missing, self.encoded(missing)))
-        self.known.update(fresh)
+        runs = [t for t in missing if t.isalpha() and LATIN.fullmatch(t)]
+        for t in runs:
+            self.known[t] = self.merged(t)
+        rest = list(set(missing).difference(runs))
+        self.known.update(zip(rest, self.encoded(rest)))
         return [self.known[t] for t in texts]
 
     def ids(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text and the end id, as bytes."""
         end = np.array([self.vocabulary.end_id], self.kind)
         if not self.vocabulary.by_piece:
-            return [np.concatenate([ids, end]).tobytes() for ids in self.encoded(texts.to_pylist())]
+            return [ids + end.tobytes() for ids in self.encoded(texts.to_pylist())]
         split = pc.ascii_split_whitespace(texts)
         words = split.flatten().dictionary_encode()
-        at = words.indices.to_numpy()
-        ids = self.pieces(words.dictionary.to_pylist())
-        lens = np.array([len(v) for v in ids], np.int64)
-        flat = np.concatenate([*ids, end])
-        begins = np.cumsum(lens) - lens
-        # Each word of each text is a run of the flat ids; the end id follows every text.
-        per_text = np.diff(split.offsets.to_numpy())
-        ends = np.cumsum(per_text)
-        starts, runs = (np.insert(x[at], ends, y) for x, y in ((begins, len(flat) - 1), (lens, 1)))
-        stops = np.cumsum(runs)
-        whole = flat[np.repeat(starts - (stops - runs), runs) + np.arange(int(stops[-1]) if len(stops) else 0)]
-        cuts = stops[ends + np.arange(len(ends))] * self.vocabulary.width
-        data, out, lo = whole.tobytes(), [], 0
-        for hi in cuts.tolist():
+        plain = pc.match_substring_regex(words.dictionary, f"^{PLAIN}$")
+        cut = pc.replace_substring_regex(pc.utf8_lower(words.dictionary), "([^\\p{L}\\p{N}]+|\\p{N})", " \\1 ")
+        cut = pc.ascii_split_whitespace(pc.if_else(plain, cut, words.dictionary))
+        parts = cut.flatten().dictionary_encode()
+        ids = self.parts(parts.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.vocabulary.width
+        flat = np.frombuffer(b"".join(ids), self.kind)
+        flat, sizes = _strung(flat, sizes, parts.indices.to_numpy(), cut.offsets.to_numpy())
+        flat, sizes = _strung(np.append(flat, end), np.append(sizes, 1), *_ended(words.indices.to_numpy(), split.offsets.to_numpy(), len(sizes)))
+        data, out, lo = flat.tobytes(), [], 0
+        for hi in (np.cumsum(sizes) * self.vocabulary.width).tolist():
             out.append(data[lo:hi])
             lo = hi
         return out
 
 
+def _strung(flat: np.ndarray, sizes: np.ndarray, at: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``flat`` with these sizes strung together as ``at`` names them; the sizes of the strings between the offsets."""
+    begins, runs = (np.cumsum(sizes) - sizes)[at], sizes[at]
+    stops = np.concatenate([[0], np.cumsum(runs)])
+    whole = flat[np.repeat(begins - stops[:-1], runs) + np.arange(stops[-1])]
+    return whole, np.diff(stops[offsets])
+
+
+def _ended(at: np.ndarray, offsets: np.ndarray, last: int) -> tuple[np.ndarray, np.ndarray]:
+    """The names with ``last`` after each list."""
+    return np.insert(at, offsets[1:], last), offsets + np.arange(len(offsets))
+
+
+@lru_cache
+def _byte_letters() -> dict[int, str]:
+    """The letters that stand for the UTF-8 bytes of a Latin letter, by the library's own table."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    table = ByteLevel(add_prefix_space=False, use_regex=False)
+    return {c: table.pre_tokenize_str(chr(c))[0][0] for c in range(0xA1, 0x250)}
+
+
 @lru_cache(maxsize=2)
 def encoder(vocabulary: Vocabulary) -> Encoder:
     """One for each worker process."""

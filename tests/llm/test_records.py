@@ -64,6 +64,7 @@ def digest(df):
 
 
 ODD = ["<|endoftext|> a<|startoftext|>b", "it's Σίσυφος ΟΔΟΣ\x0bnext\x0cpage\x1cfs\x85nel ls nbsp", "é ́ x́", "日本語 テキスト　全角", "İstanbul ǅ ﬁ"]
+ODD += ["x<y <|ok> ªº²³¹½ naïve_ſtraße¡¿Ünï\u0130\u0131 ÀÉ\xad\xa0ǅǆ ŉ A1b22,c...D --e'S 'LL O'Neil`s «q»"]
 ODD += ["don't we'll I'd 3.14159 !!??", "각 한글", "a\r\nb\tc", "😀".encode("utf-16", "surrogatepass").decode("utf-16") + " ok", " "]
 
 
@@ -77,12 +78,24 @@ def test_whole_texts_and_full_tables_of_pieces(monkeypatch):
 
     from millrace.llm import tokens
 
-    monkeypatch.setattr(tokens, "KNOWN_PIECES", 3)
+    monkeypatch.setattr(tokens, "KNOWN_PARTS", 3)
     texts = pa.array(["one two three", "", "two four five six", "one"], pa.large_string())
     by_piece = Encoder(WORDS)
     assert by_piece.ids(texts) == Encoder(Vocabulary(WORDS.path, by_piece=False)).ids(texts) == by_piece.ids(texts)
 
 
+def test_vocabularies_of_another_kind_run_whole():
+    import pyarrow as pa
+
+    kept = Vocabulary(public_tokenizers.path("byte_bpe_50k.json"), end_id=50256)
+    texts = pa.array(["Blanks and Case count  here", ""], pa.large_string())
+    with pytest.raises(ValueError, match="by_piece=False"):
+        Encoder(kept)
+    whole = Encoder(Vocabulary(kept.path, 50256, by_piece=False))
+    ids = [np.frombuffer(v, "<u2").tolist() for v in whole.ids(texts)]
+    assert ids[1] == [50256] and whole.tokenizer.decode(ids[0][:-1]) == "Blanks and Case count  here"
+
+
 def test_vocabulary_must_fit():
     with pytest.raises(ValueError, match="1 bytes"):
         Encoder(Vocabulary(WORDS.path, width=1))
