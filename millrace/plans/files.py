@@ -58,7 +58,8 @@ def sink_csv(t: Roles) -> DataFrame:
     path = scratch_dir(t.spark, "documents")
     table = t.table("documents").select("doc_id", "text", "lang", "source", "n_chars")
     writers.write_csv(table, path)
-    return t.spark.read.schema(table.schema).options(**readers.csv_options(True)).csv(path)
+    cells = readers.csv_cells(t.spark, path, table.columns)
+    return cells.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields])
 
 
 @job("select doc_id, quality, toxic from labels")

@@ -197,16 +197,15 @@ def stream_file_arrival(t: Roles) -> DataFrame:
     paths = _paths(t)
     _drop(_as_file(t.reviews), paths, "first")
     out = f"{paths.table}/raw"
-    query = (
-        stream.arrivals(t.spark, paths, FILES)
-        .select(F.col("review_id").cast("bigint").alias("review_id"), "content", F.col("score").cast("double").alias("score"), "at")
-        .writeStream.format("parquet")
-        .option("checkpointLocation", paths.checkpoint)
-        .trigger(availableNow=True)
-        .start(out)
-    )
-    query.awaitTermination()
-    return t.spark.read.parquet(out)
+
+    def store(lines: DataFrame, number: int) -> None:
+        rows = stream.review_rows(lines, FILES)
+        typed = rows.select(F.col("review_id").cast("bigint").alias("review_id"), "content", F.col("score").cast("double").alias("score"), "at")
+        typed.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    lines = stream.arrivals(t.spark, paths, FILES).writeStream.foreachBatch(store)
+    lines.option("checkpointLocation", paths.checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.parquet(out).drop("batch")
 
 
 @job("""select 'empty' as outcome, cast(1 as bigint) as batches, cast(0 as bigint) as reviews

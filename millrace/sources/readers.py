@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from millrace.functions.numeric import nan_to_null
 from millrace.functions.text import DEFAULT_MISSING
 from millrace.operators.rows import null_missing_cells
+from millrace.sources.pieces import read_csv_records, read_json_elements
 
 # Quoted cells may hold doubled quotes; blanks are kept.
 CSV_OPTIONS = {
@@ -26,23 +27,55 @@ CSV_OPTIONS = {
 
 
 def csv_options(line_breaks: bool) -> dict[str, str]:
-    """Reading options. Where cells hold line breaks, a file can't be split over tasks."""
+    """Options of Spark's own reader, which reads a file with line breaks in its cells in one task."""
     return CSV_OPTIONS | {"multiLine": str(line_breaks).lower()}
 
 
 def json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Files that are one JSON array of objects each; only the named fields are read.
 
-    A file is one task, so big inputs should come as many files or as
-    ``json_lines``.
+    A large file is read by many tasks.
     """
-    return spark.read.schema(schema).option("multiLine", "true").json(path).select(*schema.names)
+    rows = read_json_elements(spark, path).select(F.from_json("value", schema).alias("_row"))
+    return rows.select(*(F.col("_row").getField(name).alias(name) for name in schema.names))
 
 
 def json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+def parsed_csv(records: DataFrame, columns: Sequence[str], corrupt: str | None = None) -> DataFrame:
+    """The cells of CSV records as text beside the other columns; header records are compared with the names and go.
+
+    With ``corrupt``, that column holds the text of records with too many or too few cells.
+    """
+    options = {k: v for k, v in CSV_OPTIONS.items() if k not in ("header", "enforceSchema")}
+    # One cell more than there are names, to see that it is empty.
+    header = F.from_csv("value", ", ".join(f"c{i} string" for i in range(len(columns) + 1)), options)
+    given = F.array(*(F.lower(header.getField(f"c{i}")) for i in range(len(columns) + 1)))
+    same = given.eqNullSafe(F.array(*(F.lit(c.lower()) for c in columns), F.lit(None)))
+    message = F.concat(F.lit(f"the CSV header isn't {','.join(columns)}: "), "value")
+    wanted = F.when(F.col("_header"), F.when(same, False).otherwise(F.raise_error(message).cast("boolean"))).otherwise(True)
+    if corrupt:
+        options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+    names = [*columns, *([corrupt] if corrupt else [])]
+    fields = ", ".join(f"`{n}` string" for n in names)
+    cells = records.where(wanted).withColumn("_cells", F.from_csv("value", fields, options))
+    others = [c for c in records.columns if c not in ("value", "_header")]
+    return cells.select(*(F.col("_cells").getField(n).alias(n) for n in names), *others)
+
+
+def csv_cells(spark: SparkSession, path: str, columns: Sequence[str], line_breaks: bool = True) -> DataFrame:
+    """All cells of CSV files as text. Large files are read by many tasks.
+
+    Say that no cell holds line breaks where that is so: a line is a record then, and nothing is shuffled.
+    """
+    if line_breaks:
+        return parsed_csv(read_csv_records(spark, path), columns).select(*columns)
+    raw = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    return spark.read.schema(raw).options(**csv_options(False)).csv(path)
+
+
 def csv_with_header(
     spark: SparkSession,
     path: str,
@@ -52,14 +85,10 @@ def csv_with_header(
 ) -> DataFrame:
     """CSV with a declared schema; missing-value texts become NULL, untrimmed.
 
-    Say that no cell holds line breaks where that is so: big files are then split.
-
     Non-text columns are read as text first, so that a missing-value text in
     them is NULL and any other unreadable value still fails.
     """
-    raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    cells = spark.read.schema(raw).options(**csv_options(line_breaks)).csv(path)
-    cells = null_missing_cells(cells, tokens)
+    cells = null_missing_cells(csv_cells(spark, path, schema.names, line_breaks), tokens)
     return cells.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 

@@ -20,7 +20,8 @@ from millrace import folders
 from millrace.functions.dates import coerce_ts
 from millrace.functions.text import DEFAULT_MISSING, REVIEW_MISSING, clean_text, missing_to_null, trim_blanks
 from millrace.operators.rows import clean_missing_cells, null_missing_cells, sort_by_ts_nulls_last
-from millrace.sources.readers import csv_options
+from millrace.sources.pieces import csv_records, text_pieces
+from millrace.sources.readers import parsed_csv
 from millrace.sources.tables import KeyedTable
 
 _CORRUPT = "_corrupt_record"
@@ -35,13 +36,11 @@ class ReviewLayout:
     """Columns of the files in header order with their types, and the key.
 
     ``content`` and ``at`` get their own cleaning where they are present;
-    all other columns pass through. Without line breaks in cells, files are
-    split over tasks.
+    all other columns pass through.
     """
 
     key: str = "review_id"
     columns: dict[str, str] = field(default_factory=_default_columns)
-    line_breaks: bool = True
 
 
 LAYOUT = ReviewLayout()
@@ -62,25 +61,20 @@ class ReviewPaths:
 def arrivals(
     spark: SparkSession, paths: ReviewPaths, layout: ReviewLayout = LAYOUT, files_per_batch: int | None = None
 ) -> DataFrame:
-    """Stream of raw review rows (all text) with their place of arrival."""
-    fields = ", ".join(f"`{c}` string" for c in layout.columns) + f", {_CORRUPT} string"
-    reader = (
-        spark.readStream.schema(fields)
-        .options(**csv_options(layout.line_breaks), mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT)
-        .option("recursiveFileLookup", "true")
-    )
+    """Stream of the files' lines with their place of arrival; ``review_rows`` makes rows of a batch of them."""
+    reader = spark.readStream.option("recursiveFileLookup", "true")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if paths.archive:
         # The source moves a finished file when a later batch is planned.
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", paths.archive)
-    rows = reader.csv(paths.inbox)
-    return rows.select(
-        "*",
-        F.col("_metadata.file_modification_time").alias("_file_time"),
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-    )
+    return text_pieces(reader, paths.inbox, "\n")
+
+
+def review_rows(lines: DataFrame, layout: ReviewLayout = LAYOUT) -> DataFrame:
+    """Raw review rows (all text) of the files' lines, with their place of arrival; a large file is read by many tasks."""
+    rows = parsed_csv(csv_records(lines), list(layout.columns), _CORRUPT)
+    return rows.withColumnRenamed("_at", "_line")
 
 
 def unreadable(layout: ReviewLayout = LAYOUT) -> Column:
@@ -123,7 +117,7 @@ def query_id(spark: SparkSession, paths: ReviewPaths) -> str:
 def batch_step(
     spark: SparkSession, paths: ReviewPaths, layout: ReviewLayout = LAYOUT
 ) -> Callable[[DataFrame, int], None]:
-    """The work on one micro-batch."""
+    """The work on the rows of one micro-batch."""
     table = KeyedTable(spark, paths.table, layout.key)
 
     def place(folder: str, query: str, batch_id: int) -> str:
@@ -141,8 +135,9 @@ def batch_step(
             log(query, batch_id, "empty")
             return
         # Rows of a file block stay in file order, so the number grows along the block.
+        numbered = raw if "_line" in raw.columns else raw.withColumn("_line", F.monotonically_increasing_id())
         # Two outputs follow: keep the parsed rows, on disk where memory is short.
-        lines = raw.withColumn("_line", F.monotonically_increasing_id()).persist()
+        lines = numbered.persist()
         try:
             bad = unreadable(layout)
             lines.where(bad).write.mode("overwrite").parquet(place(paths.rejects, query, batch_id))
@@ -163,8 +158,9 @@ def start(
     every: str | None = None,
 ) -> StreamingQuery:
     """Start the job: once over all waiting files, or every interval."""
-    rows = arrivals(spark, paths, layout, files_per_batch)
-    writer = rows.writeStream.foreachBatch(batch_step(spark, paths, layout))
+    step = batch_step(spark, paths, layout)
+    lines = arrivals(spark, paths, layout, files_per_batch)
+    writer = lines.writeStream.foreachBatch(lambda batch, number: step(review_rows(batch, layout), number))
     writer = writer.option("checkpointLocation", paths.checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
