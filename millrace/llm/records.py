@@ -112,18 +112,23 @@ class Writer(DataSourceArrowWriter):
     def __init__(self, path: str, width: int):
         self.path, self.width = path, width
 
+    def sequences(self, batch: pa.RecordBatch) -> Iterator[tuple[list, list]]:
+        """Keys and ids of a few rows at a time."""
+        for lo in range(0, batch.num_rows, WRITE_ROWS):
+            part = batch.slice(lo, WRITE_ROWS)
+            yield part.column("key").to_pylist(), part.column("ids").to_pylist()
+
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
         places, size, total = [], 0, 0
         files, folder = _place(self.path)
         out = None
-        for batch in (b.slice(lo, WRITE_ROWS) for b in iterator for lo in range(0, b.num_rows, WRITE_ROWS)):
+        for keys, ids in (few for batch in iterator for few in self.sequences(batch)):
             if out is None:
                 files.create_dir(folder, recursive=True)
                 out = files.open_output_stream(f"{folder}/{name}.rec")
-            rows = zip(batch.column("key").to_pylist(), (v or b"" for v in batch.column("ids").to_pylist()))
-            found = [serialized(key, ids, self.width) for key, ids in rows]
+            found = [serialized(key, v or b"", self.width) for key, v in zip(keys, ids)]
             for frame, payload in zip(frames(found), found):
                 places.append((size, total))
                 size += len(frame)

@@ -14,9 +14,11 @@ become their ids, as the library does; a missing key is kept; no rows give no re
 
 from __future__ import annotations
 
+import json
 import os
+from array import array
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -24,8 +26,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from millrace.llm.records import in_order, read_records, write_records
+from millrace.llm.records import WRITE_ROWS, FramedRecords, Writer, in_order, read_records
 from millrace.session import scratch_dir
 
 KNOWN_PARTS = 500_000
@@ -56,9 +59,11 @@ class Encoder:
 
         self.vocabulary = vocabulary
         self.tokenizer = Tokenizer.from_file(vocabulary.path)
+        if vocabulary.width not in (2, 4):
+            raise ValueError("an id has 2 or 4 bytes")
         if max(self.tokenizer.get_vocab_size(with_added_tokens=True) - 1, vocabulary.end_id) >= 1 << 8 * vocabulary.width:
             raise ValueError(f"ids of {vocabulary.path} don't fit into {vocabulary.width} bytes")
-        self.kind = f"<u{vocabulary.width}"
+        self.kind, self.code = f"<u{vocabulary.width}", "H" if vocabulary.width == 2 else "I"
         self.known: dict[str, bytes] = {}
         if vocabulary.by_piece:
             whole = np.frombuffer(next(self.encoded([PROBE])), self.kind).tolist()
@@ -71,21 +76,25 @@ class Encoder:
             for e in self.tokenizer.encode_batch_fast(texts[lo : lo + AT_ONCE], add_special_tokens=False):
                 yield np.array(e.ids, self.kind).tobytes()
 
-    def merged(self, word: str) -> bytes:
-        """Ids of a run of letters in lower case by the library's merges alone, without its rules for cutting."""
-        return np.array([t.id for t in self.tokenizer.model.tokenize(word.translate(_byte_letters()))], self.kind).tobytes()
+    def merged(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of runs of letters in lower case by the library's merges alone, without its rules for cutting."""
+        model, letters, kind = self.tokenizer.model, _byte_letters(), self.code
+        for w in words:
+            yield array(kind, [t.id for t in model.tokenize(w if w.isascii() else w.translate(letters))]).tobytes()
 
     def parts(self, texts: list[str]) -> list[bytes]:
         """Ids of each part of a piece."""
-        missing = [t for t in texts if t not in self.known]
-        if len(self.known) + len(missing) > KNOWN_PARTS:
-            self.known, missing = {}, texts
-        runs = [t for t in missing if t.isalpha() and LATIN.fullmatch(t)]
-        for t in runs:
-            self.known[t] = self.merged(t)
-        rest = list(set(missing).difference(runs))
-        self.known.update(zip(rest, self.encoded(rest)))
-        return [self.known[t] for t in texts]
+        if len(self.known) > KNOWN_PARTS:
+            self.known = {}
+        known = self.known
+        found = list(map(known.get, texts))
+        missing = [t for t, ids in zip(texts, found) if ids is None]
+        runs = [t for t in missing if t.isalpha() and (t.isascii() or LATIN.fullmatch(t))]
+        known.update(zip(runs, self.merged(runs)))
+        rest = [t for t in missing if t not in known]
+        known.update(zip(rest, self.encoded(rest)))
+        fresh = map(known.__getitem__, missing)
+        return [next(fresh) if ids is None else ids for ids in found]
 
     def ids(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text and the end id, as bytes."""
@@ -98,7 +107,7 @@ class Encoder:
         cut = pc.replace_substring_regex(pc.utf8_lower(words.dictionary), "([^\\p{L}\\p{N}]+|\\p{N})", " \\1 ")
         cut = pc.ascii_split_whitespace(pc.if_else(plain, cut, words.dictionary))
         parts = cut.flatten().dictionary_encode()
-        ids = self.parts(parts.dictionary.to_pylist())
+        ids = self.parts(parts.dictionary.to_numpy(zero_copy_only=False).tolist())
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.vocabulary.width
         flat = np.frombuffer(b"".join(ids), self.kind)
         flat, sizes = _strung(flat, sizes, parts.indices.to_numpy(), cut.offsets.to_numpy())
@@ -148,25 +157,43 @@ def _blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:
         lo, passed = hi, int(sizes[hi - 1])
 
 
-def token_ids(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(key, ids) of (key, text): the ids of every whole text with the end id, as little-endian numbers, row by row."""
+class TokenWriter(Writer):
+    """Encodes the texts on their way into the files."""
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = pc.fill_null(batch.column(1).cast(pa.large_string()), "")
-            for lo, hi in _blocks(texts):
-                ids = encoder(vocabulary).ids(texts.slice(lo, hi - lo))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(ids, pa.binary())], ["key", "ids"])
+    def __init__(self, path: str, vocabulary: Vocabulary):
+        super().__init__(path, vocabulary.width)
+        self.vocabulary = vocabulary
+
+    def sequences(self, batch: pa.RecordBatch) -> Iterator[tuple[list, list]]:
+        texts = pc.fill_null(batch.column("text").cast(pa.large_string()), "")
+        for lo, hi in _blocks(texts):
+            ids = encoder(self.vocabulary).ids(texts.slice(lo, hi - lo))
+            keys = batch.column("key").slice(lo, hi - lo).to_pylist()
+            for at in range(0, len(ids), WRITE_ROWS):
+                yield keys[at : at + WRITE_ROWS], ids[at : at + WRITE_ROWS]
+
+
+class TokenRecords(FramedRecords):
+    """The record files as a sink for texts; the vocabulary comes as JSON."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "token_records"
 
-    return rows.mapInArrow(encode, "key bigint, ids binary")
+    def writer(self, schema, overwrite: bool) -> TokenWriter:
+        return TokenWriter(self.options["path"], Vocabulary(**json.loads(self.options["vocabulary"])))
 
 
 def token_records(docs: DataFrame, vocabulary: Vocabulary, path: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode the texts, write record files to ``path`` (the shared scratch folder, if None) and read them back.
 
-    (file, at, key, start, ids); see ``records``. Texts are sorted before they are encoded, as the
-    sampling of the ranges would run the encoder a second time.
+    (file, at, key, start, ids): the ids of every whole text with the end id; see ``records``. Texts are sorted before they are
+    encoded, as the sampling of the ranges would run the encoder a second time, and encoded by the task that writes them.
     """
-    path = path or scratch_dir(docs.sparkSession, "records")
-    write_records(token_ids(in_order(docs, key, text), vocabulary), path, vocabulary.width)
-    return read_records(docs.sparkSession, path)
+    spark = docs.sparkSession
+    path = path or scratch_dir(spark, "records")
+    spark.dataSource.register(TokenRecords)
+    rows = in_order(docs, key, text).select("key", F.col("value").cast("string").alias("text"))
+    sink = rows.write.format(TokenRecords.name()).option("vocabulary", json.dumps(asdict(vocabulary)))
+    sink.mode("append").save(path)
+    return read_records(spark, path)

@@ -97,8 +97,10 @@ def test_vocabularies_of_another_kind_run_whole():
 
 
 def test_vocabulary_must_fit():
-    with pytest.raises(ValueError, match="1 bytes"):
+    with pytest.raises(ValueError, match="2 or 4 bytes"):
         Encoder(Vocabulary(WORDS.path, width=1))
+    with pytest.raises(ValueError, match="don't fit"):
+        Encoder(Vocabulary(WORDS.path, end_id=1 << 16))
 
 
 def test_keys_missing_repeated_and_extra_columns(docs):
