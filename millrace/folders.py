@@ -31,16 +31,3 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         return bytes(stream.readAllBytes()).decode()
     finally:
         stream.close()
-
-
-def write_new(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file that appears whole and must not exist yet."""
-    at, fs = _at(spark, path)
-    part = spark._jvm.org.apache.hadoop.fs.Path(at.getParent(), f"_{at.getName()}.part")
-    stream = fs.create(part, True)
-    try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()
-    if fs.exists(at) or not fs.rename(part, at):
-        raise FileExistsError(path)

@@ -13,7 +13,7 @@ from millrace.plans.registry import job
 from millrace.plans.roles import Roles
 from millrace.session import scratch_dir, session_setting
 from millrace.sources.readers import csv_options, without_nan
-from millrace.sources.tables import KeyedTable, last_per_key, merge_by_key
+from millrace.sources.tables import last_per_key, merge_by_key, read_keyed, upsert_by_key
 from millrace.sources.writers import write_csv
 from millrace.streaming import reviews as stream
 
@@ -134,11 +134,11 @@ _MERGED_SQL = """select coalesce(n.review_id, o.review_id) as review_id,
 
 @job(_MERGED_SQL.format(extra=""))
 def sink_upsert_by_key(t: Roles) -> DataFrame:
-    table = KeyedTable(t.spark, scratch_dir(t.spark, "reviews"), "review_id")
-    table.upsert(_labelled(t), F.lit(0))
+    table = scratch_dir(t.spark, "reviews")
+    upsert_by_key(_labelled(t), table, "review_id", F.lit(0))
     fields = ["review_id", "content", "score", "at_text"]
-    table.upsert(_batch(t), F.col("seq"), columns=fields)
-    return table.read()
+    upsert_by_key(_batch(t), table, "review_id", F.col("seq"), fields)
+    return read_keyed(t.spark, table)
 
 
 @job("""select coalesce(n.review_id, o.review_id) as review_id,
@@ -217,8 +217,7 @@ def stream_empty_branch(t: Roles) -> DataFrame:
     stream.run_once(t.spark, paths, FILES)
     _drop(_as_file(t.reviews), paths, "second")
     stream.run_once(t.spark, paths, FILES)
-    table = KeyedTable(t.spark, paths.table, FILES.key)
-    loaded = table.read().agg(F.lit("loaded").alias("outcome"), F.count(F.lit(1)).alias("reviews"))
+    loaded = read_keyed(t.spark, paths.table).agg(F.lit("loaded").alias("outcome"), F.count(F.lit(1)).alias("reviews"))
     batches = stream.outcomes(t.spark, paths).groupBy("outcome").agg(F.count(F.lit(1)).alias("batches"))
     joined = batches.join(loaded, "outcome", "left")
     return joined.select("outcome", "batches", F.coalesce("reviews", F.lit(0)).alias("reviews"))
@@ -229,7 +228,7 @@ def stream_clean_chain(t: Roles) -> DataFrame:
     paths = _paths(t)
     _drop(_as_file(t.reviews), paths, "first")
     stream.run_once(t.spark, paths, FILES)
-    return stream.ordered_export(KeyedTable(t.spark, paths.table, FILES.key).read(), FILES)
+    return stream.ordered_export(read_keyed(t.spark, paths.table), FILES)
 
 
 @job("select review_id, nullif(content, '') as content, score, at_text as \"at\" from v_reviews")
@@ -264,4 +263,4 @@ def stream_upsert(t: Roles) -> DataFrame:
     stream.run_once(t.spark, paths, FILES)
     _drop(_as_file(_labelled_reviews(t)), paths, "second")
     stream.run_once(t.spark, paths, FILES)
-    return KeyedTable(t.spark, paths.table, FILES.key).read()
+    return read_keyed(t.spark, paths.table)

@@ -64,23 +64,46 @@ def local_session(cores: str | int = "*", name: str = "millrace") -> SparkSessio
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder path below the shared folder the cluster names.
 
-    The folder comes from ``spark.checkpoint.dir``; where that is unset, the
-    warehouse folder, which is shared too, takes its place. The folder is removed
-    when the process ends.
+    The folder comes from ``spark.checkpoint.dir``. Where that is unset, the warehouse folder takes its
+    place, which must be shared too: on a cluster a folder of the driver's own disk is an error. The folder is
+    removed when the process ends, or by ``discard``.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local[") and base.split(":", 1)[0] in ("file", base):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share: {base} is a local one")
     path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     _SCRATCH.append((spark, path))
     return path
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder that nothing reads any more."""
+    folders.remove(spark, path)
+    _SCRATCH[:] = [(s, p) for s, p in _SCRATCH if p != path]
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write the frame once below the scratch folder and read it back.
 
     This cuts the lineage: what follows can read the rows several times, and a
     lost executor costs no more than the tasks after the write.
     """
+    return _read_back(df, scratch_dir(df.sparkSession, label))
+
+
+@contextlib.contextmanager
+def staged(df: DataFrame, label: str):
+    """The same for a while: the folder is removed at the end."""
     path = scratch_dir(df.sparkSession, label)
+    try:
+        yield _read_back(df, path)
+    finally:
+        discard(df.sparkSession, path)
+
+
+def _read_back(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace import folders
+from millrace.session import staged
 
 _BUCKET = "_bucket"
 
@@ -114,105 +113,67 @@ def merge_statement(table: str, batch_view: str, key: str, columns: Sequence[str
     )
 
 
-class KeyedTable:
-    """Parquet table with one row per key, in hash buckets of the key.
+def _log(path: str) -> str:
+    return f"{path.rstrip('/')}_batches"
 
-    An upsert rewrites the buckets its batch touches and leaves the others. Each
-    version has a manifest that names, for every bucket, the version whose folder
-    holds it; a version counts once its manifest is there, so a lost executor or a
-    failed batch leaves the last good version in place. Choose ``buckets`` for the
-    table's final size when it is made; the manifest keeps the number.
 
-    A writer that may repeat itself names itself and numbers its batches: a number
-    up to its last one has no further effect, whatever other writers did.
-    """
+def applied_batches(spark: SparkSession, path: str) -> DataFrame:
+    """(writer, number, buckets): the batches a keyed table holds; ``writer`` is NULL for unnumbered ones."""
+    schema = "writer string, number bigint, buckets int"
+    if not folders.names(spark, _log(path)):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(_log(path))
+
+
+def read_keyed(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of a keyed table, None while there is none. Buckets written before a column came lack it."""
+    if not any(n.startswith(_BUCKET) for n in folders.names(spark, path)):
+        return None
+    return spark.read.option("mergeSchema", "true").parquet(path).drop(_BUCKET)
+
 
-    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 16):
-        self.spark, self.path, self.key, self._buckets = spark, path.rstrip("/"), key, buckets
-
-    def versions(self) -> list[int]:
-        return [int(n[:-5]) for n in folders.names(self.spark, f"{self.path}/manifests") if n[0].isdigit()]
-
-    def _manifest(self, version: int) -> dict:
-        return json.loads(folders.read_text(self.spark, f"{self.path}/manifests/{version:09d}.json"))
-
-    def _folder(self, version: int) -> str:
-        return f"{self.path}/data/{version:09d}"
-
-    def _rows(self, manifest: dict, buckets: Sequence[int]) -> DataFrame:
-        """Stored rows of some buckets."""
-        schema = T.StructType.fromJson(manifest["schema"])
-        held = [f"{self._folder(manifest['buckets'][str(b)])}/{_BUCKET}={b}" for b in buckets if str(b) in manifest["buckets"]]
-        return self.spark.read.schema(schema).parquet(*held) if held else self.spark.createDataFrame([], schema)
-
-    def read(self, version: int | None = None) -> DataFrame | None:
-        """The newest or a given version, None while the table is empty."""
-        versions = self.versions()
-        if not versions:
-            return None
-        manifest = self._manifest(versions[-1] if version is None else version)
-        return self._rows(manifest, range(manifest["count"]))
-
-    def upsert(
-        self,
-        batch: DataFrame,
-        sequence: Column,
-        writer: str | None = None,
-        number: int = 0,
-        stamp: str | None = None,
-        now: Column | None = None,
-        keep: int = 2,
-        columns: Sequence[str] | None = None,
-    ) -> int:
-        """Merge a batch and return the version that holds it.
-
-        ``writer`` and ``number`` make a repeated batch harmless. ``keep`` is the
-        number of versions that stay readable; what only older ones use is removed.
-        """
-        versions = self.versions()
-        old = self._manifest(versions[-1]) if versions else {"count": self._buckets, "buckets": {}, "writers": {}}
-        if writer is not None and number <= old["writers"].get(writer, -1):
-            return versions[-1]
-        version = versions[-1] + 1 if versions else 0
-        bucket = F.pmod(F.xxhash64(self.key), F.lit(old["count"])).alias(_BUCKET)
-        # Written first: the batch is read three times from here on.
-        staged = f"{self.path}/staged/{uuid.uuid4().hex}"
-        last_per_key(batch, self.key, sequence, columns).select("*", bucket).write.parquet(staged)
-        try:
-            whole = self.spark.read.parquet(staged)
-            touched = sorted(r[0] for r in whole.select(_BUCKET).distinct().collect())
-            latest = whole.drop(_BUCKET)
-            if versions:
-                merged = merge_by_key(self._rows(old, touched), latest, self.key, stamp, now)
-            else:
-                merged = latest.withColumn(stamp, now) if stamp else latest
+def upsert_by_key(
+    batch: DataFrame,
+    path: str,
+    key: str,
+    sequence: Column,
+    columns: Sequence[str] | None = None,
+    buckets: int = 16,
+    writer: str | None = None,
+    number: int = 0,
+    stamp: str | None = None,
+    now: Column | None = None,
+) -> bool:
+    """Set the last record per key of a batch over a plain Parquet table partitioned by a hash of the key.
+
+    Only the partitions that the batch touches are read, merged and replaced (dynamic partition overwrite). Choose
+    ``buckets`` for the table's final size; another number later is an error. A writer that may repeat itself names itself and
+    numbers its batches: a number up to its last one in the log of batches has no effect, and False is returned.
+    The log is written last. A batch that failed between its partitions is repeated, and as
+    setting the same records twice changes nothing, the table ends the same.
+
+    One batch at a time: where several writers meet, use a catalog with row-level writes and ``merge_statement``.
+    """
+    spark = batch.sparkSession
+    past = applied_batches(spark, path).groupBy("writer").agg(F.max("number").alias("number"), F.max("buckets").alias("buckets")).collect()
+    for known in past:
+        if known["buckets"] != buckets:
+            raise ValueError(f"{path} has {known['buckets']} buckets, not {buckets}")
+        if writer is not None and known["writer"] == writer and number <= known["number"]:
+            return False
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias(_BUCKET)
+    # Written first: the batch is read three times from here on.
+    with staged(last_per_key(batch, key, sequence, columns).select("*", bucket), "batch") as latest:
+        touched = sorted(r[0] for r in latest.select(_BUCKET).distinct().collect())
+        new = latest.drop(_BUCKET)
+        if touched and read_keyed(spark, path) is not None:
+            held = spark.read.option("mergeSchema", "true").parquet(path).where(F.col(_BUCKET).isin(touched))
+            merged = merge_by_key(held.drop(_BUCKET), new, key, stamp, now)
+        else:
+            merged = new.withColumn(stamp, now) if stamp else new
+        if touched:
             dealt = merged.select("*", bucket).hint("rebalance", _BUCKET)
-            dealt.write.mode("overwrite").partitionBy(_BUCKET).parquet(self._folder(version))
-        finally:
-            folders.remove(self.spark, staged)
-        manifest = {
-            "count": old["count"],
-            "schema": merged.schema.jsonValue(),
-            "buckets": old["buckets"] | {str(b): version for b in touched},
-            "writers": old["writers"] | ({writer: number} if writer is not None else {}),
-        }
-        folders.write_new(self.spark, f"{self.path}/manifests/{version:09d}.json", json.dumps(manifest))
-        self._forget(keep)
-        return version
-
-    def _forget(self, keep: int) -> None:
-        """Remove older manifests and the buckets that no remaining one names."""
-        versions = self.versions()
-        for v in versions[:-keep]:
-            folders.remove(self.spark, f"{self.path}/manifests/{v:09d}.json")
-        used = {(v, b) for m in map(self._manifest, versions[-keep:]) for b, v in m["buckets"].items()}
-        for name in folders.names(self.spark, f"{self.path}/data"):
-            if int(name) > versions[-1]:
-                continue  # being written
-            parts = [n for n in folders.names(self.spark, f"{self.path}/data/{name}") if n.startswith(f"{_BUCKET}=")]
-            left = [n for n in parts if (int(name), n.split("=")[1]) in used]
-            if not left:
-                folders.remove(self.spark, f"{self.path}/data/{name}")
-                continue
-            for n in set(parts) - set(left):
-                folders.remove(self.spark, f"{self.path}/data/{name}/{n}")
+            dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(_BUCKET).parquet(path)
+    entry = spark.createDataFrame([(writer, number, buckets)], "writer string, number bigint, buckets int")
+    entry.coalesce(1).write.mode("append").parquet(_log(path))
+    return True

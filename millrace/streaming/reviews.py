@@ -22,7 +22,7 @@ from millrace.functions.text import DEFAULT_MISSING, REVIEW_MISSING, clean_text,
 from millrace.operators.rows import clean_missing_cells, null_missing_cells, sort_by_ts_nulls_last
 from millrace.sources.pieces import csv_records, text_pieces
 from millrace.sources.readers import parsed_csv
-from millrace.sources.tables import KeyedTable
+from millrace.sources.tables import upsert_by_key
 
 _CORRUPT = "_corrupt_record"
 
@@ -118,8 +118,6 @@ def batch_step(
     spark: SparkSession, paths: ReviewPaths, layout: ReviewLayout = LAYOUT
 ) -> Callable[[DataFrame, int], None]:
     """The work on the rows of one micro-batch."""
-    table = KeyedTable(spark, paths.table, layout.key)
-
     def place(folder: str, query: str, batch_id: int) -> str:
         return f"{folder}/query={query}/batch={batch_id}"
 
@@ -142,7 +140,7 @@ def batch_step(
             bad = unreadable(layout)
             lines.where(bad).write.mode("overwrite").parquet(place(paths.rejects, query, batch_id))
             good = clean_reviews(lines.where(~bad), layout)
-            table.upsert(good, last_wins(layout), writer=query, number=batch_id, columns=list(layout.columns))
+            upsert_by_key(good, paths.table, layout.key, last_wins(layout), list(layout.columns), writer=query, number=batch_id)
         finally:
             lines.unpersist()
         log(query, batch_id, "loaded")

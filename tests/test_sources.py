@@ -146,64 +146,71 @@ def test_full_refresh_is_repeatable_and_checks_columns(spark, tmp_path):
 
 
 def test_upsert_rules(spark, tmp_path):
-    table = tables.KeyedTable(spark, str(tmp_path / "t"), "id")
-    assert table.read() is None
-    table.upsert(spark.createDataFrame([(1, "a", 5), (2, "b", 6)], "id int, t string, kept int"), F.lit(0))
+    path = str(tmp_path / "t")
+    assert tables.read_keyed(spark, path) is None
+    tables.upsert_by_key(spark.createDataFrame([(1, "a", 5), (2, "b", 6)], "id int, t string, kept int"), path, "id", F.lit(0))
     batch = spark.createDataFrame(
         [(2, "x", 1, "n"), (2, None, 2, "n"), (3, "c", 1, "n"), (None, "z", 1, "n")], "id int, t string, seq int, extra string"
     )
-    table.upsert(batch, F.col("seq"), columns=["id", "t", "extra"])
-    got = {r["id"]: (r["t"], r["kept"], r["extra"]) for r in table.read().collect()}
+    tables.upsert_by_key(batch, path, "id", F.col("seq"), columns=["id", "t", "extra"])
+    got = {r["id"]: (r["t"], r["kept"], r["extra"]) for r in tables.read_keyed(spark, path).collect()}
     assert got == {1: ("a", 5, None), 2: (None, 6, "n"), 3: ("c", None, "n")}
 
 
 def test_repeated_batch_of_a_writer_changes_nothing(spark, tmp_path):
-    table = tables.KeyedTable(spark, str(tmp_path / "t"), "id")
-    one = lambda v: spark.createDataFrame([(1, v)], "id int, v int")
+    path = str(tmp_path / "t")
+    put_one = lambda v, **by: tables.upsert_by_key(spark.createDataFrame([(1, v)], "id int, v int"), path, "id", F.lit(0), **by)
+    value = lambda: tables.read_keyed(spark, path).first()["v"]
     for n in range(3):
-        table.upsert(one(n), F.lit(0), writer="a", number=n)
-    table.upsert(one(99), F.lit(0), writer="a", number=2)
-    table.upsert(one(98), F.lit(0), writer="a", number=0)
-    assert table.read().first()["v"] == 2
-    table.upsert(one(50), F.lit(0), writer="b", number=0)
-    assert table.read().first()["v"] == 50
-    table.upsert(one(51), F.lit(0))
-    assert table.read().first()["v"] == 51
-
-
-def test_only_touched_buckets_are_rewritten_and_old_ones_go(spark, tmp_path):
-    table = tables.KeyedTable(spark, str(tmp_path / "t"), "id", buckets=8)
-    table.upsert(spark.range(200).withColumn("v", F.lit(0)), F.lit(0))
-    before = {f: os.path.getmtime(f) for f in glob.glob(f"{tmp_path}/t/data/*/*/part-*.parquet")}
-    table.upsert(spark.createDataFrame([(7, 1)], "id bigint, v int"), F.lit(0))
-    fresh = [f for f in glob.glob(f"{tmp_path}/t/data/*/*/part-*.parquet") if f not in before]
-    assert len({os.path.dirname(f) for f in fresh}) == 1 and all(os.path.getmtime(f) == m for f, m in before.items())
-    assert {r["id"]: r["v"] for r in table.read().collect()} == {i: int(i == 7) for i in range(200)}
-    assert {r["v"] for r in table.read(0).collect()} == {0}
-    table.upsert(spark.createDataFrame([(7, 2)], "id bigint, v int"), F.lit(0), keep=1)
-    assert table.versions() == [2] and table.read().where("id = 7").first()["v"] == 2
-    # The untouched buckets of the first version, and the touched one of the last.
-    assert len(glob.glob(f"{tmp_path}/t/data/*/_bucket=*")) == 8
-    assert not glob.glob(f"{tmp_path}/t/staged/*")
-
-
-def test_unfinished_version_is_not_read(spark, tmp_path):
-    table = tables.KeyedTable(spark, str(tmp_path / "t"), "id")
-    table.upsert(spark.createDataFrame([(1, 0)], "id int, v int"), F.lit(0))
-    spark.createDataFrame([(1, 5)], "id int, v int").write.parquet(f"{tmp_path}/t/data/000000001/_bucket=0")
-    assert table.versions() == [0] and table.read().first()["v"] == 0
-    table.upsert(spark.createDataFrame([(1, 1)], "id int, v int"), F.lit(0))
-    assert table.versions() == [0, 1] and table.read().first()["v"] == 1
+        assert put_one(n, writer="a", number=n)
+    assert not put_one(99, writer="a", number=2) and not put_one(98, writer="a", number=0)
+    assert value() == 2
+    assert put_one(50, writer="b", number=0) and value() == 50
+    assert put_one(51) and value() == 51
+    assert sorted(map(str, (tuple(r) for r in tables.applied_batches(spark, path).collect()))) == sorted(
+        map(str, [("a", 0, 16), ("a", 1, 16), ("a", 2, 16), ("b", 0, 16), (None, 0, 16)])
+    )
+
+
+def test_only_touched_buckets_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.upsert_by_key(spark.range(200).withColumn("v", F.lit(0)), path, "id", F.lit(0), buckets=8)
+    parts = lambda: {f: os.path.getmtime(f) for f in glob.glob(f"{path}/*/part-*.parquet")}
+    before = parts()
+    change = spark.createDataFrame([(7, 1)], "id bigint, v int")
+    tables.upsert_by_key(change, path, "id", F.lit(0), buckets=8)
+    after = parts()
+    assert len({os.path.dirname(f) for f in set(before) - set(after)}) == len({os.path.dirname(f) for f in set(after) - set(before)}) == 1
+    assert all(after[f] == m for f, m in before.items() if f in after)
+    assert {r["id"]: r["v"] for r in tables.read_keyed(spark, path).collect()} == {i: int(i == 7) for i in range(200)}
+    with pytest.raises(ValueError, match="8 buckets"):
+        tables.upsert_by_key(change, path, "id", F.lit(0), buckets=16)
+
+
+def test_batch_that_failed_before_its_log_is_repeated(spark, tmp_path):
+    """The same records set twice, as a query does that stops between the table and the log."""
+    path, day = str(tmp_path / "t"), lambda d: F.lit(d).cast("timestamp_ntz")
+    rows = spark.range(50).withColumn("v", F.lit(0))
+    tables.upsert_by_key(rows, path, "id", F.lit(0), writer="q", number=0, stamp="at", now=day("2024-01-01"))
+    change = spark.range(20, 70).withColumn("v", F.lit(1))
+    again = dict(writer="q", number=1, stamp="at")
+    assert tables.upsert_by_key(change, path, "id", F.lit(0), **again, now=day("2024-02-01"))
+    done = sorted(tuple(r) for r in tables.read_keyed(spark, path).collect())
+    log = str(tmp_path / "t_batches")
+    kept = tables.applied_batches(spark, path).where("number = 0").collect()
+    spark.createDataFrame(kept, "writer string, number bigint, buckets int").write.mode("overwrite").parquet(log)
+    assert tables.upsert_by_key(change, path, "id", F.lit(0), **again, now=day("2024-03-01"))
+    assert sorted(tuple(r) for r in tables.read_keyed(spark, path).collect()) == done
 
 
 def test_empty_batch_and_empty_table(spark, tmp_path):
-    table = tables.KeyedTable(spark, str(tmp_path / "t"), "id")
+    path = str(tmp_path / "t")
     none = spark.createDataFrame([], "id int, v int")
-    table.upsert(none, F.lit(0))
-    assert table.read().collect() == []
-    table.upsert(spark.createDataFrame([(1, 1)], "id int, v int"), F.lit(0))
-    table.upsert(none, F.lit(0))
-    assert [tuple(r) for r in table.read().collect()] == [(1, 1)]
+    tables.upsert_by_key(none, path, "id", F.lit(0))
+    assert tables.read_keyed(spark, path) is None
+    tables.upsert_by_key(spark.createDataFrame([(1, 1)], "id int, v int"), path, "id", F.lit(0))
+    tables.upsert_by_key(none, path, "id", F.lit(0))
+    assert [tuple(r) for r in tables.read_keyed(spark, path).collect()] == [(1, 1)]
 
 
 def test_merge_rules_without_hints(spark, rows):

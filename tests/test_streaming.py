@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from millrace.sources.tables import KeyedTable
+from millrace.sources.tables import applied_batches, read_keyed
 from millrace.streaming import reviews as stream
 
 FILES = stream.ReviewLayout(columns={"review_id": "bigint", "content": "string", "score": "double", "at": "string"})
@@ -25,7 +25,7 @@ def arrive(paths, name, body):
 
 
 def table(spark, paths):
-    df = KeyedTable(spark, paths.table, "review_id").read()
+    df = read_keyed(spark, paths.table)
     return {} if df is None else {r["review_id"]: (r["content"], r["score"], r["at"]) for r in df.collect()}
 
 
@@ -54,7 +54,7 @@ def test_cleaning_and_last_record_wins(spark, paths):
     assert got[3] == ("-", 3.5, None)
     assert got[4] == ("-", None, datetime.datetime(2024, 1, 3))
     assert got[5] == (None, 1.0, datetime.datetime(2024, 1, 3))
-    undated = [r["review_id"] for r in stream.ordered_export(KeyedTable(spark, paths.table, "review_id").read()).collect()]
+    undated = [r["review_id"] for r in stream.ordered_export(read_keyed(spark, paths.table)).collect()]
     assert undated == [1, 4, 5, 2, 3]
 
 
@@ -66,7 +66,7 @@ def test_each_file_is_taken_once_and_later_files_win(spark, paths):
     stream.run_once(spark, paths, FILES)
     got = table(spark, paths)
     assert got[1][:2] == ("uno", 2.0) and got[2][0] == "two"
-    assert KeyedTable(spark, paths.table, "review_id").versions() == [0, 1]
+    assert sorted(r["number"] for r in applied_batches(spark, paths.table).collect()) == [0, 1]
 
 
 def test_repeated_batch_changes_nothing(spark, paths):
@@ -77,7 +77,7 @@ def test_repeated_batch_changes_nothing(spark, paths):
     step(batch, 0)
     step(batch, 0)
     assert table(spark, paths)[1][:2] == ("a", 1.0)
-    assert KeyedTable(spark, paths.table, "review_id").versions() == [0]
+    assert [r["number"] for r in applied_batches(spark, paths.table).collect()] == [0]
 
 
 def test_new_checkpoint_on_an_old_table_loads(spark, paths, tmp_path):
@@ -123,7 +123,7 @@ def test_text_keys_and_other_columns(spark, paths):
     layout = stream.ReviewLayout("id", {"id": "string", "user": "string", "content": "string", "likes": "int"})
     arrive(paths, "a.csv", "id,user,content,likes\nab-1, Ann ,hi!,3\nab-2,none,yo,x\n null ,Bob,gone,1\nnull,Bob,gone,1\n")
     stream.run_once(spark, paths, layout)
-    got = KeyedTable(spark, paths.table, "id").read().collect()
+    got = read_keyed(spark, paths.table).collect()
     assert {r["id"]: (r["user"], r["content"], r["likes"]) for r in got} == {
         "ab-1": ("Ann", "hi!", 3), "ab-2": ("-", "yo", None)
     }
