@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from millrace.session import scratch_dir
+from millrace.session import scratch_dir, written
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
@@ -43,6 +45,25 @@ def assign_keys(df: DataFrame, order: Sequence[str], name: str, start: int = 1)
     )
 
 
+def number_within(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """Number the rows of each group from 1 along the order columns; missing group values are a group.
+
+    Groups are counted first, and only rows of groups with several are sorted: by ranges of group and order, so
+    a group that holds most rows is dealt over many tasks.
+    """
+    same = lambda a, b: reduce(and_, (a[c].eqNullSafe(b[f"_{c}"]) for c in group))
+    renamed = lambda g: g.withColumnsRenamed({c: f"_{c}" for c in group})
+    counted = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    # Written, so that the joins know how few they are.
+    several = renamed(written(counted.select(*group), "several"))
+    single = df.join(several, same(df, several), "left_anti").withColumn(name, F.lit(1).cast("bigint"))
+    repeated = df.join(several, same(df, several), "left_semi").withColumn("_tie", F.monotonically_increasing_id())
+    placed = assign_keys(repeated, [*group, *order, "_tie"], "_place")
+    firsts = renamed(placed.groupBy(*group).agg(F.min("_place").alias("_first")))
+    ranked = placed.join(firsts, same(placed, firsts)).withColumn(name, F.col("_place") - F.col("_first") + 1)
+    return single.unionAll(ranked.select(*single.columns))
+
+
 def next_key(df: DataFrame, key: str) -> int:
     """The id that follows the largest one in use."""
     return (df.agg(F.max(key)).first()[0] or 0) + 1

@@ -10,8 +10,9 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
+from millrace.operators.keys import number_within
+from millrace.session import written
 from millrace.sources.readers import literal_rows
 
 AS_OF = "2020-06-15"
@@ -94,37 +95,39 @@ class Roles:
             (F.col("k") + 1).alias("store_id"),
         )
 
+    @property
+    def _orders(self) -> DataFrame:
+        return self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
+
     @cached_property
-    def _lines_with_orders(self) -> DataFrame:
-        """Every order line with an id of its own: order, line number, and place among lines of equal number."""
-        orders = self.table("orders").select(
-            F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"
-        )
-        same = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*_LINE_ORDER)
-        lines = self.table("lineitem").join(orders, "l_orderkey")
-        return lines.withColumn("line", _line_id() * 1_000_000 + F.row_number().over(same))
+    def _numbered_lines(self) -> DataFrame:
+        """Every order line with an id of its own: order, line number, and place among lines of equal number.
+
+        Written once for all roles that name lines.
+        """
+        numbered = number_within(self.table("lineitem"), ["l_orderkey", "l_linenumber"], _LINE_ORDER, "_place")
+        lines = numbered.withColumn("line", _line_id() * 1_000_000 + F.col("_place"))
+        used = ["line", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_linestatus", "l_shipdate"]
+        return written(lines.select(*used).join(self._orders, "l_orderkey"), "lines")
+
+    @cached_property
+    def rental_facts(self) -> DataFrame:
+        """Rentals without their ids, straight from the lines."""
+        return self.table("lineitem").join(self._orders, "l_orderkey").select(*_rental_columns())
 
     @cached_property
     def rental(self) -> DataFrame:
-        back = F.date_add(F.to_date("o_orderdate"), F.col("l_quantity").cast("int")).cast("timestamp_ntz")
-        return self._lines_with_orders.select(
-            F.col("line").alias("rental_id"),
-            F.col("o_orderdate").alias("rental_date"),
-            (F.col("l_partkey") * 2 + F.col("l_linenumber") % 2).alias("inventory_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.when(F.col("l_linestatus") == "F", back).alias("return_date"),
-        )
+        return self._numbered_lines.select(F.col("line").alias("rental_id"), *_rental_columns())
+
+    @cached_property
+    def payment_facts(self) -> DataFrame:
+        """Payments without their ids, straight from the lines."""
+        return self.table("lineitem").join(self._orders, "l_orderkey").select(*_payment_columns())
 
     @cached_property
     def payment(self) -> DataFrame:
-        whole = F.floor(F.col("l_extendedprice") / 1000).cast("int")
-        return self._lines_with_orders.select(
-            F.col("line").alias("payment_id"),
-            F.col("line").alias("rental_id"),
-            F.col("o_custkey").alias("customer_id"),
-            (whole + F.lit("0.99").cast("decimal(3,2)")).cast("decimal(5,2)").alias("amount"),
-            F.col("l_shipdate").alias("payment_date"),
-        )
+        line = F.col("line")
+        return self._numbered_lines.select(line.alias("payment_id"), line.alias("rental_id"), *_payment_columns())
 
     @cached_property
     def address(self) -> DataFrame:
@@ -234,6 +237,25 @@ def _line_id():
     return F.col("l_orderkey") * 10 + F.col("l_linenumber")
 
 
+def _rental_columns():
+    back = F.date_add(F.to_date("o_orderdate"), F.col("l_quantity").cast("int")).cast("timestamp_ntz")
+    return (
+        F.col("o_orderdate").alias("rental_date"),
+        (F.col("l_partkey") * 2 + F.col("l_linenumber") % 2).alias("inventory_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.when(F.col("l_linestatus") == "F", back).alias("return_date"),
+    )
+
+
+def _payment_columns():
+    whole = F.floor(F.col("l_extendedprice") / 1000).cast("int")
+    return (
+        F.col("o_custkey").alias("customer_id"),
+        (whole + F.lit("0.99").cast("decimal(3,2)")).cast("decimal(5,2)").alias("amount"),
+        F.col("l_shipdate").alias("payment_date"),
+    )
+
+
 def _names(full: str):
     part = lambda n: F.split_part(F.col(full), F.lit("#"), F.lit(n))
     return part(1).alias("first_name"), part(2).alias("last_name")

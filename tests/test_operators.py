@@ -437,3 +437,18 @@ def test_listed_texts_number_each_group(spark, rows):
 
     df = spark.createDataFrame([("a", "y"), ("a", "x"), ("b", "z"), ("a", "y"), (None, "q")], "g string, t string")
     assert rows(listed_texts(df, ["g"], "t")) == [("a", 1, "x"), ("a", 2, "y"), ("a", 3, "y"), ("b", 1, "z")]
+
+
+def test_number_within_groups(spark):
+    from pyspark.sql import Window
+
+    from millrace.operators.keys import number_within
+
+    data = [(i % 7 if i % 3 else 5, None if i % 11 == 0 else i % 4, i * 37 % 101) for i in range(600)] + [(99, 1, 1), (5, 0, 3), (5, 0, 3)]
+    df = spark.createDataFrame(data, "g int, h int, v int").repartition(5)
+    got = number_within(df, ["g", "h"], ["v"], "n")
+    wanted = df.withColumn("n", F.row_number().over(Window.partitionBy("g", "h").orderBy("v")).cast("bigint"))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, wanted.collect()))
+    assert number_within(df.limit(0), ["g"], ["v"], "n").collect() == []
+    alone = number_within(spark.range(5), ["id"], [], "n")
+    assert {r["n"] for r in alone.collect()} == {1}

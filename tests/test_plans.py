@@ -42,6 +42,22 @@ def test_facts_are_reduced_before_dimension_joins(spark, small):
     assert plan.count("partial_sum") >= 4
 
 
+ROLE_QUERIES = ["sales_by_category", "sales_by_store", "top1_with_ties", "join_inner_chain", "filter_like_or", "check_not_null"]
+
+
+@pytest.mark.parametrize("name", ROLE_QUERIES)
+def test_lines_are_numbered_without_a_window_and_read_once(spark, small, name):
+    """Both line roles read one written table; lineitem itself isn't in the plan any more, and no window is over lines."""
+    plan = plan_of(contract.queries()[name](spark, small))
+    assert "lineitem" not in plan and "Window" not in plan
+    assert "/lines-" in plan and "l_suppkey" not in plan
+
+
+def test_roles_without_ids_prune_columns(spark, small):
+    plan = plan_of(contract.queries()["top10_with_ties"](spark, small))
+    assert "Window" not in plan and "l_extendedprice" not in plan
+
+
 def test_series_are_windowed_in_chunks(spark, small):
     t = Roles(spark, small)
     plan = plan_of(max_after(t.series, "series_id", "pos", "x"))
