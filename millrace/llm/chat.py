@@ -13,14 +13,14 @@ turn, marked ``over_budget``. The loss mask holds the character spans of the ass
 texts that are new in a window; what is repeated is masked out, so each assistant text
 is a target once.
 
-Conversations are cut into segments of ``segment_turns`` turn numbers; windows never
-cross a segment, and each segment is one unit of work, which gets the system turn and
+Conversations are cut into segments of ``segment_turns`` turns by rank, whatever their turn numbers; windows
+never cross a segment, and each segment is one unit of work, which gets the system turn and
 the history it needs as extra rows. Rows are sorted by Spark and streamed, so memory
 holds one window.
 
 Defined cases: a missing text or role is empty; a missing turn number comes last; a
 missing conversation id is a conversation; equal turn numbers are ordered by role
-and text, and repeated rows are repeated turns; the system turn is the first row with
+and text, and repeated rows are repeated turns; gaps between turn numbers, negative and very large ones mean nothing; the system turn is the first row with
 role ``system``, and history does not reach back over it; an empty table gives no windows.
 """
 
@@ -37,6 +37,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.common import beside
+from millrace.operators.keys import assign_keys
+from millrace.session import written
+
 LAST_TURN = 1 << 62  # stands for a missing turn number
 CONTROL = re.compile(r"<(?=/?turn>|/role>)")
 RENDERED = re.compile(r"<turn>(.*?)</role>(.*?)</turn>\n", re.DOTALL)
@@ -196,17 +200,14 @@ def _pack(batches: Iterator[pa.RecordBatch], budget: Budget, count) -> Iterator[
                 if packer:
                     put(packer.close())
                 packer, group, n, reached = Packer(budget, count), (r["conv"], r["seg"]), 0, None
-            place = (r["turn"], r["role"], r["text"])
             t = packer.turn(r["role"], r["text"])
             if r["kind"] == NEW:
                 put(packer.add(r["turn"], t))
             elif r["kind"] == CONTEXT_SYSTEM:
                 packer.past(t)
-                reached = place
-            elif reached is None or place > reached:
+                reached = r["at"]
+            elif reached is None or r["at"] > reached:  # history before the system turn, and that turn itself, don't count
                 packer.past(t)
-            elif place == reached:  # the system turn itself; a repeated row of it is history
-                reached = place[:2]
             if size > 4_000_000:
                 yield _flush(kind, rows)
                 rows, size = [], 0
@@ -216,37 +217,61 @@ def _pack(batches: Iterator[pa.RecordBatch], budget: Budget, count) -> Iterator[
         yield _flush(kind, rows)
 
 
+def _segments(rows: DataFrame, size: int) -> DataFrame:
+    """The rows with ``seg``, the segment by their rank in the conversation, and ``at``, that rank from 0 where there are several.
+
+    Ranks are needed in conversations of more than one segment only; these are counted first and sorted by ranges,
+    so a conversation that holds most rows is dealt over many tasks.
+    """
+    counts = rows.groupBy(F.struct("conv").alias("_conv")).agg(F.count(F.lit(1)).alias("_n"))
+    long = beside(written(counts.where(F.col("_n") > size).select("_conv"), "long-conversations"))
+    keyed = rows.withColumn("_conv", F.struct("conv"))
+    none = F.lit(None).cast("bigint")
+    short = keyed.join(long, "_conv", "left_anti").withColumns({"seg": F.lit(0).cast("bigint"), "at": none})
+    tied = keyed.join(long, "_conv", "left_semi").withColumn("_tie", F.monotonically_increasing_id())
+    placed = assign_keys(tied, ["conv", "turn", "role", "text", "_tie"], "_place")
+    firsts = placed.groupBy("_conv").agg(F.min("_place").alias("_first"))
+    ranked = placed.join(beside(written(firsts, "first-turns")), "_conv").withColumn("at", F.col("_place") - F.col("_first"))
+    ranked = ranked.withColumn("seg", F.expr(f"at div {size}"))
+    columns = ["conv", "seg", "at", "turn", "role", "text"]
+    return short.select(*columns).unionAll(ranked.select(*columns))
+
+
 def chat_windows(turns: DataFrame, budget: Budget = Budget(), count=count_tokens) -> DataFrame:
     """The windows of (conv_id, turn, role, text): formatted text, loss spans, what is repeated.
 
     ``count`` gives the tokens of a rendered turn; pass a tokenizer's own count to pack for a model.
     """
     turn = F.coalesce(F.col("turn").cast("bigint"), F.lit(LAST_TURN))
-    rows = turns.select(
-        F.col("conv_id").alias("conv"),
-        F.floor(turn / budget.segment_turns).cast("bigint").alias("seg"),
-        turn.alias("turn"),
-        F.coalesce("role", F.lit("")).alias("role"),
-        F.coalesce("text", F.lit("")).alias("text"),
+    rows = _segments(
+        turns.select(
+            F.col("conv_id").alias("conv"),
+            turn.alias("turn"),
+            F.coalesce("role", F.lit("")).alias("role"),
+            F.coalesce("text", F.lit("")).alias("text"),
+        ),
+        budget.segment_turns,
     )
     new = rows.withColumn("kind", F.lit(NEW))
     # What a segment needs from the ones before it; conversations of one segment add no rows.
-    late = F.pmod(F.col("turn"), F.lit(budget.segment_turns)) >= budget.segment_turns - budget.history_turns
+    late = F.col("at") % budget.segment_turns >= budget.segment_turns - budget.history_turns
     history = rows.where(late).withColumns({"seg": F.col("seg") + 1, "kind": F.lit(CONTEXT_HISTORY)})
-    first = F.min(F.struct("turn", "text", "seg"))
-    system = rows.where("role = 'system'").groupBy("conv").agg(first.alias("first"))
+    long = rows.where("at is not null")
+    first = F.min(F.struct("at", "turn", "text", "seg"))
+    system = long.where("role = 'system'").groupBy("conv").agg(first.alias("first"))
     system = system.select(F.struct("conv").alias("_conv"), "first")
-    later = rows.select(F.struct("conv").alias("_conv"), F.col("seg").alias("_seg")).distinct()
+    later = long.select(F.struct("conv").alias("_conv"), F.col("seg").alias("_seg")).distinct()
     carried = later.join(system, "_conv").where(F.col("_seg") > F.col("first.seg"))
     context = carried.select(
         F.col("_conv.conv").alias("conv"),
         F.col("_seg").alias("seg"),
+        F.col("first.at").alias("at"),
         F.col("first.turn").alias("turn"),
         F.lit("system").alias("role"),
         F.col("first.text").alias("text"),
         F.lit(CONTEXT_SYSTEM).alias("kind"),
     )
-    order = ["conv", "seg", "kind", "turn", "role", "text"]
+    order = ["conv", "seg", "kind", "at", "turn", "role", "text"]
     dealt = new.unionByName(history).unionByName(context).repartition("conv", "seg").sortWithinPartitions(*order)
     kind = turns.schema["conv_id"].dataType.simpleString()
     return dealt.mapInArrow(lambda batches: _pack(batches, budget, count), f"conv_id {kind}, {WINDOW_SCHEMA}")
@@ -322,7 +347,7 @@ def with_probe(turns: DataFrame) -> DataFrame:
 
 
 def digest_sql(budget: Budget) -> str:
-    """The digest in SQL, for conversations of one segment: windows are followed turn by turn."""
+    """The digest in SQL: windows are followed turn by turn, and begin anew with each segment."""
     esc = r"replace(replace(replace(replace({}, '\', '\\'), '<turn>', '\lturn>'), '</turn>', '\l/turn>'), '</role>', '\l/role>')"
     role, text = esc.format("role"), esc.format("text")
     history = range(1, budget.history_turns + 1)
@@ -335,6 +360,7 @@ def digest_sql(budget: Budget) -> str:
         for k in reversed(history)
     )
     picked = lambda what: "case k " + " ".join(f"when {k} then {what}{k}" for k in history) + " else 0 end"
+    goes_on = f"run.total + w.cost <= {budget.tokens} and (w.i - 1) % {budget.segment_turns} <> 0"
     return f"""
 with recursive c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
   union all select {PROBE_ID}, i, r, '{PROBE_TEXT}' from (values (0, 'user'), (1, 'assistant')) v(i, r)),
@@ -351,9 +377,9 @@ o as (select conv_id, i, cost, chars, sys, coalesce(sys_cost0, 0) as sys_cost, c
 p as (select *, case {fits} else 0 end as k from o),
 w as (select conv_id, i, cost, chars, sys_cost + cost + {picked("cost")} as opened, sys_chars + chars + {picked("chars")} as opened_chars from p),
 run as (select conv_id, i, opened as total, opened_chars as out_chars, 1 as windows from w where i = 1
-  union all select w.conv_id, w.i, case when run.total + w.cost <= {budget.tokens} then run.total + w.cost else w.opened end,
-    case when run.total + w.cost <= {budget.tokens} then w.chars else w.opened_chars end,
-    case when run.total + w.cost <= {budget.tokens} then 0 else 1 end
+  union all select w.conv_id, w.i, case when {goes_on} then run.total + w.cost else w.opened end,
+    case when {goes_on} then w.chars else w.opened_chars end,
+    case when {goes_on} then 0 else 1 end
   from run join w on w.conv_id = run.conv_id and w.i = run.i + 1),
 f as (select conv_id, sum(out_chars)::bigint as formatted_chars, sum(windows)::bigint as n_windows from run group by conv_id)
 select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by i)) as turns_sha256,

@@ -84,75 +84,79 @@ def _merged(a: list[list[int]], b: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def _scan(batches: Iterator[pa.RecordBatch], items, window: int, text: str, keep: list[str]) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], items, window: int) -> Iterator[pa.RecordBatch]:
+    """Batches of (row, text, found) with what these items add to ``found``."""
     windows = Windows([(item, words_of(t)) for item, t in items], window)
     for batch in batches:
-        column = batch.column(text)
-        earlier = batch.column("_found").to_pylist() if "_found" in batch.schema.names else None
+        earlier = batch.column(2).to_pylist()
         found = []
-        for row, raw in enumerate(column.cast(pa.binary()).to_pylist()):
+        for row, raw in enumerate(batch.column(1).cast(pa.binary()).to_pylist()):
             words = (raw or b"").translate(ALNUM).split()
             runs, names = windows.find(words)
-            if earlier:
+            if earlier[row]:
                 runs = _merged([[r["first_word"], r["end_word"]] for r in earlier[row]["runs"]], runs)
                 names |= set(earlier[row]["items"])
             at = [m.span() for m in WORD.finditer(raw.decode("utf-8", "replace"))] if runs else []
             spans = [{"first_word": a, "end_word": b, "start": at[a][0], "end": at[b - 1][1]} for a, b in runs]
             found.append({"words": len(words), "runs": spans, "items": sorted(names)})
-        columns = [batch.column(c) for c in keep] + [pa.array(found, _FOUND)]
-        yield pa.RecordBatch.from_arrays(columns, [*keep, "_found"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, _FOUND)], ["row", "text", "found"])
 
 
-def find_benchmark(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    window: int = 10,
-    text: str = "text",
-    keep: list[str] | None = None,
-    item: str = "item_id",
-    item_text: str = "text",
-    block_bytes: int = BLOCK_BYTES,
+def _found(
+    docs: DataFrame, benchmark: DataFrame, window: int, text: str, keep: list[str], item: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """The kept columns and ``_found``: word count, runs of hit words with their character offsets, items."""
-    keep = docs.columns if keep is None else keep
+    """(row, text, found): the kept columns as one struct, so that no name can clash, and word count, runs of hit words, items."""
     named = benchmark.select(
         F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("text")
     )
     total = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // (block_bytes // 2 or 1))) if total > block_bytes else 1
     dealt = named.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(text).alias("text"), F.lit(None).cast(FOUND).alias("found")
+    )
     for block in range(blocks):
         items = [(r["item"], r["text"]) for r in dealt.where(F.col("block") == block).select("item", "text").collect()]
-        last = block == blocks - 1
-        out = keep if last else [c for c in docs.columns if c != "_found"]
-        schema = ", ".join([f"`{c}` {kinds[c]}" for c in out] + [f"_found {FOUND}"])
+        rows = rows.mapInArrow(lambda batches, items=items: _scan(batches, items, window), rows.schema)
+    return rows
+
 
-        def scan(batches, items=items, out=out):
-            return _scan(batches, items, window, text, out)
+def find_benchmark(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = 10,
+    text: str = "text",
+    keep: list[str] | None = None,
+    item: str = "item_id",
+    item_text: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The kept columns and ``_found``: word count, runs of hit words with their character offsets, items.
 
-        docs = docs.mapInArrow(scan, schema)
-    return docs
+    An input column ``_found`` is replaced.
+    """
+    keep = [c for c in (docs.columns if keep is None else keep) if c != "_found"]
+    return _found(docs, benchmark, window, text, keep, item, item_text, block_bytes).select("row.*", F.col("found").alias("_found"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_words, n_hit, items, runs, contaminated) of every document."""
-    found = find_benchmark(docs.select(key, text), benchmark, window, text, keep=[key])
-    runs = F.col("_found.runs")
+    found = _found(docs, benchmark, window, text, [key])
+    runs = F.col("found.runs")
     n_hit = F.aggregate(runs, F.lit(0).cast("bigint"), lambda n, r: n + r["end_word"] - r["first_word"])
     return found.select(
-        key,
-        F.col("_found.words").alias("n_words"),
+        F.col("row")[key].alias(key),
+        F.col("found.words").alias("n_words"),
         n_hit.alias("n_hit"),
-        F.array_sort("_found.items").alias("items"),
+        F.array_sort("found.items").alias("items"),
         runs.alias("runs"),
         (F.size(runs) > 0).alias("contaminated"),
     )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` without any benchmark window."""
-    return find_benchmark(docs, benchmark, window, text).where(F.size("_found.runs") == 0).select(*docs.columns)
+    """The rows of ``docs`` without any benchmark window, all columns as they were."""
+    return _found(docs, benchmark, window, text, docs.columns).where(F.size("found.runs") == 0).select("row.*")
 
 
 def contamination_sql(window: int = 10) -> str:

@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from millrace.llm.common import beside
@@ -71,8 +72,12 @@ def _pieces(texts: list[str | None]) -> Iterator[tuple[list[int], list[str]]]:
     owners, pieces, size = [], [], 0
     for doc, text in enumerate(texts):
         text = text or ""
-        for start in range(0, len(text), PIECE):
-            piece = text[start : start + PIECE].lower()
+        start, end = 0, 0
+        while start < len(text):
+            start, end = end, min(end + PIECE, len(text))
+            while 0 < end < len(text) and text[end - 1].isalpha() and text[end].isalpha():
+                end += 1  # a word is never cut
+            piece = text[start:end].lower()
             if owners and (size + len(piece) > BLOCK_CHARS or len(owners) >= 512):
                 yield owners, pieces
                 owners, pieces, size = [], [], 0
@@ -206,20 +211,36 @@ def predict(texts: list[str | None], prototypes: dict[str, np.ndarray], profiles
     return langs, [float(c[b]) if k else 0.0 for c, b, k in zip(cosines, best, known, strict=True)]
 
 
+def _identified(docs: DataFrame, profiles: Profiles, may_learn: Column, key: str, text: str, lang: str, keep: list[str]) -> DataFrame:
+    """(row, lang_pred, score): the kept columns as one struct, so that no name can clash."""
+    prototypes = learn_prototypes(docs, profiles, may_learn, key, text, lang)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(text).alias("text"))
+
+    def guess(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, scores = predict(batch.column(1).to_pylist(), prototypes, profiles)
+            columns = [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "lang_pred", "score"])
+
+    schema = T.StructType([rows.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(guess, schema)
+
+
 def identify(
     docs: DataFrame, profiles: Profiles, may_learn: Column, key: str = "doc_id", text: str = "text", lang: str = "lang", keep: list[str] | None = None
 ) -> DataFrame:
     """The kept columns (default: all) with ``lang_pred`` and ``score``; input columns of these names are replaced."""
-    prototypes = learn_prototypes(docs, profiles, may_learn, key, text, lang)
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
-    rows = docs.select(*[F.col(c) for c in keep], F.col(text).alias("_text"))
+    return _identified(docs, profiles, may_learn, key, text, lang, keep).select("row.*", "lang_pred", "score")
 
-    def guess(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs, scores = predict(batch.column(len(keep)).to_pylist(), prototypes, profiles)
-            columns = [batch.column(i) for i in range(len(keep))] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*keep, "lang_pred", "score"])
 
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "lang_pred string, score double"])
-    return rows.mapInArrow(guess, schema)
+def keep_identified(
+    docs: DataFrame, profiles: Profiles, may_learn: Column, min_score: float, scored_bytes: int, key: str = "doc_id", text: str = "text", lang: str = "lang"
+) -> DataFrame:
+    """The rows of ``docs`` in a known language, all columns as they were.
+
+    Texts without letters go, and texts of ``scored_bytes`` or more with a cosine below ``min_score``.
+    """
+    found = _identified(docs, profiles, may_learn, key, text, lang, docs.columns)
+    junk = (F.col("score") < min_score) & (F.octet_length(F.col("row")[text]) >= scored_bytes)
+    return found.where((F.col("lang_pred") != UNKNOWN) & ~junk).select("row.*")

@@ -10,9 +10,10 @@ Only identifiers, sizes and checksums are shuffled. Ranks and positions come
 from bucket counts (``common.positions``), so one source may hold most rows.
 
 Defined cases: a null source is a stratum of its own; a null text has size 16 and
-checksum 0; rows with equal identifiers are neighbours in the seeded order and
-ordered by checksum and size; fully equal rows are interchangeable; an empty table
-gives an empty result. Input columns named ``shard`` or ``slot`` are replaced.
+checksum 0; the seeded order is drawn from identifier and checksum, so rows with equal or missing
+identifiers are spread by their texts; rows of equal identifier and text are neighbours and interchangeable; an empty table
+gives an empty result. Equal texts have no part in the law ``rows``: copies go to shards as any rows do, since keeping them
+together would make the counts of shards differ. Input columns named ``shard`` or ``slot`` are replaced.
 """
 
 from __future__ import annotations
@@ -32,13 +33,15 @@ def assign_shards(
 ) -> DataFrame:
     """(key, size, text_crc32, shard, slot) of every row; row counts of shards differ by one at most."""
     plain = F.coalesce(F.col(text), F.lit(""))
+    crc = F.crc32(plain.cast("binary"))
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key), crc), 11) / F.lit(float(1 << 53))
     facts = written(
         docs.select(
             F.col(key),
             (F.octet_length(plain) + F.lit(OVERHEAD)).cast("bigint").alias("size"),
-            F.crc32(plain.cast("binary")).alias("text_crc32"),
+            crc.alias("text_crc32"),
             F.struct(F.col(source)).alias("_stratum"),
-            (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 11) / F.lit(float(1 << 53))).alias("_draw"),
+            draw.alias("_draw"),
         ),
         "shard-facts",
     )
@@ -64,15 +67,16 @@ def assign_shards(
 
 def shard_documents(docs: DataFrame, shards: int = 40, seed: int = 17, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The rows of ``docs`` with their shard and slot."""
-    docs = docs.drop("shard", "slot")
-    plain = F.coalesce(F.col(text), F.lit(""))
-    same = ["_key", "_crc", "_copy"]
-    copy = F.row_number().over(Window.partitionBy("_key", "_crc").orderBy(F.lit(0)))
-    left = docs.withColumns({"_key": F.col(key), "_crc": F.crc32(plain.cast("binary"))}).withColumn("_copy", copy)
+    kept = [c for c in docs.columns if c not in ("shard", "slot")]
+    same = ["key", "crc", "copy"]
+    copy = F.row_number().over(Window.partitionBy("key", "crc").orderBy(F.lit(0)))
+    crc = F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    # The columns go as one struct, so that no name can clash.
+    left = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(key).alias("key"), crc.alias("crc")).withColumn("copy", copy)
     right = (
         assign_shards(docs, shards, seed, key, text, source)
-        .select(F.col(key).alias("_key"), F.col("text_crc32").alias("_crc"), "shard", "slot")
-        .withColumn("_copy", copy)
+        .select(F.col(key).alias("key"), F.col("text_crc32").alias("crc"), "shard", "slot")
+        .withColumn("copy", copy)
     )
     on = [left[c].eqNullSafe(right[c]) for c in same]
-    return left.join(right, on).select(*[left[c] for c in docs.columns], "shard", "slot")
+    return left.join(right, on).select("row.*", "shard", "slot")

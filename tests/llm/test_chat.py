@@ -95,3 +95,30 @@ def test_probe_survives(spark):
 
 def test_empty_table(spark):
     assert window_digests(chat_windows(spark.createDataFrame([], SCHEMA))).collect() == []
+
+
+@pytest.mark.parametrize("step", [1, 1000, 5000])
+def test_windows_do_not_depend_on_turn_numbers(spark, step):
+    rows = [(1, i * step - 7, "assistant" if i % 2 else "user", f"text {i} " * 20) for i in range(40)]
+    shown = [tuple(w)[4:] for w in chat_windows(spark.createDataFrame(rows, SCHEMA), Budget(512, 128, 4, 16)).orderBy("segment", "window").collect()]
+    rows = [(1, i, r, t) for i, (_, _, r, t) in enumerate(rows)]
+    assert shown == [tuple(w)[4:] for w in chat_windows(spark.createDataFrame(rows, SCHEMA), Budget(512, 128, 4, 16)).orderBy("segment", "window").collect()]
+
+
+def test_long_and_gapped_conversations_match_sql(spark):
+    """20,000 turns in segments of 4,096, numbered by large steps, beside short ones."""
+    import duckdb
+    import pandas as pd
+
+    from millrace.llm.chat import digest_sql
+
+    rng = random.Random(4)
+    rows = [(1, 10**12 + i * 999_983, "system" if i == 5 else rng.choice(["user", "assistant"]), "w" * rng.randrange(300)) for i in range(20_000)]
+    rows += [(c, t, "user" if t % 2 else "assistant", f"short {t}") for c in (2, 3) for t in range(5)]
+    con = duckdb.connect()
+    con.register("conversations", pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]))
+    budget = Budget(512, 128, 4, 4096)
+    expected = con.sql(digest_sql(budget))
+    frame = window_digests(chat_windows(with_probe(spark.createDataFrame(rows, SCHEMA).repartition(6)), budget))
+    got = sorted(tuple(r[c] for c in expected.columns) for r in frame.collect())
+    assert got == sorted(expected.fetchall())

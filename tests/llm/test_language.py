@@ -83,3 +83,15 @@ def test_held_out_accuracy(spark, small, table):
 
 def test_missing_id_is_not_held_out(docs):
     assert [r[0] for r in docs([(None, "a")]).select(held_out()).collect()] == [False]
+
+
+def test_blocks_never_cut_words(monkeypatch):
+    """A text's vector doesn't depend on where it is cut into pieces."""
+    from millrace.llm import language
+
+    profiles = language.Profiles(dimensions=64, seed=3, train_docs=10)
+    texts = ["der längste Satz, ohne Ende; " * 9, "x" * 100, "a b c", "...", None, "word\nword  two"]
+    whole = language.document_vectors(texts, profiles)
+    for size in (1, 7, 50):
+        monkeypatch.setattr(language, "PIECE", size)
+        assert (language.document_vectors(texts, profiles) == whole).all()

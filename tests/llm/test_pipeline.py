@@ -69,11 +69,35 @@ def test_odd_rows_pass_the_stages(spark, small, docs):
     assert set(ids(odd)) <= {4, None}
 
 
+def test_stages_return_unknown_columns_unchanged(spark, small, docs):
+    """Columns named like the operators' own, of odd types, come through every stage as they were."""
+    clash = {
+        "_found": "named_struct('runs', array(doc_id), 'items', 'x')",
+        "_text": "cast(null as string)",
+        "score": "date '2020-01-01'",
+        "lang_pred": "map('a', doc_id)",
+        "_key": "cast(doc_id as decimal(20,3))",
+        "_crc": "array('x', text)",
+        "_copy": "doc_id % 3 = 0",
+        "row": "concat('r', doc_id)",
+        "found": "cast(text as binary)",
+        "a.b": "doc_id",
+    }
+    base = docs([(i, f"{w} the stone and the mill of words number {i} " * 12) for i, w in enumerate(["one", "two", "three", "four", "five", "six"])])
+    frame = base.selectExpr("*", *(f"{v} as `{k}`" for k, v in clash.items()))
+    wanted = {r["doc_id"]: r for r in frame.collect()}
+    for name, stage in corpus_pipeline.STAGES:
+        rows = stage(spark, frame, small)
+        kept = rows.collect()
+        assert rows.columns[: len(frame.columns)] == frame.columns, name
+        assert kept and all(tuple(r)[: len(frame.columns)] == tuple(wanted[r["doc_id"]]) for r in kept), name
+
+
 def test_registered():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {q[: q.index("_") + 1] for q in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {q[: q.index("_") + 1] for q in QUERIES}
     assert "pipeline" in names and set(QUERIES) <= set(names) and set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
 
@@ -82,7 +106,7 @@ def test_queries_match_sql(spark, small, name):
     import duckdb
 
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "conversations"):
+    for table in ("documents", "benchmark", "conversations", "embeddings"):
         con.sql(f"create view {table} as select * from '{small}/{table}.parquet'")
     expected = con.sql(ORACLES[name])
     frame = QUERIES[name](spark, small)

@@ -59,3 +59,53 @@ def test_positions_number_groups_over_buckets(spark):
     for g in range(3):
         mine = sorted((r for r in rows if r["g"] == g), key=lambda r: (r["x"], r["id"]))
         assert [r["at"] for r in mine] == list(range(len(mine)))
+
+
+def brute(rows, shards, seed):
+    """(id, size, crc, shard, slot) by plain sorting; Spark's xxhash64 chains the columns' hashes as seeds and leaves out missing ones."""
+    import struct
+    import zlib
+
+    import xxhash
+
+    def xx(*values):
+        h = 42
+        for kind, v in values:
+            if v is not None:
+                data = v.encode() if kind == "s" else struct.pack("<i" if kind == "i" else "<q", v)
+                h = xxhash.xxh64_intdigest(data, h)
+        return h
+
+    facts = []
+    for key, text, source in rows:
+        data = (text or "").encode()
+        crc = zlib.crc32(data)
+        draw = (xx(("i", seed), ("l", key), ("l", crc)) >> 11) / 2**53
+        facts.append((source, draw, key, crc, len(data) + 16))
+    order = lambda f: (f[1], f[2] is not None, f[2] or 0, f[3], f[4])
+    placed = []
+    for source in {f[0] for f in facts}:
+        mine = sorted((f for f in facts if f[0] == source), key=order)
+        start = (xx(("i", seed), ("s", source)) >> 11) / 2**53
+        placed += [((at + start) / len(mine), source is not None, source or "", order(f), f) for at, f in enumerate(mine)]
+    out = []
+    for at, (*_, f) in enumerate(sorted(placed)):
+        shard = at * shards // len(placed)
+        out.append((f[2], f[4], f[3], shard, at - -(-shard * len(placed) // shards)))
+    return sorted(out, key=repr)
+
+
+def test_registered_assignment_equals_plain_sorting(spark, small):
+    import random
+
+    from millrace.llm import queries
+    from millrace.llm.sharding import assign_shards
+
+    given = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    found = sorted(((r.doc_id, r.size, r.text_crc32, r.shard, r.slot) for r in queries.op10_stratified_shards(spark, small).collect()), key=repr)
+    assert found == brute(given, 40, 17)
+    rng = random.Random(8)
+    rows = [(rng.choice([None, 3, i]), rng.choice(["copy", None, f"text {i}"]), rng.choice([None, "a", "b", "b", "b"])) for i in range(500)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5)
+    found = sorted((tuple(r) for r in assign_shards(frame, 7, 99).collect()), key=repr)
+    assert found == brute(rows, 7, 99)
