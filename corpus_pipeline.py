@@ -7,16 +7,15 @@ columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from millrace.llm.common import table
 from millrace.llm.decontaminate import drop_contaminated
-from millrace.llm.language import UNKNOWN, Profiles, identify
+from millrace.llm.language import Profiles, keep_identified
 from millrace.llm.mixing import Mix, mixed_documents
 from millrace.llm.near_dup import AT_80, drop_near_duplicates
 from millrace.llm.queries import held_out
 from millrace.llm.sharding import shard_documents
-from millrace.session import configure, scratch_dir
+from millrace.session import configure, discard, scratch_dir
 
 PROFILES = Profiles(dimensions=1024, seed=11, train_docs=2000)
 # A text of some length that resembles no language is junk; short ones have noisy scores.
@@ -32,9 +31,7 @@ MIX = Mix(
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; those without letters or like no language go."""
-    found = identify(docs, PROFILES, ~held_out())
-    junk = (F.col("score") < MIN_SCORE) & (F.octet_length("text") >= SCORED_BYTES)
-    return found.where((F.col("lang_pred") != UNKNOWN) & ~junk).select(*docs.columns)
+    return keep_identified(docs, PROFILES, ~held_out(), MIN_SCORE, SCORED_BYTES)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,10 +67,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn, each written and read back."""
-    docs = table(configure(spark), sf_dir, "documents")
+    """All stages in turn, each written and read back; a stage's input goes once its output is there."""
+    docs, before = table(configure(spark), sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_dir(spark, f"stage-{name.replace(' ', '-')}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            discard(spark, before)
+        before = path
     return docs
