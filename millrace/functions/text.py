@@ -102,7 +102,7 @@ STEM_RULES = (
 
 def words(text: Column) -> Column:
     """Lower-cased runs of letters and digits of the whole text, in order."""
-    return F.filter(F.split(F.lower(text), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
+    return F.regexp_extract_all(F.lower(text), F.lit("[\\p{L}\\p{N}]+"), F.lit(0))
 
 
 def stem(word: Column) -> Column:
@@ -110,8 +110,8 @@ def stem(word: Column) -> Column:
     out = word
     for pattern, ending in STEM_RULES:
         out = F.regexp_replace(out, pattern, "$1" + ending)
-    # Most words have none of the endings and need one test only.
-    return F.when(word.rlike("(s|ing|ed)$"), out).otherwise(word)
+    # Most words have none of the endings and need no pattern.
+    return F.when(word.endswith("s") | word.endswith("ing") | word.endswith("ed"), out).otherwise(word)
 
 
 def terms(text: Column, stop_words: tuple[str, ...] = ()) -> Column:
@@ -120,3 +120,11 @@ def terms(text: Column, stop_words: tuple[str, ...] = ()) -> Column:
     if stop_words:
         kept = F.filter(kept, lambda w: ~w.isin(*stop_words))
     return F.transform(kept, stem)
+
+
+def distinct_terms(text: Column, stop_words: tuple[str, ...] = ()) -> Column:
+    """The terms of a text once each; a word is stemmed once, however often it occurs."""
+    kept = F.array_distinct(words(text))
+    if stop_words:
+        kept = F.array_except(kept, F.array(*map(F.lit, stop_words)))
+    return F.array_distinct(F.transform(kept, stem))

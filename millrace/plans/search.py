@@ -65,3 +65,38 @@ def film_match(t: Roles) -> DataFrame:
     stored = t.spark.read.parquet(path)
     found = [ti.documents_with_all(stored, "film_id", query, _STOP) for query in ("the blue 7", "brands")]
     return found[0].unionAll(found[1])
+
+
+# ---------------------------------------------------------------- positions, kept on write
+def _folders(t: Roles) -> ti.IndexFolders:
+    return ti.IndexFolders(scratch_dir(t.spark, "positions"), "doc_id", _STOP, doc_buckets=8, term_buckets=8)
+
+
+_PLACES = rf"""words as (select doc_id, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+')) as w,
+    generate_subscripts(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+'), 1) as i from documents),
+    t as (select doc_id, i, {_stem_sql('w')} as term from words where w not in ({_STOP_SQL}))"""
+
+
+@job(f"""with {_PLACES} select a.doc_id, count(*) as occurrences from t a join t b on b.doc_id = a.doc_id and b.i = a.i + 2
+    where a.term = 'thanedble' and b.term = 'anea' group by a.doc_id""")
+def text_phrase(t: Roles) -> DataFrame:
+    """Documents where two words stand around a third one: a stop word of the phrase holds its place only."""
+    folders = _folders(t)
+    ti.store_positions(folders, t.table("documents"), "text")
+    return ti.documents_with_phrase(folders, t.spark, "Thanedble the anea")
+
+
+@job(f"""with changed as (select d.doc_id, case when toxic = 1 then null else lang || ' ' || source || ' ' || lang end as text
+    from documents d join labels using (doc_id)),
+    now as (select doc_id, text from changed union all select doc_id, text from documents
+    where doc_id not in (select doc_id from labels)),
+    {_terms_sql("doc_id", "text", "now")} select term, count(distinct doc_id) as documents from t group by term""")
+def text_index_update(t: Roles) -> DataFrame:
+    """The stored index after a change: the labelled documents get other texts, the toxic ones go."""
+    folders, docs = _folders(t), t.table("documents")
+    ti.store_positions(folders, docs, "text")
+    changed = docs.join(t.table("labels"), "doc_id").select(
+        "doc_id", F.when(F.col("toxic") == 1, F.lit(None)).otherwise(F.concat_ws(" ", "lang", "source", "lang")).alias("text")
+    )
+    ti.change_positions(folders, changed, "text")
+    return ti.stored_frequency(folders, t.spark)
