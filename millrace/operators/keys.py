@@ -55,7 +55,10 @@ def number_within(df: DataFrame, group: Sequence[str], order: Sequence[str], nam
     renamed = lambda g: g.withColumnsRenamed({c: f"_{c}" for c in group})
     counted = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     # Written, so that the joins know how few they are.
-    several = renamed(written(counted.select(*group), "several"))
+    found = written(counted.select(*group), "several")
+    if found.isEmpty():
+        return df.withColumn(name, F.lit(1).cast("bigint"))
+    several = renamed(found)
     single = df.join(several, same(df, several), "left_anti").withColumn(name, F.lit(1).cast("bigint"))
     repeated = df.join(several, same(df, several), "left_semi").withColumn("_tie", F.monotonically_increasing_id())
     placed = assign_keys(repeated, [*group, *order, "_tie"], "_place")

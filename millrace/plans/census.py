@@ -9,6 +9,7 @@ from millrace.functions.numeric import right_closed_bin
 from millrace.functions.text import prefix_label
 from millrace.operators import aggregates as agg
 from millrace.operators import rows
+from millrace.operators.callbacks import GroupRule, keep_groups_by
 from millrace.operators.quantiles import describe_groups
 from millrace.plans.registry import job
 from millrace.plans.roles import Roles
@@ -167,6 +168,27 @@ def group_filter(t: Roles) -> DataFrame:
     return _kept(t).select("person_id", "occupation", "age", "hours")
 
 
+def _rule() -> GroupRule:
+    """The same rule as a user's function over parts of a group."""
+    return GroupRule(
+        start=lambda: (0, 0, True),
+        fold=lambda state, rows: (
+            state[0] + int(rows["age"].sum()),
+            state[1] + int(rows["age"].count()),
+            state[2] and bool((rows["hours"].dropna() >= 1).all()),
+        ),
+        merge=lambda a, b: (a[0] + b[0], a[1] + b[1], a[2] and b[2]),
+        keep=lambda state: state[1] > 0 and state[0] <= 65 * state[1] and state[2],
+    )
+
+
+@job(f"select person_id, occupation, age, hours from v_census where occupation in ({_KEPT_SQL})")
+def group_filter_callback(t: Roles) -> DataFrame:
+    """The groups kept by a user's function; a group is folded by all tasks that have rows of it."""
+    persons = t.census.select("person_id", "occupation", "age", "hours")
+    return keep_groups_by(persons, ["occupation"], ["age", "hours"], _rule())
+
+
 @job(_KEPT_SQL)
 def group_filter_names(t: Roles) -> DataFrame:
     return _kept(t).select("occupation").distinct()

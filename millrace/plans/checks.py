@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from millrace.functions.dates import month_key
 from millrace.operators import quality
 from millrace.operators.keys import assign_keys
+from millrace.operators.known_keys import KnownKeys
 from millrace.plans.registry import job
 from millrace.plans.roles import Roles
+from millrace.session import scratch_dir
 
 
 @job("""select l_orderkey, l_linenumber, count(*) as copies from lineitem
@@ -81,3 +83,26 @@ def check_summary(t: Roles) -> DataFrame:
 @job("select row_number() over (order by p_partkey) as id, p_partkey, p_name from part")
 def assign_surrogate_key(t: Roles) -> DataFrame:
     return assign_keys(t.table("part").select("p_partkey", "p_name"), ["p_partkey"], "id")
+
+
+@job("""select o_orderkey, count(*) as n from orders group by o_orderkey having count(*) > 1
+    union all select o_orderkey, 1 from orders where o_orderpriority = '1-URGENT'
+    and o_orderkey in (select o_orderkey from orders group by o_orderkey having count(*) = 1)""")
+def check_unique_on_arrival(t: Roles) -> DataFrame:
+    """The urgent orders are known; then all orders arrive."""
+    known = KnownKeys(scratch_dir(t.spark, "known-keys"), bits=22)
+    orders = t.table("orders").select("o_orderkey", "o_orderpriority")
+    urgent = orders.where(F.col("o_orderpriority") == "1-URGENT")
+    known.add(urgent, "o_orderkey")
+    return known.repeated(orders, "o_orderkey").select("o_orderkey", F.col("rows").alias("n"))
+
+
+@job("select l_orderkey, l_linenumber from lineitem where l_partkey is not null and l_partkey not in (select p_partkey from part where p_type <> 'PROMO')")
+def check_foreign_key_on_arrival(t: Roles) -> DataFrame:
+    """Lines that arrive against the parts known so far: those of one type are missing."""
+    known = KnownKeys(scratch_dir(t.spark, "known-parts"), bits=20)
+    parts = t.table("part").where(F.col("p_type") != "PROMO")
+    for half in (0, 1):  # two batches
+        known.add(parts.where(F.col("p_partkey") % 2 == half), "p_partkey")
+    lines = t.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return known.missing(lines, "l_partkey").select("l_orderkey", "l_linenumber")

@@ -188,3 +188,37 @@ def fill_defaults(t: Roles) -> DataFrame:
 @job("select o_orderkey, last_day(o_orderdate) as month_end from orders")
 def month_end(t: Roles) -> DataFrame:
     return t.table("orders").select("o_orderkey", dates.month_end(F.col("o_orderdate")).alias("month_end"))
+
+
+@job("""select event_id, unnest(json_keys(props)) as key, json_extract_string(props, unnest(json_keys(props))) as value
+    from events""")
+def src_document_keys(t: Roles) -> DataFrame:
+    """The keys of stored JSON documents as rows, with their values as text."""
+    path = scratch_dir(t.spark, "documents")
+    readers.variant_documents(t.table("events").select("event_id", "props"), "props").write.parquet(path)
+    entries = readers.variant_entries(t.spark.read.parquet(path), "document")
+    return entries.select("event_id", "key", F.col("value").cast("string").alias("value"))
+
+
+@job("""select l_orderkey as order_id, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey nulls first, l_suppkey,
+    l_quantity, l_extendedprice) - 1 as pos, l_linenumber as number, cast(l_quantity as double) as quantity, l_partkey as part
+    from lineitem join orders on o_orderkey = l_orderkey""")
+def src_nested_documents(t: Roles) -> DataFrame:
+    """Orders as nested documents, stored as VARIANT: the elements of their arrays as rows."""
+    line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    lines = t.table("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    nested = t.table("orders").select("o_orderkey", "o_orderstatus").join(lines, "o_orderkey")
+    path = scratch_dir(t.spark, "orders")
+    text = F.to_json(F.struct("o_orderkey", "o_orderstatus", "lines"))
+    readers.variant_documents(nested.select(text.alias("json")), "json").write.parquet(path)
+    stored = t.spark.read.parquet(path)
+    order = F.variant_get("document", "$.o_orderkey", "bigint")
+    entries = readers.variant_entries(stored.withColumn("order_id", order), "document", "$.lines")
+    field = lambda name, kind: F.try_variant_get("value", f"$.l_{name}", kind)
+    return entries.select(
+        "order_id",
+        F.col("pos").cast("bigint").alias("pos"),
+        field("linenumber", "bigint").alias("number"),
+        field("quantity", "double").alias("quantity"),
+        field("partkey", "bigint").alias("part"),
+    )

@@ -121,6 +121,29 @@ def variant_fields(df: DataFrame, json: str, **fields: str) -> DataFrame:
     return parsed.withColumns(picked).drop("_doc")
 
 
+def variant_documents(df: DataFrame, json: str, name: str = "document") -> DataFrame:
+    """The rows with a JSON text column parsed to VARIANT, which Parquet stores as such. Broken texts are NULL."""
+    return df.withColumn(name, F.try_parse_json(json)).drop(*([json] if json != name else []))
+
+
+def variant_entries(df: DataFrame, document: str, path: str = "$", keep_empty: bool = False) -> DataFrame:
+    """A row for each element of an array or key of an object at a path: other columns, ``pos``, ``key`` (NULL in arrays), ``value`` (VARIANT).
+
+    A document without the path, or with neither array nor object there, gives no row; with ``keep_empty``, one without entry.
+    """
+    at = F.try_variant_get(document, path, "variant")
+    part = F.when(F.schema_of_variant(at).rlike("^(ARRAY|OBJECT)<"), at)
+    inner = df.withColumn("_at", part)
+    tvf = df.sparkSession.tvf
+    entries = (tvf.variant_explode_outer if keep_empty else tvf.variant_explode)(F.col("_at").outer())
+    return inner.lateralJoin(entries).drop("_at")
+
+
+def merged_schema(df: DataFrame, document: str) -> str:
+    """The type that fits all documents, as text; where types don't fit one another it says VARIANT."""
+    return df.agg(F.schema_of_variant_agg(document)).first()[0]
+
+
 def without_nan(df: DataFrame) -> DataFrame:
     """NaN to NULL in all floating-point columns."""
     floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]

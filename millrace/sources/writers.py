@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from millrace.functions.dates import month_key
+from millrace.session import written
 from millrace.sources.readers import CSV_OPTIONS
 
 _JSON_TYPES = (T.StringType, T.BooleanType, T.NumericType)
@@ -21,16 +22,21 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_json_arrays(df: DataFrame, key: str, rows_per_file: int, path: str) -> None:
-    """JSON array files; each holds the rows of one range of a whole-number key.
+    """JSON array files; each holds rows of one range of a whole-number key, or rows without a key.
 
-    A file is written line by line from sorted rows, so no array is held in memory,
-    however often a key repeats.
+    A file is written line by line from sorted rows, so no array is held in memory. Ranges with many
+    more rows than ``rows_per_file``, as of a key that repeats or of missing keys, are dealt over several files.
     """
-    part = F.expr(f"`{key}` div {rows_per_file}").alias("part")
-    rows = df.select(part, F.to_json(F.struct(*df.columns)).alias("value"))
+    label = F.coalesce(F.expr(f"`{key}` div {rows_per_file}").cast("string"), F.lit("none"))
+    rows = df.select(label.alias("range"), F.to_json(F.struct(*df.columns)).alias("value"))
+    files = F.ceil(F.count(F.lit(1)) / F.lit(2.0 * rows_per_file))
+    sizes = rows.groupBy("range").agg(files.alias("files"))
+    turn = F.pmod(F.monotonically_increasing_id(), F.col("files"))
+    part = F.when(F.col("files") > 1, F.concat_ws("-", "range", turn.cast("string"))).otherwise(F.col("range")).alias("part")
+    rows = rows.join(sizes, "range").select(part, "value")
     number = F.row_number().over(Window.partitionBy("part").orderBy("value")).cast("bigint")
     mark = F.when(number == 1, "[").otherwise(",")
-    lines = rows.select("part", number.alias("at"), F.concat(mark, "value").alias("value"))
+    lines = written(rows.select("part", number.alias("at"), F.concat(mark, "value").alias("value")), "json-lines")
     ends = lines.groupBy("part").agg(F.max("at").alias("at"))
     closed = lines.unionByName(ends.select("part", F.col("at") + 1, F.lit("]").alias("value")).toDF("part", "at", "value"))
     dealt = closed.repartition("part").sortWithinPartitions("part", "at")

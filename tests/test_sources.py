@@ -78,6 +78,16 @@ def test_written_arrays_of_a_repeated_key(spark, tmp_path, rows):
     assert rows(readers.json_arrays(spark, out, NAMED)) == rows(df)
 
 
+def test_written_arrays_of_missing_keys_are_dealt_over_files(spark, tmp_path, rows):
+    key = F.when(F.col("id") % 3 > 0, F.col("id"))
+    df = spark.range(300).repartition(4).select(key.alias("id"), F.col("id").cast("string").alias("name"))
+    out = str(tmp_path / "arrays")
+    writers.write_json_arrays(df, "id", 10, out)
+    sizes = [len(json.load(open(f))) for f in glob.glob(f"{out}/part=none*/part-*")]
+    assert len(sizes) == 5 and sum(sizes) == 100 and max(sizes) < 40
+    assert rows(readers.json_arrays(spark, out, NAMED)) == rows(df)
+
+
 def test_numeric_vector(spark, tmp_path):
     path = put(tmp_path, "v.csv", "70, 120, 70, 50 , 110\n")
     got = readers.numeric_vectors(spark, path).orderBy("pos").collect()
