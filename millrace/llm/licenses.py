@@ -2,8 +2,8 @@
 
 Texts are normalised to words (lower case, separated by one blank). A rule is a
 regular expression over the normalised text with a label, a priority, a confidence
-and a gate of keywords that must all occur before the expression is tried. Rules are
-built from license names and from phrases in which names stand. Detections that lie
+and a gate of keywords that must all occur before the expression is tried. Some rules are written
+one by one (``license_rules.LISTED`` and ``TEXTS``), others put each license name into each of the phrases in which names stand. Detections that lie
 inside another one of the same or higher priority are suppressed; detections that
 only overlap stay. Base rules (exact phrases) find all their places, are never
 suppressed and suppress nothing.
@@ -11,7 +11,7 @@ suppressed and suppress nothing.
 Each row is handled alone, nothing is shuffled; time is linear in the text for
 texts without keywords.
 
-Defined cases: a missing or empty text has no words and no detections; repeated rows
+Defined cases: a missing or empty text has no words and no detections; an empty table gives an empty result; repeated rows
 are judged alike; ties between equal intervals go to the higher priority, then to
 the earlier rule.
 """
@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from millrace.llm.common import ALNUM
+from millrace.llm.license_rules import LISTED
 
 # The phrases every scan must report, and their labels.
 BASE = (
@@ -106,6 +107,7 @@ GRANT = "(?:licen[cs]ed|released|distributed|available|provided|published|redist
 # gated by these keywords and by that of its title or the first word of its short name.
 PHRASES = (
     ("identifier", ("spdx",), "spdx licen[cs]e identifier {short}(?: only| or later)?", 100, 1.0),
+    ("operand", ("spdx",), "(?:or|and) {short}(?: only| or later)?", 97, 1.0),
     ("grant", (" under ",), GRANT + " under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?{title}", 80, 0.95),
     ("short grant", (" under ",), GRANT + " under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?{short}(?: licen[cs]e)?", 75, 0.9),
     ("notice", ("licen",), "(?:licen[cs]e|subject to)(?: is)?(?: the)? {title}", 70, 0.85),
@@ -152,7 +154,10 @@ def rules() -> list[Rule]:
         )
         for phrase, words, text, priority, sure in PHRASES
         for label, keyword, title, short in NAMES
+        # Behind "or" and "and", names of one everyday word say nothing.
+        if not (phrase == "operand" and re.fullmatch("[a-z0-9]+", short))
     ]
+    built += [Rule(f"{label}:listed{i}", label, *rule) for i, (label, *rule) in enumerate(LISTED)]
     built += [Rule(f"{label}:text", label, gate, text, priority, sure) for label, gate, text, priority, sure in TEXTS]
     return sorted(built, key=lambda r: -r.priority)
 

@@ -72,3 +72,53 @@ def test_table_form(docs):
 def test_many_detections_in_a_long_text():
     n, hits = detect(b"Released under the MIT License. " * 5000)
     assert n == 25000 and sum(d[2] for d in hits) == 5000
+
+
+DECLARED = {
+    "License: MIT": {"mit"},
+    "License: Apache-2.0": {"apache-2"},
+    "It is GPLv3 code": {"gpl-3"},
+    "licensed under the GPL v3": {"gpl-3"},
+    "Apache License v2.0": {"apache-2"},
+    "distributed under the terms of the GPL": {"gpl"},
+    "This package is MIT licensed": {"mit"},
+    "BSD-3-Clause": {"bsd-3"},
+    "LGPL-2.1-or-later": {"lgpl-2"},
+    "SPDX-License-Identifier: (MIT OR Apache-2.0)": {"mit", "apache-2"},
+    "SPDX-License-Identifier: Apache-2.0 OR MIT": {"mit", "apache-2"},
+    "SPDX-License-Identifier: GPL-2.0-only AND BSD-2-Clause AND CC-BY-4.0": {"gpl-2", "bsd-2", "cc-by"},
+    "See https://opensource.org/licenses/MIT": {"mit"},
+    "http://creativecommons.org/licenses/by-nc-sa/4.0/": {"cc-by-nc-sa"},
+    "license: CC-BY-NC-ND 4.0": {"cc-by-nc-nd", "cc-by-nc"},  # the base phrase stands, too
+    "lgplv3, agpl-3.0": {"lgpl-3", "agpl-3"},
+    "Neither the name of the University of Nowhere nor the names of its contributors may be used to endorse or promote products": {"bsd-3"},
+}
+
+
+@pytest.mark.parametrize("text", DECLARED)
+def test_common_declarations(text):
+    assert {d[1] for d in detect(text.encode())[1]} == DECLARED[text]
+    found = [(d[3], d[4], d[1]) for d in detect(text.encode())[1] if not d[2]]
+    assert sorted(found) == plain(text)
+
+
+HARMLESS = [
+    "Ich komme mit dir oder mit ihr, und die Lizenz mit der Nummer", "The driver's license with a photo", "a ruby ring, vim and vigour",
+    "The apache tribe settled near the river", "She took an artistic approach in 2 or 3 steps", "python snakes and boosts of energy",
+    "the public was in a good mood", "eclipse of the sun in version 2", "general knowledge, lesser known facts", "license plates and licences",
+    "le permis de conduire", "no one knows the creative commons", "distributed systems under load", "I see it as is",
+]
+
+
+@pytest.mark.parametrize("text", HARMLESS)
+def test_harmless_texts_stay_clean(text):
+    assert detect(text.encode())[1] == []
+
+
+def test_rules_of_each_kind():
+    from millrace.llm.license_rules import LISTED
+
+    names = [r.name for r in rules()]
+    listed = sum(":listed" in n or n.endswith(":text") for n in names)
+    assert listed == len(LISTED) + 12 and listed > 180
+    assert len({(label, pattern) for label, _, pattern, *_ in LISTED}) == len(LISTED)
