@@ -1,9 +1,9 @@
 """Deep-shallow sorting of byte strings.
 
-Strings are sorted level by level over eight-byte characters down to a shallow depth, all
-groups of a level at once by one vectorised sort. This stands in for multikey quicksort: it
-refines the same groups to the same order, but without ternary partitioning around pivots,
-which would need a NumPy call for each group. Groups that still share their prefix there are
+Strings are sorted by multikey quicksort over eight-byte characters down to a shallow depth: a group is
+split around the character of its middle string into less, equal and greater, and the equal part goes on to
+the next character. All open groups take a step at once, whatever their depths, by one stable sort
+over group and side. Groups that still share their prefix at the shallow depth are
 ordered by blind tries: a trie that keeps only the branching positions, is descended
 without looking at the skipped bytes, and corrected by one comparison with the leaf.
 """
@@ -65,7 +65,7 @@ def _common(a: bytes, b: bytes) -> int:
 def deep_shallow_order(strings: list[bytes], groups: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Order of the strings by (group, string), and the common prefix of each with the one before it.
 
-    The prefix is 0 where the group changes. ``depth`` is where the sort by levels hands over to the tries.
+    The prefix is 0 where the group changes. ``depth`` is where multikey quicksort hands over to the tries.
     """
     n = len(strings)
     if not n:
@@ -79,17 +79,21 @@ def deep_shallow_order(strings: list[bytes], groups: np.ndarray, depth: int) ->
     characters = padded.view(">u8").astype(np.uint64)
     order = np.argsort(groups, kind="stable")
     part = np.cumsum(np.diff(groups[order], prepend=groups[order[0]]) != 0)  # the group of each place
-    for level in range(min(-(-depth // CHARACTER), width // CHARACTER)):
-        sizes = np.bincount(part)
-        live = np.flatnonzero(sizes[part] > 1)
-        if not len(live):
-            break
+    level = np.zeros(n, np.int64)  # of each place's group: its strings share the characters before
+    limit = min(-(-depth // CHARACTER), width // CHARACTER)
+    while len(live := np.flatnonzero((np.bincount(part)[part] > 1) & (level < limit))):
         mine = order[live]
-        by = np.lexsort((characters[mine, level], part[live]))
+        character = characters[mine, level[live]]
+        starts = np.flatnonzero(np.diff(part[live], prepend=-1))
+        counts = np.diff(np.append(starts, len(live)))
+        pivot = np.repeat(character[starts + counts // 2], counts)
+        side = (character >= pivot).astype(np.int64) + (character > pivot)  # less, equal, greater
+        key = np.repeat(np.arange(len(starts)), counts) * 3 + side
+        by = np.argsort(key, kind="stable")
         order[live] = mine[by]
-        fresh = np.zeros(n, bool)
-        fresh[live[1:]] = (characters[order[live[1:]], level] != characters[order[live[:-1]], level]) & (np.diff(live) == 1)
-        fresh[1:] |= part[1:] != part[:-1]
+        level[live] += side[by] == 1  # only what equals the pivot goes on to the next character
+        fresh = np.diff(part, prepend=part[0]) != 0
+        fresh[live[1:]] |= (np.diff(key[by]) != 0) & (np.diff(live) == 1)
         part = np.cumsum(fresh)
     sizes = np.bincount(part)
     starts = np.cumsum(sizes) - sizes
