@@ -129,14 +129,14 @@ def batch_step(
 
     def step(raw: DataFrame, batch_id: int) -> None:
         query = query_id(spark, paths)
-        if raw.isEmpty():
-            log(query, batch_id, "empty")
-            return
         # Rows of a file block stay in file order, so the number grows along the block.
         numbered = raw if "_line" in raw.columns else raw.withColumn("_line", F.monotonically_increasing_id())
-        # Two outputs follow: keep the parsed rows, on disk where memory is short.
+        # Several outputs follow: keep the parsed rows, on disk where memory is short.
         lines = numbered.persist()
         try:
+            if lines.isEmpty():
+                log(query, batch_id, "empty")
+                return
             bad = unreadable(layout)
             lines.where(bad).write.mode("overwrite").parquet(place(paths.rejects, query, batch_id))
             good = clean_reviews(lines.where(~bad), layout)
