@@ -7,12 +7,12 @@ its class or of a linked class.
 
 The join orders each line's tokens by rarity, takes as prefix the rarest that two
 similar lines can't both lack, joins prefixes on equal tokens, and drops pairs whose
-lengths or whose positions of the shared token rule out the similarity. What stays is
-verified on the full sets. The filters are exact for any fixed order of tokens; rarity
+lengths or whose positions of the shared token rule out the similarity. The full sets of the
+lines in what stays are computed again; parities of their tokens drop nearly all pairs that are
+not alike, and the rest is verified on the full sets. The filters are exact for any fixed order of tokens; rarity
 only keeps the candidates few, so it is estimated: the words' counts over all texts,
 summed by hash into ``BUCKETS`` numbers, which is all that goes to the tasks, and a run is
-as rare as its words make it. Only prefixes are shuffled; full sets are computed
-again for the lines in candidate pairs.
+as rare as its words make it. Of most lines only the prefix is shuffled.
 
 Defined cases: lines without words stay; a missing text has no lines; an empty text has
 one blank line; rows that share an id count as one place, so equal lines at equal numbers there don't
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +33,9 @@ from millrace.session import written
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = " \t\n\x0b\x0c\r"
 GAP = "[ \\t\\n\\x0b\\f\\r]+"
-BUCKETS = 4096
-HASH_BITS = 52
+BUCKETS = 4096  # a power of two
+HASH_BITS, WORD_BITS = 52, 48
+MARKS = 4
 LAST_ID = (1 << 63) - 1
 
 
@@ -48,39 +50,52 @@ def _trimmed(line: Column) -> Column:
 
 
 def _bucket(word_hash: Column) -> Column:
-    return F.pmod(word_hash, F.lit(BUCKETS)).cast("int")
+    return word_hash.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
 def word_weights(docs: DataFrame, text: str) -> list[int]:
     """The binary logarithm of the word count of each hash bucket: a fixed number of values."""
-    # An estimate: cut at single blanks and line breaks, which is cheaper than the exact rule.
-    words = docs.select(F.explode(F.split(F.lower(text), "[ \\n]")).alias("w")).select(_bucket(F.xxhash64("w")).alias("b"))
+    # An estimate: cut at single blanks and line breaks, capitals apart, which is cheaper than the exact rule.
+    parts = F.split(F.replace(F.col(text), F.lit("\n"), F.lit(" ")), " ")
+    words = docs.select(F.explode(parts).alias("w")).select(_bucket(F.xxhash64("w")).alias("b"))
     counts = {r["b"]: r["n"] for r in words.groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect()}
     return [counts.get(b, 0).bit_length() for b in range(BUCKETS)]
 
 
+def _words(line: Column) -> Column:
+    """The words of a line, A-Z in lower case; a line that needs neither trimming nor other gaps is cut at each blank."""
+    # Lines of single bytes have no other capitals, so the quick function agrees on them.
+    plain = F.when(F.octet_length(line) == F.char_length(line), F.lower(line)).otherwise(F.translate(line, UPPER, LOWER))
+    odd = F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" "))
+    for blank in ("  ", "\t", "\x0b", "\x0c", "\r"):
+        odd = odd | F.contains(line, F.lit(blank))
+    return F.when(odd, F.split(_trimmed(plain), GAP)).otherwise(F.split(plain, " "))
+
+
 def tokens(line: Column, weights: list[int], width: int) -> Column:
     """Distinct tokens of a line, rarest first: numbers with the commonness of the words above a hash."""
-    table = F.array(*[F.lit(w) for w in weights])
-    low = F.lit((1 << HASH_BITS) - 1)
+    table = F.lit(np.array(weights, dtype=np.int64) << HASH_BITS)  # one literal
+    low, zero = F.lit((1 << HASH_BITS) - 1), F.lit(0).cast("bigint")
 
-    def runs(h: Column, common: Column) -> Column:
+    # The default for missing elements never occurs; it tells that there are none, which makes sorting quicker.
+    def word(h: Column) -> Column:
+        return F.coalesce(F.get(table, _bucket(h)), zero).bitwiseOR(F.shiftrightunsigned(h, 64 - WORD_BITS))
+
+    def runs(p: Column) -> Column:
         def token(first: Column, i: Column) -> Column:
-            value = F.xxhash64(first, *[F.get(h, i + j) for j in range(1, width)]).bitwiseAND(low)
-            sums = sum((F.get(common, i + j) for j in range(1, width)), F.get(common, i))
-            return F.shiftleft(sums.cast("bigint"), HASH_BITS).bitwiseOR(value)
+            rest = [F.get(p, i + j) for j in range(1, width)]
+            # Weights add up above the hashes, whose sum does not reach them.
+            weight = sum(rest, first).bitwiseAND(F.lit(~((1 << HASH_BITS) - 1)))
+            return F.coalesce(weight, zero).bitwiseOR(F.xxhash64(first, *rest).bitwiseAND(low))
 
         # The last places have no full run of words.
-        full = F.slice(F.transform(h, token), F.lit(1), F.size(h) - (width - 1))
-        return F.sort_array(F.array_distinct(full))
+        return F.sort_array(F.array_distinct(F.transform(F.slice(p, F.lit(1), F.size(p) - (width - 1)), token)))
 
     def of(h: Column) -> Column:
-        common = F.transform(h, lambda w: F.get(table, _bucket(w)))
         whole = F.array(F.xxhash64(h).bitwiseAND(low))
-        return F.when(F.size(h) >= width, _let(common, lambda c: runs(h, c))).otherwise(whole)
+        return F.when(F.size(h) >= width, _let(F.transform(h, word), runs)).otherwise(whole)
 
-    words = F.split(_trimmed(F.translate(line, UPPER, LOWER)), GAP)
-    found = _let(F.transform(words, lambda w: F.xxhash64(w)), of)
+    found = _let(F.transform(_words(line), lambda w: F.xxhash64(w)), of)
     return F.when(_trimmed(line) != "", found).otherwise(F.array().cast("array<bigint>"))
 
 
@@ -102,38 +117,64 @@ def line_classes(docs: DataFrame, similar: Similar, key: str, text: str, weights
 
 
 def _candidates(classes: DataFrame, similar: Similar) -> DataFrame:
-    """(c, d): first places of classes that may be linked, the later one as ``c``."""
+    """(c_id, c_line, d_id, d_line): first places of classes that may be linked, the later one as ``c``."""
     t = similar.percent
     # A single token is shared by one class only.
     posted = classes.where("n > 1").select("id", "line", "n", F.posexplode("prefix").alias("at", "token"))
     late, early = posted.alias("c"), posted.alias("d")
     earlier = F.expr("c.token = d.token and (d.id < c.id or d.id = c.id and d.line < c.line)")
     alike = F.expr(f"100 * least(c.n, d.n) >= {t} * greatest(c.n, d.n)")
-    place = lambda side: F.struct(F.col(f"{side}.id").alias("id"), F.col(f"{side}.line").alias("line"))
-    met = late.join(early, earlier & alike).select(
-        place("c").alias("c"), place("d").alias("d"), F.expr("c.n - c.at").alias("c_left"), F.expr("d.n - d.at").alias("d_left"), F.expr("c.n + d.n").alias("n")
-    )
+    places = [F.col(f"{side}.{x}").alias(f"{side}_{x}") for side in "cd" for x in ("id", "line")]
+    left = F.expr("least(c.n - c.at, d.n - d.at)").alias("left")
+    met = late.join(early, earlier & alike).select(*places, left, F.expr("c.n + d.n").alias("n"))
     # All tokens shared up to the last one met lie in both prefixes; beyond it, no more than what is left of either.
-    shared = F.count(F.lit(1)) - 1 + F.least(F.min("c_left"), F.min("d_left"))
-    pairs = met.groupBy("c", "d").agg(shared.alias("shared"), F.first("n").alias("n"))
-    return pairs.where(F.col("shared") * (100 + t) >= F.col("n") * t).select("c", "d")
+    shared = F.count(F.lit(1)) - 1 + F.min("left")
+    pairs = met.groupBy("c_id", "c_line", "d_id", "d_line").agg(shared.alias("shared"), F.first("n").alias("n"))
+    return pairs.where(F.col("shared") * (100 + t) >= F.col("n") * t).select("c_id", "c_line", "d_id", "d_line")
 
 
-def _links(rows: DataFrame, pairs: DataFrame, similar: Similar, weights: list[int]) -> DataFrame:
-    """(id, line, links): how many earlier classes a class is linked with, by its first place."""
-    t = similar.percent
-    wanted = pairs.select("c").unionAll(pairs.select(F.col("d").alias("c"))).distinct()
-    by_doc = wanted.groupBy(F.col("c.id").alias("id")).agg(F.collect_list("c.line").alias("lines"))
+def _marks(found: Column) -> Column:
+    """For each of ``MARKS`` parts of the tokens the parity of their counts in 64 slots, as a number."""
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+
+    def part(k: int) -> Column:
+        mine = F.filter(found, lambda x: F.shiftright(x, 6).bitwiseAND(F.lit(MARKS - 1)) == k)
+        return F.aggregate(mine, zero, lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", one, x.bitwiseAND(F.lit(63)).cast("int"))))
+
+    return F.array(*[part(k) for k in range(MARKS)])
+
+
+def _sets(rows: DataFrame, pairs: DataFrame, similar: Similar, weights: list[int]) -> DataFrame:
+    """(id, line, tokens, n, marks) of the lines that stand in a pair."""
+    side = lambda s: pairs.select(F.col(f"{s}_id").alias("id"), F.col(f"{s}_line").alias("line"))
+    by_doc = side("c").unionAll(side("d")).distinct().groupBy("id").agg(F.collect_list("line").alias("lines"))
     split = rows.join(by_doc, "id").withColumn("all", F.split("text", "\n", -1))
     chosen = split.select("id", F.explode(F.transform("lines", lambda i: F.struct(i.alias("line"), F.get("all", i).alias("words")))).alias("l"))
     chosen = chosen.where(_trimmed(F.col("l.words")) != "")
-    full = chosen.select(F.struct("id", "l.line").alias("c"), tokens(F.col("l.words"), weights, similar.width).alias("tokens"))
+    full = chosen.select("id", F.col("l.line").alias("line"), tokens(F.col("l.words"), weights, similar.width).alias("tokens"))
     # Rows that share an id: the place stands for its least token set.
-    sets = full.groupBy("c").agg(F.min("tokens").alias("tokens"))
-    both = pairs.join(sets.withColumnRenamed("tokens", "x"), "c").join(sets.select(F.col("c").alias("d"), F.col("tokens").alias("y")), "d")
-    common = F.size(F.array_intersect("x", "y"))
-    linked = both.where(common * 100 >= (F.size("x") + F.size("y") - common) * t)
-    return linked.groupBy("c.id", "c.line").agg(F.count(F.lit(1)).alias("links"))
+    least = full.groupBy("id", "line").agg(F.min("tokens").alias("tokens"))
+    return least.withColumns({"n": F.size("tokens"), "marks": _marks(F.col("tokens"))})
+
+
+def _links(pairs: DataFrame, sets: DataFrame, similar: Similar) -> DataFrame:
+    """(id, line, links): how many earlier classes a class is linked with, by its first place.
+
+    A token that only one of two sets holds changes one parity, so the parities that differ
+    are a lower bound of such tokens: most pairs go by it before any set is moved.
+    """
+    t = similar.percent
+    named = lambda s, *kept: sets.select(*[F.col(x).alias(f"{s}_{x}") for x in ("id", "line", *kept)])
+    both = lambda p, *kept: p.join(named("c", *kept), ["c_id", "c_line"]).join(named("d", *kept), ["d_id", "d_line"])
+    differ = sum((F.bit_count(F.get("c_marks", F.lit(k)).bitwiseXOR(F.get("d_marks", F.lit(k)))) for k in range(1, MARKS)),
+                 F.bit_count(F.get("c_marks", F.lit(0)).bitwiseXOR(F.get("d_marks", F.lit(0)))))
+    # With n tokens in both together, of which u in one set only, the similarity is (n - u) / (n + u).
+    n = F.col("c_n") + F.col("d_n")
+    near = both(pairs, "n", "marks").where((n - differ) * 100 >= (n + differ) * t).select(pairs.columns)
+    near = written(near, "line-near")
+    common = F.size(F.array_intersect("c_tokens", "d_tokens"))
+    linked = both(near, "tokens").where(common * 100 >= (F.size("c_tokens") + F.size("d_tokens") - common) * t)
+    return linked.groupBy(F.col("c_id").alias("id"), F.col("c_line").alias("line")).agg(F.count(F.lit(1)).alias("links"))
 
 
 def dedup_lines(docs: DataFrame, similar: Similar = Similar(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -144,9 +185,9 @@ def dedup_lines(docs: DataFrame, similar: Similar = Similar(), key: str = "doc_i
     weights = word_weights(docs, text)
     classes = written(line_classes(docs, similar, key, text, weights), "line-classes")
     pairs = written(_candidates(classes, similar), "line-pairs")
-    # Both joins with the texts read one shuffle of them.
     rows = docs.select(F.coalesce(F.col(key), F.lit(LAST_ID)).alias("id"), F.col(text).alias("text"))
-    links = _links(rows, pairs, similar, weights)
+    sets = written(_sets(rows, pairs, similar, weights), "line-sets")
+    links = _links(pairs, sets, similar)
     judged = classes.select("id", "line").join(links, ["id", "line"], "left")
     by_doc = judged.groupBy("id").agg(
         F.collect_list(F.when(F.col("links").isNull(), F.col("line"))).alias("first_lines"), F.sum("links").alias("links")
