@@ -6,12 +6,12 @@ the independent check (``ROLE_SQL``).
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.keys import number_within
+from millrace.operators.keys import numbered_parts
 from millrace.session import written
 from millrace.sources.readers import literal_rows
 
@@ -105,10 +105,15 @@ class Roles:
 
         Written once for all roles that name lines.
         """
-        numbered = number_within(self.table("lineitem"), ["l_orderkey", "l_linenumber"], _LINE_ORDER, "_place")
-        lines = numbered.withColumn("line", _line_id() * 1_000_000 + F.col("_place"))
-        used = ["line", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_linestatus", "l_shipdate"]
-        return written(lines.select(*used).join(self._orders, "l_orderkey"), "lines")
+        parts = numbered_parts(self.table("lineitem"), ["l_orderkey", "l_linenumber"], _LINE_ORDER, "_place", by=["l_orderkey"])
+        used = ["line", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_linestatus", "l_shipdate", "o_custkey", "o_orderdate"]
+
+        def ordered(lines: DataFrame) -> DataFrame:
+            """Dealt by order already, lines are not shuffled again."""
+            named = lines.withColumn("line", _line_id() * 1_000_000 + F.col("_place"))
+            return named.join(self._orders, "l_orderkey").select(*used)
+
+        return written(reduce(DataFrame.unionAll, map(ordered, parts)), "lines")
 
     @cached_property
     def rental_facts(self) -> DataFrame:

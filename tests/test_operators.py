@@ -452,3 +452,24 @@ def test_number_within_groups(spark):
     assert number_within(df.limit(0), ["g"], ["v"], "n").collect() == []
     alone = number_within(spark.range(5), ["id"], [], "n")
     assert {r["n"] for r in alone.collect()} == {1}
+
+
+def test_numbered_rows_are_shuffled_once_and_large_groups_by_ranges(spark):
+    from functools import reduce
+
+    from pyspark.sql import Window
+
+    from millrace.operators.keys import numbered_parts
+
+    data = [(i % 7 if i % 3 else 5, None if i % 11 == 0 else i % 4, i * 37 % 101) for i in range(600)] + [(5, 0, 3), (5, 0, 3)]
+    df = spark.createDataFrame(data, "g int, h int, v int").repartition(5)
+    wanted = df.withColumn("n", F.row_number().over(Window.partitionBy("g", "h").orderBy("v")).cast("bigint")).collect()
+    for most, frames in ((1000, 1), (30, 2)):
+        parts = numbered_parts(df, ["g", "h"], ["v"], "n", by=["g"], most=most)
+        assert len(parts) == frames
+        assert sorted(map(repr, reduce(lambda a, b: a.unionAll(b), parts).collect())) == sorted(map(repr, wanted))
+    # The small groups are dealt by the columns of the next join: neither the window nor the join deals them again.
+    (part,) = numbered_parts(spark.range(100).select("id", F.col("id").alias("g")), ["g", "id"], [], "n", by=["g"])
+    joined = part.join(spark.range(50).withColumnRenamed("id", "g").hint("merge"), "g")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Window" in plan
