@@ -473,3 +473,17 @@ def test_numbered_rows_are_shuffled_once_and_large_groups_by_ranges(spark):
     joined = part.join(spark.range(50).withColumnRenamed("id", "g").hint("merge"), "g")
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2 and "Window" in plan
+
+
+def test_large_distance_matrices_copy_a_vector_once_for_many_tiles(spark):
+    from millrace.operators.distance import LEAST, TILES, _parts
+
+    assert _parts(3000, 1000) == 3 and _parts(300_000, 1000) == 300 // TILES + 1 > LEAST
+    vecs = np.random.default_rng(2).random((150, 3)).tolist()
+    rows = [(i, None if i % 11 == 0 else v) for i, v in enumerate(vecs)]
+    x = spark.createDataFrame(rows, "x_id bigint, vec array<double>")
+    got = distance_matrix(x, x.withColumnRenamed("x_id", "y_id"), tile=3).collect()
+    assert len(got) == len({(r["x_id"], r["y_id"]) for r in got}) == 150 * 150
+    for r in got:
+        a, b = rows[r["x_id"]][1], rows[r["y_id"]][1]
+        assert r["distance"] is None if a is None or b is None else abs(r["distance"] - math.dist(a, b)) < 1e-6
