@@ -67,10 +67,13 @@ def joined(marked: DataFrame, separator: str) -> DataFrame:
     text = lambda pieces: F.array_join(F.transform(pieces, lambda p: p["value"]), separator)
     ordered = F.sort_array(F.collect_list(F.struct("_block", text(F.col("_head")).alias("value"))))
     tails = heads.groupBy("_file", "_home").agg(text(ordered).alias("_tail"))
-    tails = tails.select("_file", "_home._block", F.col("_home._records").alias("_record"), "_tail")
+    tails = tails.select("_file", F.col("_home._block").alias("_block"), F.col("_home._records").alias("_last"), "_tail").alias("tails")
     record = Window.partitionBy(*BLOCK, "_record").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     own = known.where("_record > 0").withColumn("value", F.array_join(F.collect_list("value").over(record), separator))
-    whole = own.where("_first").join(tails, [*BLOCK, "_record"], "left")
+    # A block has one tail, of its last record. Joined by block, as the pieces are dealt already, they are not shuffled again.
+    own = own.where("_first").alias("own")
+    same = [F.col(f"own.{c}") == F.col(f"tails.{c}") for c in BLOCK]
+    whole = own.join(tails, [*same, F.col("own._record") >= F.col("tails._last")], "left").select("own.*", "tails._tail")
     value = F.when(F.col("_tail").isNull(), F.col("value")).otherwise(F.concat_ws(separator, "value", "_tail"))
     others = [c for c in marked.columns if c not in (*PLACE, "value", "_first")]
     return whole.select(*PLACE, value.alias("value"), *others)
