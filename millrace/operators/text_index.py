@@ -134,9 +134,9 @@ def positions(df: DataFrame, doc: str, text: str, stop_words: tuple[str, ...] =
     """Rows (term, document, start, offsets): the positions of a term in ``BLOCK`` words of a text, as distances from the first.
 
     A term that is frequent in a document has a row for each block, one that is in many documents a row
-    for each, so no list grows with the data.
+    for each, so no list grows with the data. The texts are dealt by document, so that only they are shuffled, not their words.
     """
-    found = _occurrences(df, doc, text, stop_words)
+    found = _occurrences(df.select(doc, text).repartition(doc), doc, text, stop_words)
     blocks = found.groupBy("term", doc, F.expr(f"_pos div {BLOCK}").alias("_block")).agg(F.sort_array(F.collect_list("_pos")).alias("_at"))
     start = F.get("_at", F.lit(0))
     return blocks.select("term", doc, start.alias("start"), F.transform("_at", lambda p: (p - start).cast("smallint")).alias("offsets"))

@@ -107,3 +107,21 @@ def test_stock_functions_collect_no_held_items(no_broadcast, small):
     """A NOT IN would broadcast all held items, whatever the limits say."""
     plan = plan_of(contract.queries()["sql_stock_functions"](no_broadcast, small))
     assert "BroadcastExchange" not in plan and "NestedLoop" not in plan
+
+
+def test_records_across_blocks_shuffle_no_piece_again(no_broadcast, tmp_path):
+    """What crosses a block's end is joined by block, as the pieces lie."""
+    from millrace.sources.pieces import read_csv_records, read_json_elements
+
+    (tmp_path / "a").write_text('a,b\n1,"x\ny"\n')
+    for records in (read_csv_records(no_broadcast, str(tmp_path)), read_json_elements(no_broadcast, str(tmp_path))):
+        dealt = re.findall(r"hashpartitioning\(([^)]*)\)", plan_of(records))
+        assert dealt and not any("_record" in d for d in dealt)
+
+
+def test_postings_shuffle_texts_not_words(spark):
+    from millrace.operators.text_index import positions
+
+    plan = plan_of(positions(spark.range(3).selectExpr("id as d", "'mill race' as text"), "d", "text"))
+    dealt = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    assert dealt and not any("term" in d for d in dealt)
