@@ -17,7 +17,8 @@ of them, and a fingerprint takes about a tenth of a long text. Of N anchors that
 decide: their likeness L has a standard error of about sqrt(L (1 - L) ``SHARE`` / N), 0.04 at L = 0.75 for 1,000 words. Every
 text has the runs at its ends, so short texts, down to one word, are compared by them (by runs of characters, not
 by syncmers) without a threshold at which the rule changes; in long ones they count little. The likeness of two
-fingerprints is twice the shared distinct hashes over the sum of both.
+fingerprints is twice the shared distinct hashes over the sum of both. Beside it stands the likeness by all anchors (``whole``),
+which no bound thins.
 
 Defined cases: a missing text is empty; a text with blanks only has an empty fingerprint;
 one of fewer than ``RUN`` characters has the hash of all of them; blanks at the ends of a text do
@@ -116,16 +117,30 @@ def _runs(part: Column, last: Column) -> Column:
     return F.transform(_upto(last), lambda i: _short(F.xxhash64(F.substring(part, i + 1, F.lit(RUN)))))
 
 
-def marks(text: Column) -> Column:
-    """The hashes of a text's fingerprint: its first characters' runs, its fine anchors, its last characters' runs."""
+def parts(text: Column) -> Column:
+    """struct of hashes (first, anchors, last): the first characters' runs, all fine anchors, the last characters' runs."""
     plain = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
     n = F.length(plain)
     # The last runs begin behind the first ones, so a text of up to 2 * END - RUN + 1 characters has each run once.
     left = F.greatest(F.least(n - (END - RUN + 1), F.lit(END)), F.lit(0))
     first = _let(F.substring(plain, 1, END), lambda e: _runs(e, F.when(F.length(e) > 0, F.greatest(F.length(e) - RUN, F.lit(0))).otherwise(-1)))
     last = _let(F.right(plain, left), lambda e: _runs(e, F.length(e) - RUN))
-    kept = F.filter(anchors(text, FINE), lambda h: h < F.lit((MASK + 1) // SHARE))
-    return F.concat(first, kept, last)
+    return F.struct(first.alias("first"), anchors(text, FINE).alias("anchors"), last.alias("last"))
+
+
+def whole(found: Column) -> Column:
+    """All hashes of the parts, in order."""
+    return F.concat(found["first"], found["anchors"], found["last"])
+
+
+def kept(found: Column) -> Column:
+    """The hashes of the parts that a fingerprint keeps, in order."""
+    return F.concat(found["first"], F.filter(found["anchors"], lambda h: h < F.lit((MASK + 1) // SHARE)), found["last"])
+
+
+def marks(text: Column) -> Column:
+    """The hashes of a text's fingerprint."""
+    return kept(parts(text))
 
 
 def fingerprint(found: Column) -> Column:
@@ -147,11 +162,11 @@ def matched_places(a: Column, b: Column) -> Column:
 
 
 def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, text, found, head, next_found): each row with its marks, the beginning of the next document that
-    an edit of its last quarter needs, and the next document's marks.
+    """(key, text, parts, head, next_found, next_whole): each row with its hashes, the beginning of the next document that
+    an edit of its last quarter needs, and the next document's marks and all its hashes.
 
     Only ids are put in order. A text is shuffled once by id; of the next document only the beginning and the
-    marks travel. A text's own are computed again behind the shuffle, which costs less than shuffling them.
+    hashes travel. A text's own are computed again behind the shuffle, which costs less than shuffling them.
     """
     rows = docs.select(F.struct(F.col(key).alias("id")).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     sizes = docs.groupBy(F.col(key).alias("id")).agg(F.max(F.coalesce(F.length(text), F.lit(0))).alias("n"))
@@ -162,12 +177,14 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     )
     following = placed.select(F.struct("id").alias("doc"), "place").join(before, "place").drop("place")
     beginnings = rows.join(following, "doc").select(
-        F.col("previous").alias("doc"), F.struct(F.expr("substring(text, 1, need)").alias("head"), marks(F.col("text")).alias("found")).alias("next")
+        F.col("previous").alias("doc"), F.expr("substring(text, 1, need)").alias("head"), parts(F.col("text")).alias("parts")
     )
-    firsts = beginnings.groupBy("doc").agg(F.min("next").alias("next"))
+    nexts = F.struct("head", kept(F.col("parts")).alias("found"), whole(F.col("parts")).alias("whole"))
+    firsts = beginnings.select("doc", nexts.alias("next")).groupBy("doc").agg(F.min("next").alias("next"))
     return rows.join(firsts, "doc").select(
-        F.col("doc.id").alias(key), "text", marks(F.col("text")).alias("found"), F.col("next.head").alias("head"), F.col("next.found").alias("next_found")
-    )
+        F.col("doc.id").alias(key), "text", parts(F.col("text")).alias("parts"),
+        F.col("next.head").alias("head"), F.col("next.found").alias("next_found"), F.col("next.whole").alias("next_whole"),
+    )
 
 
 def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -175,7 +192,10 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
     quarter = F.floor(F.length("text") / 4).cast("int")
     edited = F.concat(F.expr("substring(text, 1, length(text) - _quarter)"), F.expr("substring(head, 1, _quarter)"))
     rows = with_next(docs, key, text).withColumn("_quarter", quarter).withColumn("edited", edited)
-    both = rows.withColumn("edited_found", marks(F.col("edited")))
+    both = rows.withColumn("edited_parts", parts(F.col("edited")))
+    of = {"found": kept(F.col("parts")), "whole": whole(F.col("parts"))}
+    of |= {"edited_found": kept(F.col("edited_parts")), "edited_whole": whole(F.col("edited_parts"))}
+    both = both.withColumns(of)
     return both.select(
         key,
         F.length("text").cast("bigint").alias("n_chars"),
@@ -184,4 +204,6 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
         fingerprint(F.col("edited_found")).alias("edited_fingerprint"),
         likeness(F.col("found"), F.col("edited_found")).alias("near_edited"),
         likeness(F.col("found"), F.col("next_found")).alias("near_next"),
+        likeness(F.col("whole"), F.col("edited_whole")).alias("near_edited_whole"),
+        likeness(F.col("whole"), F.col("next_whole")).alias("near_next_whole"),
     )

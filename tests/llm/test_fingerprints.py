@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from millrace.llm.fingerprints import END, FINE, K, RUN, S, SHARE, WINDOW, anchors, anchors_with_places, edited_fingerprints, likeness, marks, matched_places
+from millrace.llm.fingerprints import END, FINE, K, RUN, S, SHARE, WINDOW, anchors, anchors_with_places, edited_fingerprints, kept, likeness, marks, matched_places, parts, whole
 
 
 def brute(spark, text):
@@ -212,3 +212,27 @@ def test_registered_fingerprints_equal_brute_force(spark, small):
         if r["n_chars"] > 3000:  # shorter ones have mostly the runs at their ends
             size, chars = size + len(r["fingerprint"]), chars + r["n_chars"]
     assert 0 < size < 0.12 * chars
+
+
+def test_all_anchors_count_beside_the_fingerprint(spark, docs, texts):
+    """Likeness by all anchors equals brute force, where the fingerprint's rests on a part of them."""
+    rows = list(enumerate(t for t in texts if t is None or len(t) < 3000))
+    edits = plain_edit(rows)
+    given = [t or "" for _, t in rows] + [edits[i][0] for i, _ in rows]
+    found = fine_brute(spark, given)
+    ends = [r for r in docs(list(enumerate(given))).select("doc_id", parts(F.col("text")).alias("p")).collect()]
+    end = {r["doc_id"]: (r["p"]["first"], r["p"]["last"]) for r in ends}
+    all_of = [set(end[i][0]) | {v for _, v in f} | set(end[i][1]) for i, f in enumerate(found)]
+    dice = lambda a, b: 2 * len(a & b) / (len(a) + len(b)) if a or b else 1.0
+    for r in edited_fingerprints(docs(rows)).collect():
+        i = r["doc_id"]
+        assert abs(r["near_edited_whole"] - dice(all_of[i], all_of[len(rows) + i])) < 1e-12
+        assert abs(r["near_next_whole"] - dice(all_of[i], all_of[(i + 1) % len(rows)])) < 1e-12
+
+
+def test_one_changed_word_shows_in_all_anchors(spark):
+    words = [f"w{i * i % 977}x{i}" for i in range(300)]
+    rows = [(" ".join(words), " ".join([*words[:k], "other", *words[k + 1 :]])) for k in range(20, 280, 5)]
+    frame = spark.createDataFrame(rows, "a string, b string").select(parts(F.col("a")).alias("a"), parts(F.col("b")).alias("b"))
+    got = frame.select(likeness(kept(F.col("a")), kept(F.col("b"))).alias("kept"), likeness(whole(F.col("a")), whole(F.col("b"))).alias("whole")).collect()
+    assert any(r["kept"] == 1 for r in got) and all(0.97 < r["whole"] < 1 for r in got)
