@@ -6,8 +6,8 @@ equal token sets are one class. Classes are linked if their Jaccard similarity r
 its class or of a linked class.
 
 The join orders each line's tokens by rarity, takes as prefix the rarest that two
-similar lines can't both lack, joins prefixes on equal tokens, and drops pairs whose
-lengths or whose positions of the shared token rule out the similarity. The full sets of the
+similar lines can't both lack, joins prefixes on equal tokens, and drops in the join itself what
+the lengths or the positions of the shared token rule out. The full sets of the
 lines in what stays are computed again; parities of their tokens drop nearly all pairs that are
 not alike, and the rest is verified on the full sets. The filters are exact for any fixed order of tokens; rarity
 only keeps the candidates few, so it is estimated: the words' counts over all texts,
@@ -125,12 +125,10 @@ def _candidates(classes: DataFrame, similar: Similar) -> DataFrame:
     earlier = F.expr("c.token = d.token and (d.id < c.id or d.id = c.id and d.line < c.line)")
     alike = F.expr(f"100 * least(c.n, d.n) >= {t} * greatest(c.n, d.n)")
     places = [F.col(f"{side}.{x}").alias(f"{side}_{x}") for side in "cd" for x in ("id", "line")]
-    left = F.expr("least(c.n - c.at, d.n - d.at)").alias("left")
-    met = late.join(early, earlier & alike).select(*places, left, F.expr("c.n + d.n").alias("n"))
-    # All tokens shared up to the last one met lie in both prefixes; beyond it, no more than what is left of either.
-    shared = F.count(F.lit(1)) - 1 + F.min("left")
-    pairs = met.groupBy("c_id", "c_line", "d_id", "d_line").agg(shared.alias("shared"), F.first("n").alias("n"))
-    return pairs.where(F.col("shared") * (100 + t) >= F.col("n") * t).select("c_id", "c_line", "d_id", "d_line")
+    # The first token that two sets share leaves room for all the tokens they must share, in either: of a
+    # similar pair it is met, so other meetings go before they are moved.
+    room = F.expr(f"least(c.n - c.at, d.n - d.at) * {100 + t}L >= (c.n + d.n) * {t}L")
+    return late.join(early, earlier & alike & room).select(*places).distinct()
 
 
 def _marks(found: Column) -> Column:
@@ -183,7 +181,7 @@ def dedup_lines(docs: DataFrame, similar: Similar = Similar(), key: str = "doc_i
     ``n_links`` counts, for the lines that are the first of their class, the linked earlier classes.
     """
     weights = word_weights(docs, text)
-    classes = written(line_classes(docs, similar, key, text, weights), "line-classes")
+    classes = written(line_classes(docs, similar, key, text, weights).drop("class"), "line-classes")
     pairs = written(_candidates(classes, similar), "line-pairs")
     rows = docs.select(F.coalesce(F.col(key), F.lit(LAST_ID)).alias("id"), F.col(text).alias("text"))
     sets = written(_sets(rows, pairs, similar, weights), "line-sets")

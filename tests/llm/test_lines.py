@@ -1,6 +1,8 @@
+import random
+
 import pytest
 
-from millrace.llm.line_dedup import Similar, dedup_lines
+from millrace.llm.line_dedup import Similar, _candidates, dedup_lines
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -72,3 +74,21 @@ def test_missing_empty_and_blank(docs):
     got = {r[0]: r[1:] for r in found(dedup_lines(docs([(1, None), (2, ""), (3, " \n\t"), (4, "a")])))}
     assert got == {1: (0, 0, 0, ""), 2: (1, 0, 0, ""), 3: (2, 0, 0, " \n\t"), 4: (1, 0, 0, "a")}
     assert dedup_lines(docs([], 1)).collect() == []
+
+
+def test_random_lines_near_the_threshold(docs):
+    rng = random.Random(8)
+    line = lambda: " ".join(rng.sample("abcdefghijkl", rng.randrange(2, 10)))
+    rows = [(i, "\n".join(line() for _ in range(3))) for i in range(60)]
+    for similar in (Similar(percent=50, width=1), Similar(percent=75, width=1)):
+        assert found(dedup_lines(docs(rows), similar)) == brute(rows, similar)
+
+
+def test_meetings_without_room_end_in_the_join(spark):
+    """Two sets of 20 tokens must share 18 for 80 %, so the first one they share is among the first three of both."""
+    rows = [(i, 0, 20, [i * 10, i * 10 + 1, -1 if i < 3 else i * 10 + 2, -2, -3]) for i in range(40)]
+    classes = spark.createDataFrame(rows, "id bigint, line int, n int, prefix array<bigint>")
+    got = _candidates(classes, Similar())
+    assert sorted((r["c_id"], r["d_id"]) for r in got.collect()) == [(1, 0), (2, 0), (2, 1)]
+    (join,) = [x for x in got._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join Inner" in x]
+    assert "* 180" in join
