@@ -5,14 +5,14 @@ equal token sets are one class. Classes are linked if their Jaccard similarity r
 ``percent``. A line goes if an earlier one (smaller id, or same id further up) is of
 its class or of a linked class.
 
-The join orders each line's tokens by rarity, takes as prefix the rarest that two
-similar lines can't both lack, joins prefixes on equal tokens, and drops in the join itself what
-the lengths or the positions of the shared token rule out. The full sets of the
-lines in what stays are computed again; parities of their tokens drop nearly all pairs that are
-not alike, and the rest is verified on the full sets. The filters are exact for any fixed order of tokens; rarity
-only keeps the candidates few, so it is estimated: the words' counts over all texts,
-summed by hash into ``BUCKETS`` numbers, which is all that goes to the tasks, and a run is
-as rare as every other word of it makes it. Of most lines only the prefix is shuffled.
+The join takes as prefix the tokens, in one fixed order, that two similar lines can't both lack; the
+order is that of their hashes. Prefix tokens that no other line posts go first, which is nearly all. The full sets of the
+lines that post a shared one are computed again and their tokens counted, so that the number of
+tokens a line has to itself is known. They are the rarest and stand before all others, as if the prefix had been
+ordered by rarity: prefixes are joined on equal tokens, and the join itself drops what the lengths or the
+positions of the shared token, behind the tokens of one line only, rule out. So copies with many edits don't meet.
+Parities of the tokens drop nearly all pairs that are left and not alike, and the rest is verified on the full sets. Of most lines
+only the prefix is shuffled.
 
 Defined cases: lines without words stay; a missing text has no lines; an empty text has
 one blank line; rows that share an id count as one place, so equal lines at equal numbers there don't
@@ -21,10 +21,10 @@ remove each other; a missing id comes last (the largest number stands for it); a
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.fingerprints import _let, _upto
@@ -33,9 +33,8 @@ from millrace.session import written
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = " \t\n\x0b\x0c\r"
 GAP = "[ \\t\\n\\x0b\\f\\r]+"
-BUCKETS = 4096  # a power of two
-HASH_BITS, WORD_BITS = 52, 48
 MARKS = 4
+HOT = 16
 LAST_ID = (1 << 63) - 1
 
 
@@ -49,19 +48,6 @@ def _trimmed(line: Column) -> Column:
     return F.btrim(line, F.lit(BLANKS))
 
 
-def _bucket(word_hash: Column) -> Column:
-    return word_hash.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
-
-
-def word_weights(docs: DataFrame, text: str) -> list[int]:
-    """The binary logarithm of the word count of each hash bucket: a fixed number of values."""
-    # An estimate: cut at single blanks and line breaks, capitals apart, which is cheaper than the exact rule.
-    parts = F.split(F.replace(F.col(text), F.lit("\n"), F.lit(" ")), " ")
-    words = docs.select(F.explode(parts).alias("w")).select(_bucket(F.xxhash64("w")).alias("b"))
-    counts = {r["b"]: r["n"] for r in words.groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [counts.get(b, 0).bit_length() for b in range(BUCKETS)]
-
-
 def _words(line: Column) -> Column:
     """The words of a line, A-Z in lower case; a line that needs neither trimming nor other gaps is cut at each blank."""
     # Lines of single bytes have no other capitals, so the quick function agrees on them.
@@ -72,28 +58,18 @@ def _words(line: Column) -> Column:
     return F.when(odd, F.split(_trimmed(plain), GAP)).otherwise(F.split(plain, " "))
 
 
-def tokens(line: Column, weights: list[int], width: int) -> Column:
-    """Distinct tokens of a line, rarest first: numbers with the commonness of the words above a hash."""
-    table = F.lit(np.array(weights, dtype=np.int64) << HASH_BITS)  # one literal
-    low, zero = F.lit((1 << HASH_BITS) - 1), F.lit(0).cast("bigint")
-
-    # The default for missing elements never occurs; it tells that there are none, which makes sorting quicker.
-    def word(h: Column) -> Column:
-        return F.coalesce(F.get(table, _bucket(h)), zero).bitwiseOR(F.shiftrightunsigned(h, 64 - WORD_BITS))
+def tokens(line: Column, width: int) -> Column:
+    """Distinct tokens of a line in the order of their hashes."""
 
     def runs(p: Column) -> Column:
         def token(first: Column, i: Column) -> Column:
-            rest = [F.get(p, i + j) for j in range(1, width)]
-            # Weights add up above the hashes, whose sum does not reach them. Every other word tells enough.
-            weight = sum(rest[1::2], first).bitwiseAND(F.lit(~((1 << HASH_BITS) - 1)))
-            return F.coalesce(weight, zero).bitwiseOR(F.xxhash64(first, *rest).bitwiseAND(low))
+            return F.xxhash64(first, *[F.get(p, i + j) for j in range(1, width)])
 
         # The last places have no full run of words.
         return F.sort_array(F.array_distinct(F.transform(F.slice(p, F.lit(1), F.size(p) - (width - 1)), token)))
 
     def of(h: Column) -> Column:
-        whole = F.array(F.xxhash64(h).bitwiseAND(low))
-        return F.when(F.size(h) >= width, _let(F.transform(h, word), runs)).otherwise(whole)
+        return F.when(F.size(h) >= width, runs(h)).otherwise(F.array(F.xxhash64(h)))
 
     found = _let(F.transform(_words(line), lambda w: F.xxhash64(w)), of)
     return F.when(_trimmed(line) != "", found).otherwise(F.array().cast("array<bigint>"))
@@ -104,11 +80,11 @@ def _prefix_size(n: Column, percent: int) -> Column:
     return (n - F.ceil(n * percent / F.lit(100.0)) + 1).cast("int")
 
 
-def line_classes(docs: DataFrame, similar: Similar, key: str, text: str, weights: list[int]) -> DataFrame:
+def line_classes(docs: DataFrame, similar: Similar, key: str, text: str) -> DataFrame:
     """(class, id, line, n, prefix): each distinct token set with its first place and prefix."""
     lines = docs.select(F.coalesce(F.col(key), F.lit(LAST_ID)).alias("id"), F.posexplode(F.split(text, "\n", -1)).alias("line", "words"))
     # Blank lines are left out by their text: a condition on the tokens would compute these twice.
-    found = lines.where(_trimmed(F.col("words")) != "").withColumn("tokens", tokens(F.col("words"), weights, similar.width))
+    found = lines.where(_trimmed(F.col("words")) != "").withColumn("tokens", tokens(F.col("words"), similar.width))
     name = F.struct(F.xxhash64("tokens").alias("h"), F.xxhash64(F.lit(1), F.col("tokens")).alias("g"))
     n = F.size("tokens")
     place = F.struct("id", "line", n.alias("n"), F.slice("tokens", F.lit(1), _prefix_size(n, similar.percent)).alias("prefix"))
@@ -116,19 +92,74 @@ def line_classes(docs: DataFrame, similar: Similar, key: str, text: str, weights
     return firsts.select("class", "place.*")
 
 
+def _posted(classes: DataFrame) -> DataFrame:
+    """(id, line, n, at, token): the prefixes token by token."""
+    # A single token is shared by one class only.
+    return classes.where("n > 1").select("id", "line", "n", F.posexplode("prefix").alias("at", "token"))
+
+
+def _shared(posted: DataFrame, similar: Similar) -> DataFrame:
+    """Of the posted tokens those that another line posts, too, of a number of tokens that lets both be alike."""
+    posts = F.count(F.lit(1)).over(Window.partitionBy("token"))
+    # Logarithms in millionths, the bound a little wider for their rounding.
+    far = math.ceil(math.log(100 / similar.percent) * 1_000_000) + 2
+    length = F.floor(F.log("n") * 1_000_000)
+    near = F.count(F.lit(1)).over(Window.partitionBy("token").orderBy(length).rangeBetween(-far, far))
+    again = posted.withColumn("posts", posts).where("posts > 1").drop("posts")
+    return again.withColumn("near", near).where("near > 1")
+
+
+def _placed(shared: DataFrame, sets: DataFrame, similar: Similar) -> DataFrame:
+    """The shared tokens that leave room, with the marks of their line; ``hot`` ones, which more than ``HOT`` lines
+    post, with their least position (``least``) once the tokens that only one line with hot ones has stand first."""
+    hot = (F.col("near") > HOT) & ~F.col("mixed")
+    # Cut to 32 bits, which can only make a token of one set look shared.
+    spread = sets.where(hot).select("place", F.explode("tokens").alias("token")).select("place", F.shiftright("token", 32).cast("int").alias("t"))
+    counted = spread.groupBy("t").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("place")).where("n = 1")
+    alone = counted.groupBy("place").agg(F.count(F.lit(1)).cast("int").alias("alone"))
+    own = sets.select("id", "line", "place", "mixed", "marks", F.col("n").alias("size"))
+    rows = shared.join(own, ["id", "line"]).withColumn("hot", hot)
+    posts = F.count(F.lit(1)).over(Window.partitionBy("token"))
+    line = Window.partitionBy("place").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    many = rows.where("hot").withColumn("posts", posts).withColumn("before", F.coalesce(F.count_if(F.col("posts") > 1).over(line), F.lit(0)))
+    least = F.greatest(F.col("at"), F.coalesce("alone", F.lit(0)) + F.col("before")).cast("int")
+    # The least that a line must share with any is its part of the shortest that can be alike.
+    ranked = many.join(alone, "place", "left").withColumn("least", least).where(F.expr(f"(n - least) * 100 >= n * {similar.percent}"))
+    both = ranked.select(*rows.columns, "least").unionAll(rows.where("not hot").withColumn("least", F.col("at")))
+    return both.drop("near", "place", "mixed")
+
+
 def _candidates(classes: DataFrame, similar: Similar) -> DataFrame:
     """(c_id, c_line, d_id, d_line): first places of classes that may be linked, the later one as ``c``."""
+    return _meetings(_posted(classes), similar, {side: f"{side}.at" for side in "cd"})
+
+
+def _meetings(posted: DataFrame, similar: Similar, at: dict[str, str], alike: Column | None = None) -> DataFrame:
+    """Pairs of places by a posted token whose position, as ``at`` tells it, leaves room; ``alike`` must hold, too."""
     t = similar.percent
-    # A single token is shared by one class only.
-    posted = classes.where("n > 1").select("id", "line", "n", F.posexplode("prefix").alias("at", "token"))
     late, early = posted.alias("c"), posted.alias("d")
     earlier = F.expr("c.token = d.token and (d.id < c.id or d.id = c.id and d.line < c.line)")
-    alike = F.expr(f"100 * least(c.n, d.n) >= {t} * greatest(c.n, d.n)")
+    lengths = F.expr(f"100 * least(c.n, d.n) >= {t} * greatest(c.n, d.n)")
     places = [F.col(f"{side}.{x}").alias(f"{side}_{x}") for side in "cd" for x in ("id", "line")]
     # The first token that two sets share leaves room for all the tokens they must share, in either: of a
     # similar pair it is met, so other meetings go before they are moved.
-    room = F.expr(f"least(c.n - c.at, d.n - d.at) * {100 + t}L >= (c.n + d.n) * {t}L")
-    return late.join(early, earlier & alike & room).select(*places).distinct()
+    room = F.expr(f"least(c.n - {at['c']}, d.n - {at['d']}) * {100 + t}L >= (c.n + d.n) * {t}L")
+    met = earlier & lengths & room if alike is None else earlier & lengths & room & alike
+    return late.join(early, met).select(*places).distinct()
+
+
+def _near(placed: DataFrame, similar: Similar) -> DataFrame:
+    """The candidates whose marks let them be alike.
+
+    A token that only one of two sets holds changes one parity, so the parities that differ
+    are a lower bound of such tokens: most pairs go by it in the join, before they are moved.
+    """
+    differ = sum((F.bit_count(F.get("c.marks", F.lit(k)).bitwiseXOR(F.get("d.marks", F.lit(k)))) for k in range(1, MARKS)),
+                 F.bit_count(F.get("c.marks", F.lit(0)).bitwiseXOR(F.get("d.marks", F.lit(0)))))
+    # With n tokens in both together, of which u in one set only, the similarity is (n - u) / (n + u).
+    n = F.col("c.size") + F.col("d.size")
+    alike = (n - differ) * 100 >= (n + differ) * similar.percent
+    return _meetings(placed, similar, {side: f"if(c.hot and d.hot, {side}.least, {side}.at)" for side in "cd"}, alike)
 
 
 def _marks(found: Column) -> Column:
@@ -142,36 +173,29 @@ def _marks(found: Column) -> Column:
     return F.array(*[part(k) for k in range(MARKS)])
 
 
-def _sets(rows: DataFrame, pairs: DataFrame, similar: Similar, weights: list[int]) -> DataFrame:
-    """(id, line, tokens, n, marks) of the lines that stand in a pair."""
-    side = lambda s: pairs.select(F.col(f"{s}_id").alias("id"), F.col(f"{s}_line").alias("line"))
-    by_doc = side("c").unionAll(side("d")).distinct().groupBy("id").agg(F.collect_list("line").alias("lines"))
+def _sets(rows: DataFrame, shared: DataFrame, similar: Similar) -> DataFrame:
+    """(place, id, line, tokens, n, marks, mixed, near) of the lines that post shared tokens.
+
+    ``place`` is a number of its own, ``mixed`` tells that rows of one id have several sets there.
+    """
+    lines = shared.groupBy("id", "line").agg(F.max("near").alias("near"))
+    by_doc = lines.groupBy("id").agg(F.collect_list(F.struct("line", "near")).alias("lines"))
     split = rows.join(by_doc, "id").withColumn("all", F.split("text", "\n", -1))
-    chosen = split.select("id", F.explode(F.transform("lines", lambda i: F.struct(i.alias("line"), F.get("all", i).alias("words")))).alias("l"))
+    chosen = split.select("id", F.explode(F.transform("lines", lambda i: F.struct(i["line"], i["near"], F.get("all", i["line"]).alias("words")))).alias("l"))
     chosen = chosen.where(_trimmed(F.col("l.words")) != "")
-    full = chosen.select("id", F.col("l.line").alias("line"), tokens(F.col("l.words"), weights, similar.width).alias("tokens"))
+    full = chosen.select("id", "l.line", "l.near", tokens(F.col("l.words"), similar.width).alias("tokens"))
     # Rows that share an id: the place stands for its least token set.
-    least = full.groupBy("id", "line").agg(F.min("tokens").alias("tokens"))
-    return least.withColumns({"n": F.size("tokens"), "marks": _marks(F.col("tokens"))})
+    least = full.groupBy("id", "line").agg(F.max("near").alias("near"), F.min("tokens").alias("tokens"), F.max("tokens").alias("most"))
+    more = {"n": F.size("tokens"), "marks": _marks(F.col("tokens")), "mixed": F.col("tokens") != F.col("most")}
+    return least.withColumns(more).drop("most").withColumn("place", F.monotonically_increasing_id())
 
 
 def _links(pairs: DataFrame, sets: DataFrame, similar: Similar) -> DataFrame:
-    """(id, line, links): how many earlier classes a class is linked with, by its first place.
-
-    A token that only one of two sets holds changes one parity, so the parities that differ
-    are a lower bound of such tokens: most pairs go by it before any set is moved.
-    """
-    t = similar.percent
-    named = lambda s, *kept: sets.select(*[F.col(x).alias(f"{s}_{x}") for x in ("id", "line", *kept)])
-    both = lambda p, *kept: p.join(named("c", *kept), ["c_id", "c_line"]).join(named("d", *kept), ["d_id", "d_line"])
-    differ = sum((F.bit_count(F.get("c_marks", F.lit(k)).bitwiseXOR(F.get("d_marks", F.lit(k)))) for k in range(1, MARKS)),
-                 F.bit_count(F.get("c_marks", F.lit(0)).bitwiseXOR(F.get("d_marks", F.lit(0)))))
-    # With n tokens in both together, of which u in one set only, the similarity is (n - u) / (n + u).
-    n = F.col("c_n") + F.col("d_n")
-    near = both(pairs, "n", "marks").where((n - differ) * 100 >= (n + differ) * t).select(pairs.columns)
-    near = written(near, "line-near")
+    """(id, line, links): how many earlier classes a class is linked with, by its first place."""
+    named = lambda s: sets.select(*[F.col(x).alias(f"{s}_{x}") for x in ("id", "line", "tokens")])
+    both = pairs.join(named("c"), ["c_id", "c_line"]).join(named("d"), ["d_id", "d_line"])
     common = F.size(F.array_intersect("c_tokens", "d_tokens"))
-    linked = both(near, "tokens").where(common * 100 >= (F.size("c_tokens") + F.size("d_tokens") - common) * t)
+    linked = both.where(common * 100 >= (F.size("c_tokens") + F.size("d_tokens") - common) * similar.percent)
     return linked.groupBy(F.col("c_id").alias("id"), F.col("c_line").alias("line")).agg(F.count(F.lit(1)).alias("links"))
 
 
@@ -180,11 +204,11 @@ def dedup_lines(docs: DataFrame, similar: Similar = Similar(), key: str = "doc_i
 
     ``n_links`` counts, for the lines that are the first of their class, the linked earlier classes.
     """
-    weights = word_weights(docs, text)
-    classes = written(line_classes(docs, similar, key, text, weights).drop("class"), "line-classes")
-    pairs = written(_candidates(classes, similar), "line-pairs")
+    classes = written(line_classes(docs, similar, key, text).drop("class"), "line-classes")
+    shared = written(_shared(_posted(classes), similar), "line-shared")
     rows = docs.select(F.coalesce(F.col(key), F.lit(LAST_ID)).alias("id"), F.col(text).alias("text"))
-    sets = written(_sets(rows, pairs, similar, weights), "line-sets")
+    sets = written(_sets(rows, shared, similar), "line-sets")
+    pairs = written(_near(_placed(shared, sets, similar), similar), "line-pairs")
     links = _links(pairs, sets, similar)
     judged = classes.select("id", "line").join(links, ["id", "line"], "left")
     by_doc = judged.groupBy("id").agg(

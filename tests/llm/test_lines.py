@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from millrace.llm import line_dedup
 from millrace.llm.line_dedup import Similar, _candidates, dedup_lines
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -92,3 +93,45 @@ def test_meetings_without_room_end_in_the_join(spark):
     assert sorted((r["c_id"], r["d_id"]) for r in got.collect()) == [(1, 0), (2, 0), (2, 1)]
     (join,) = [x for x in got._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join Inner" in x]
     assert "* 180" in join
+
+
+def edited_copies(n):
+    """Copies of a line of 100 words, every tenth with one word changed, the others with four."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(100)]
+    out = []
+    for k in range(n):
+        line = list(base)
+        for j in rng.sample(range(100), 1 if k % 10 == 0 else 4):
+            line[j] = f"n{k}x{j}"
+        out.append(" ".join(line))
+    return out
+
+
+def test_copies_with_many_edits_make_no_pairs(docs, monkeypatch):
+    """Two copies of 96 tokens are alike with two edits in both together, so those with four are like none."""
+    made, write = {}, line_dedup.written
+
+    def written(df, label):
+        made[label] = write(df, label)
+        return made[label]
+
+    monkeypatch.setattr(line_dedup, "written", written)
+    rows = list(enumerate(edited_copies(80)))
+    got = found(dedup_lines(docs(rows)))
+    assert got == brute(rows, Similar())
+    assert sum(r[3] for r in got) == made["line-pairs"].count() == 8 * 7 // 2
+
+
+@pytest.mark.parametrize("hot", [0, 1, 4])
+def test_lines_of_hot_tokens_match_all_pairs(docs, monkeypatch, hot):
+    """With a null id and lines of other lengths among the copies."""
+    monkeypatch.setattr(line_dedup, "HOT", hot)
+    copies = edited_copies(40)
+    rng = random.Random(6)
+    cut = [" ".join(c.split(" ")[: rng.randrange(70, 100)]) for c in copies]
+    rows = [(i, f"{a}\n{b}\n{a}") for i, (a, b) in enumerate(zip(copies, cut, strict=True))] + [(None, copies[3] + " end")]
+    assert found(dedup_lines(docs(rows))) == brute(rows, Similar())
+    rows = [(i, "\n".join(" ".join(rng.sample("abcdefghijkl", rng.randrange(2, 10))) for _ in range(3))) for i in range(60)]
+    for similar in (Similar(percent=50, width=1), Similar(percent=75, width=1)):
+        assert found(dedup_lines(docs(rows), similar)) == brute(rows, similar)
