@@ -111,7 +111,8 @@ def _shared(posted: DataFrame, similar: Similar) -> DataFrame:
 
 def _placed(shared: DataFrame, sets: DataFrame, similar: Similar) -> DataFrame:
     """The shared tokens that leave room, with the marks of their line; ``hot`` ones, which more than ``HOT`` lines
-    post, with their least position (``least``) once the tokens that only one line with hot ones has stand first."""
+    post, with their least position (``least``) once the tokens that only one line with hot ones has stand first, and
+    the hot ones of the line before them."""
     hot = (F.col("near") > HOT) & ~F.col("mixed")
     # Cut to 32 bits, which can only make a token of one set look shared.
     spread = sets.where(hot).select("place", F.explode("tokens").alias("token")).select("place", F.shiftright("token", 32).cast("int").alias("t"))
@@ -121,11 +122,13 @@ def _placed(shared: DataFrame, sets: DataFrame, similar: Similar) -> DataFrame:
     rows = shared.join(own, ["id", "line"]).withColumn("hot", hot)
     posts = F.count(F.lit(1)).over(Window.partitionBy("token"))
     line = Window.partitionBy("place").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    many = rows.where("hot").withColumn("posts", posts).withColumn("before", F.coalesce(F.count_if(F.col("posts") > 1).over(line), F.lit(0)))
-    least = F.greatest(F.col("at"), F.coalesce("alone", F.lit(0)) + F.col("before")).cast("int")
+    known = F.collect_list(F.when(F.col("posts") > 1, F.col("token"))).over(line)
+    many = rows.where("hot").withColumn("posts", posts).withColumn("before", known)
+    least = F.greatest(F.col("at"), F.coalesce("alone", F.lit(0)) + F.size("before"))
     # The least that a line must share with any is its part of the shortest that can be alike.
     ranked = many.join(alone, "place", "left").withColumn("least", least).where(F.expr(f"(n - least) * 100 >= n * {similar.percent}"))
-    both = ranked.select(*rows.columns, "least").unionAll(rows.where("not hot").withColumn("least", F.col("at")))
+    cold = rows.where("not hot").withColumns({"least": F.col("at"), "before": F.array().cast("array<bigint>")})
+    both = ranked.select(*rows.columns, "least", "before").unionAll(cold.select(*rows.columns, "least", "before"))
     return both.drop("near", "place", "mixed")
 
 
@@ -159,6 +162,8 @@ def _near(placed: DataFrame, similar: Similar) -> DataFrame:
     # With n tokens in both together, of which u in one set only, the similarity is (n - u) / (n + u).
     n = F.col("c.size") + F.col("d.size")
     alike = (n - differ) * 100 >= (n + differ) * similar.percent
+    # Lines meet by the first hot token they share, not by each.
+    alike = alike & ~F.arrays_overlap("c.before", "d.before")
     return _meetings(placed, similar, {side: f"if(c.hot and d.hot, {side}.least, {side}.at)" for side in "cd"}, alike)
 
 
@@ -208,7 +213,8 @@ def dedup_lines(docs: DataFrame, similar: Similar = Similar(), key: str = "doc_i
     shared = written(_shared(_posted(classes), similar), "line-shared")
     rows = docs.select(F.coalesce(F.col(key), F.lit(LAST_ID)).alias("id"), F.col(text).alias("text"))
     sets = written(_sets(rows, shared, similar), "line-sets")
-    pairs = written(_near(_placed(shared, sets, similar), similar), "line-pairs")
+    placed = written(_placed(shared, sets, similar), "line-placed")
+    pairs = written(_near(placed, similar), "line-pairs")
     links = _links(pairs, sets, similar)
     judged = classes.select("id", "line").join(links, ["id", "line"], "left")
     by_doc = judged.groupBy("id").agg(
