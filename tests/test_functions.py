@@ -141,3 +141,13 @@ def test_array_conditions(spark):
     assert covers == [True, False, False, True]
     assert [r[0] for r in df.select(not_constant(F.col("r"))).collect()] == [True, True, False, True]
     assert [r[0] for r in df.select(diagonal_element(F.col("r"), F.lit(3))).collect()] == [None] * 4
+
+
+def test_rounded_equals_round(spark):
+    values = [k / 200000 for k in range(-601, 602)] + [0.1 * k for k in range(50)]
+    values += [v + d for v in (0.000005, 1.000015, 70000.123455) for d in (-1e-12, 1e-12)]
+    values += [0.0, -0.0, -1e-9, 1e9, 123456789.123455, -1e15, 1e300, float("inf"), float("-inf"), float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (0, 2, 5):
+        got = df.select(numeric.rounded(F.col("v"), digits).alias("got"), F.round("v", digits).alias("want")).collect()
+        assert [repr(r["got"]) for r in got] == [repr(r["want"]) for r in got]

@@ -487,3 +487,23 @@ def test_large_distance_matrices_copy_a_vector_once_for_many_tiles(spark):
     for r in got:
         a, b = rows[r["x_id"]][1], rows[r["y_id"]][1]
         assert r["distance"] is None if a is None or b is None else abs(r["distance"] - math.dist(a, b)) < 1e-6
+
+
+def test_every_group_of_a_distance_matrix_is_a_task_of_its_own(spark):
+    vecs = np.random.default_rng(3).random((150, 3)).tolist()
+    x = spark.createDataFrame(list(enumerate(vecs)), "x_id bigint, vec array<double>")
+    y = x.withColumnRenamed("x_id", "y_id")
+    parts = distance_matrix(x, y, tile=30).groupBy(F.spark_partition_id().alias("part"))
+    got = parts.agg(F.count_distinct("x_id").alias("x"), F.count_distinct("y_id").alias("y"), F.count(F.lit(1)).alias("n")).collect()
+    assert len(got) == 25 and sum(r["n"] for r in got) == 150 * 150  # five stripes a side
+    assert all(r["n"] == r["x"] * r["y"] for r in got)
+
+
+def test_distances_where_a_side_or_a_tile_has_no_vectors(spark):
+    x = spark.createDataFrame([(i, [float(i), 0.0] if i % 2 else None) for i in range(40)] + [(None, [3.0, 4.0])], "x_id bigint, vec array<double>")
+    none = spark.createDataFrame([("a", None), ("b", None)], "y_id string, vec array<double>")
+    for tile in (1, 4, 100):
+        got = distance_matrix(x, none, tile=tile).collect()
+        assert len(got) == 82 and all(r["distance"] is None for r in got) and {r["y_id"] for r in got} == {"a", "b"}
+        got = distance_matrix(x, spark.createDataFrame([("o", [0.0, 0.0])], none.schema), tile=tile).collect()
+        assert {r["x_id"]: r["distance"] for r in got} == {i: float(i) if i % 2 else None for i in range(40)} | {None: 5.0}

@@ -125,3 +125,7 @@ def test_postings_shuffle_texts_not_words(spark):
     plan = plan_of(positions(spark.range(3).selectExpr("id as d", "'mill race' as text"), "d", "text"))
     dealt = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
     assert dealt and not any("term" in d for d in dealt)
+
+
+def test_distances_are_rounded_without_decimals(spark, small):
+    assert "rint" in plan_of(contract.queries()["pairwise_euclidean"](spark, small)).lower()
