@@ -83,3 +83,19 @@ def test_job_equals_sql_on_uneven_tables(spark, uneven_tables, name):
     want = table([c[0] for c in cursor.description], cursor.fetchall())
     con.close()
     assert table(df.columns, df.collect()) == want
+
+
+def test_lines_of_equal_number_are_one_row_of_the_diagonal(spark, tmp_path):
+    """However many lines an order has, its matrix has one element at (i, i), so four at most."""
+    folder = str(tmp_path)
+    lines = [(1, 1, 9.0, 0.02, 0.03), (1, 1, 4.0, 0.05, 0.01), (1, 2, 7.0, 0.0, 0.0), (1, 3, 1.0, 0.06, 0.08), (1, 3, 1.0, 0.0, 0.0)]
+    lines += [(1, 3, 1.0, None, None), (2, 4, 1.0, 0.01, 0.05), (2, 4, 1.0, 0.02, 0.04), (2, 7, 5.0, 0.1, 0.1), (3, 5, 1.0, 0.1, 0.1)]
+    lines += [(4, 2, float(k), 0.01, 0.01) for k in range(2000)] + [(None, 1, 3.0, 0.1, 0.1), (None, 1, 2.0, 0.1, 0.1), (5, None, 1.0, 0.1, 0.1)]
+    schema = "l_orderkey bigint, l_linenumber int, l_quantity double, l_discount double, l_tax double"
+    spark.createDataFrame(lines, schema).write.parquet(f"{folder}/lineitem.parquet")
+    df = contract.queries()["diagonal_nonzero_product"](spark, folder)
+    got = {r["l_orderkey"]: r["product"] for r in df.collect()}
+    assert got == {1: 4.0 * 2.0, 2: 4.0, 3: 0.0, 4: 2.0, None: 2.0, 5: 0.0}
+    with duckdb.connect() as con:
+        con.execute(f"create view lineitem as select * from read_parquet('{folder}/lineitem.parquet/*.parquet')")
+        assert dict(con.execute(contract.oracle_sql()["diagonal_nonzero_product"]).fetchall()) == got
